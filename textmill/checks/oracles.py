@@ -231,7 +231,7 @@ EXCHANGES = f"""turns AS (
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 made AS (
   SELECT conv_id, turn, k,
-    CASE WHEN k % 17 = 3 THEN ' Hi ' WHEN k % 17 = 7 THEN {REPEATED} ELSE {_wrap('asked', PROMPT_WRAPS)} END AS prompt,
+    CASE WHEN k % 17 = 3 THEN ' Hi' || chr(8195) WHEN k % 17 = 7 THEN {REPEATED} ELSE {_wrap('asked', PROMPT_WRAPS)} END AS prompt,
     CASE WHEN k % 13 = 5 THEN ' ' || chr(12288) || chr(10)
       ELSE {_wrap("(CASE WHEN next_role = 'assistant' THEN next_text ELSE '' END)", ANSWER_WRAPS)} END AS answer
   FROM turns WHERE role = 'user'),

@@ -43,7 +43,7 @@ def _register(name: str, source: Query, **columns: Callable[[Column], Column]) -
 
 def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.corpus(spark, sf_dir)
-    return rows.select("doc_id", text.normalize_text(F.col("text")).alias("text"))
+    return rows.select("doc_id", text.once(text.normalize_text(F.col("text"))).alias("text"))
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,15 +311,20 @@ def _flat(rows: DataFrame, verdict: Column) -> DataFrame:
     return rows.select("conv_id", "turn", verdict.alias("v")).select("conv_id", "turn", "v.*")
 
 
-def _guard(name: str, **columns: Column) -> None:
+def _guard(name: str, column: str, **columns: Callable[[Column], Column]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = inputs.guarded_exchanges(spark, sf_dir)
-        return rows.select("conv_id", "turn", *[c.alias(n) for n, c in columns.items()])
+        return rows.select("conv_id", "turn", *[make(F.col(column)).alias(n) for n, make in columns.items()])
 
     QUERIES[name] = run
 
 
 _PROMPT, _ANSWER, _SAFE = "prompt", "generated", "safe_mode"
+_guard("g02_input_too_short", _PROMPT, hit=guards.too_short)
+_guard("g03_input_too_long", _PROMPT, hit=guards.too_long)
+_guard("g04_guard_category", _PROMPT, category=lambda p: F.coalesce(guards.matched_category(p), F.lit("")))
+_guard("g06_empty_output", _ANSWER, hit=guards.empty_output)
+_guard("g07_output_pii", _ANSWER, hit=guards.output_has_pii)
 
 
 @query
@@ -335,15 +340,6 @@ def g01_request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _register_guards() -> None:
-    prompt, answer = F.col(_PROMPT), F.col(_ANSWER)
-    _guard("g02_input_too_short", hit=guards.too_short(prompt))
-    _guard("g03_input_too_long", hit=guards.too_long(prompt))
-    _guard("g04_guard_category", category=F.coalesce(guards.matched_category(prompt), F.lit("")))
-    _guard("g06_empty_output", hit=guards.empty_output(answer))
-    _guard("g07_output_pii", hit=guards.output_has_pii(answer))
-
-
 @query
 def g05_check_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(inputs.guarded_exchanges(spark, sf_dir), guards.check_input(F.col(_PROMPT)))
@@ -519,6 +515,4 @@ def u02_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    if "g02_input_too_short" not in QUERIES:
-        _register_guards()  # builds columns, so it needs a session
     return dict(sorted(QUERIES.items()))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,28 +11,37 @@ from pyspark.sql import functions as F
 from textmill import rules
 
 
+def _rlike_if(text: Column, literal: str, pattern: str) -> Column:
+    """``rlike`` for texts with a literal that every match holds; looking for the
+    literal alone is far cheaper and rules most texts out."""
+    return F.contains(text, F.lit(literal)) & text.rlike(pattern)
+
+
 def has_html_tag(text: Column) -> Column:
-    return text.rlike(rules.HTML_TAG)
+    return _rlike_if(text, "<", rules.HTML_TAG)
 
 
 def has_html_entity(text: Column) -> Column:
-    return text.rlike(rules.HTML_ENTITY)
+    return _rlike_if(text, "&", rules.HTML_ENTITY)
 
 
 def has_html(text: Column) -> Column:
     return has_html_tag(text) | has_html_entity(text)
 
 
+_KIND_LITERAL = {"email": "@", "dob": ":", "mrn": ":", "ssn_label": ":"}
+
+
 def has_pii_kind(text: Column, kind: str) -> Column:
-    hit = text.rlike(rules.PII[kind])
-    # An address needs an "@": the cheap test spares most texts the pattern.
-    return F.contains(text, F.lit("@")) & hit if kind == "email" else hit
+    pattern = rules.PII[kind]
+    literal = _KIND_LITERAL.get(kind)
+    return _rlike_if(text, literal, pattern) if literal else text.rlike(pattern)
 
 
 def has_pii(text: Column) -> Column:
-    # A labelled SSN is a plain SSN too, so its own pattern need not run here.
-    kinds = [k for k in rules.PII if k != "ssn_label"]
-    return reduce(or_, (has_pii_kind(text, kind) for kind in kinds))
+    return (
+        has_pii_kind(text, "email") | _rlike_if(text, ":", rules.ANY_LABEL) | text.rlike(rules.ANY_NUMBER)
+    )
 
 
 def pii_kinds(text: Column) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -13,14 +14,10 @@ from textmill import rules
 _TO_END = 2147483647
 
 
-# Non-deterministic on paper only: it keeps Catalyst from copying the expression
-# into every predicate above it, so each text is normalized once.
 @F.arrow_udf(StringType())
 def _to_nfc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFC")
-
-
-_to_nfc = _to_nfc.asNondeterministic()
+    done = [t if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()]
+    return pa.array(done, pa.string())
 
 
 def nfc(text: Column) -> Column:
@@ -40,10 +37,7 @@ def strip_control(text: Column) -> Column:
 
 def strip_space(text: Column) -> Column:
     """Trim all Unicode white space, which ``trim`` does not."""
-    # The trailing run is tried at its first character only, so a text with many
-    # inner runs of white space stays linear.
-    s = rules.SPACE
-    return F.regexp_replace(text, rf"\A[{s}]+|(?<![{s}])[{s}]+\z", "")
+    return F.trim(text, F.lit(rules.SPACE_CHARS))
 
 
 def normalize_text(text: Column) -> Column:
@@ -51,6 +45,13 @@ def normalize_text(text: Column) -> Column:
     return strip_space(strip_control(nfc(valid_utf8(text))))
 
 
+def once(value: Column) -> Column:
+    """A generator of exactly one row, for use in ``select``. Catalyst copies a plain
+    expression into every filter and rule above it; it cannot copy this one, so the
+    value is computed once per row."""
+    return F.explode(F.array(value))
+
+
 def content_key(text: Column) -> Column:
     """MD5 of the text as given, before any normalization."""
     return F.md5(text)

@@ -13,16 +13,15 @@ from pyspark.sql import functions as F
 
 from textmill import rules
 from textmill.functions.quality import first_failure, passes_all
-from textmill.functions.text import content_key, normalize_text
+from textmill.functions.text import content_key, normalize_text, once
 from textmill.operators.dedup import flag_duplicates
 from textmill.operators.fingerprint import digest_of_sums, row_digest_sums
 from textmill.operators.split import order_key, split_sizes
 
 
 def with_normalized(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.select(
-        "doc_id", content_key(F.col(text)).alias("content_key"), normalize_text(F.col(text)).alias("norm")
-    )
+    raw = F.col(text)
+    return df.select("doc_id", content_key(raw).alias("content_key"), once(normalize_text(raw)).alias("norm"))
 
 
 def classify(df: DataFrame) -> DataFrame:

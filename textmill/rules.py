@@ -82,10 +82,12 @@ REPLACEMENT = chr(0xFFFD)
 # --- Character classes ------------------------------------------------------
 # The 29 code points Python's ``str.strip``, ``str.split`` and ``\s`` agree on.
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 CONTROL = r"\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f"
 WORD = r"[\p{L}\p{N}_]"
 _NOT_AFTER = f"(?<!{WORD})"
 _NOT_BEFORE = f"(?!{WORD})"
+# On either side of a word: the place where a word begins or ends.
 _EDGE = f"(?:(?<={WORD}){_NOT_BEFORE}|{_NOT_AFTER}(?={WORD}))"
 _D = r"\p{Nd}"
 _S = f"[{SPACE}]"
@@ -93,23 +95,45 @@ _S = f"[{SPACE}]"
 HTML_TAG = "<[^>]+>"
 HTML_ENTITY = rf"&[a-zA-Z]+;|&#{_D}+;"
 
+_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
+_SSN = rf"{_D}{{3}}-{_D}{{2}}-{_D}{{4}}"
+_PHONE = rf"{_D}{{3}}[-.{SPACE}]?{_D}{{3}}[-.{SPACE}]?{_D}{{4}}"
+_CARD = rf"{_D}{{4}}{_S}?{_D}{{4}}{_S}?{_D}{{4}}{_S}?{_D}{{4}}"
+_DOB = rf"DOB{_S}*:{_S}*{_D}{{2}}/{_D}{{2}}/{_D}{{4}}"
+_MRN = rf"MRN{_S}*:{_S}*{_D}+"
+_SSN_LABEL = rf"SSN{_S}*:{_S}*{_SSN}"
+
+
+def _numbers(*bodies: str) -> str:
+    """Bodies that begin with a digit: the cheap test on it comes first."""
+    return f"(?={_D}){_NOT_AFTER}(?:{'|'.join(bodies)}){_NOT_BEFORE}"
+
+
+def _labels(*bodies: str) -> str:
+    """Bodies that begin with a word, in any case."""
+    return f"(?iu)(?=[DMS]){_NOT_AFTER}(?:{'|'.join(bodies)}){_NOT_BEFORE}"
+
+
 PII = {
-    "email": rf"{_EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{_EDGE}",
-    "ssn": rf"{_NOT_AFTER}{_D}{{3}}-{_D}{{2}}-{_D}{{4}}{_NOT_BEFORE}",
-    "phone": rf"{_NOT_AFTER}{_D}{{3}}[-.{SPACE}]?{_D}{{3}}[-.{SPACE}]?{_D}{{4}}{_NOT_BEFORE}",
-    "card": rf"{_NOT_AFTER}{_D}{{4}}{_S}?{_D}{{4}}{_S}?{_D}{{4}}{_S}?{_D}{{4}}{_NOT_BEFORE}",
-    "dob": rf"(?iu){_NOT_AFTER}DOB{_S}*:{_S}*{_D}{{2}}/{_D}{{2}}/{_D}{{4}}{_NOT_BEFORE}",
-    "mrn": rf"(?iu){_NOT_AFTER}MRN{_S}*:{_S}*{_D}+{_NOT_BEFORE}",
-    "ssn_label": rf"(?iu){_NOT_AFTER}SSN{_S}*:{_S}*{_D}{{3}}-{_D}{{2}}-{_D}{{4}}{_NOT_BEFORE}",
+    "email": f"{_EDGE}{_EMAIL}{_EDGE}",
+    "ssn": _numbers(_SSN),
+    "phone": _numbers(_PHONE),
+    "card": _numbers(_CARD),
+    "dob": _labels(_DOB),
+    "mrn": _labels(_MRN),
+    "ssn_label": _labels(_SSN_LABEL),
 }
-OUTPUT_PII = ("ssn", "card")
+# The same without telling kinds apart. A labelled SSN is an SSN already.
+ANY_NUMBER = _numbers(_SSN, _PHONE, _CARD)
+ANY_LABEL = _labels(_DOB, _MRN)
+OUTPUT_PII = _numbers(_SSN, _CARD)
 
 # Characters that can make a text differ from its NFC form: marks, conjoining
 # jamo, and code points whose NFC form is another code point. A text with none
 # of them is in NFC already.
 MAYBE_NOT_NFC = (
-    r"[\p{M}\x{340}-\x{374}\x{37e}\x{387}\x{1100}-\x{11ff}\x{1f00}-\x{1fff}"
-    r"\x{2000}\x{2001}\x{2126}\x{212a}\x{212b}\x{2329}\x{232a}\x{2adc}"
-    r"\x{f900}-\x{faff}\x{fb1d}-\x{fb4f}\x{11000}-\x{11fff}\x{16100}-\x{161ff}"
-    r"\x{16d00}-\x{16dff}\x{1d15e}-\x{1d1c0}\x{2f800}-\x{2fa1f}]"
+    r"[\x{300}-\x{10ffff}&&[\p{M}\x{340}-\x{374}\x{37e}\x{387}\x{890}-\x{dff}\x{f00}-\x{fff}\x{1100}-\x{11ff}"
+    r"\x{1700}-\x{177f}\x{1ab0}-\x{1aff}\x{1dc0}-\x{1fff}\x{2000}\x{2001}\x{2126}\x{212a}\x{212b}"
+    r"\x{2329}\x{232a}\x{2adc}\x{f900}-\x{faff}\x{fb1d}-\x{fb4f}\x{10d00}-\x{11fff}\x{16100}-\x{161ff}"
+    r"\x{16d00}-\x{16dff}\x{1d15e}-\x{1d1c0}\x{1e000}-\x{1efff}\x{2f800}-\x{2fa1f}]]"
 )
