@@ -286,10 +286,10 @@ parsed AS (SELECT *, concat_ws(',', CASE WHEN coalesce(length(prompt), 0) NOT BE
     CASE WHEN max_tokens IS NULL THEN 'max_tokens' END, CASE WHEN temperature IS NULL THEN 'temperature' END,
     CASE WHEN safe_mode IS NULL THEN 'safe_mode' END) AS errors FROM typed)"""
 SCREENED = f"""WITH {PARSED}, checked AS (SELECT *, {input_check('safe_mode')} FROM parsed)
-SELECT request_id::VARCHAR AS request_id, client, CASE WHEN errors <> '' THEN 'invalid' WHEN ic IS NULL THEN 'admitted' ELSE 'input_blocked' END AS event,
+SELECT request_id::VARCHAR AS request_id, coalesce(client, 'unknown') AS client, CASE WHEN errors <> '' THEN 'invalid' WHEN ic IS NULL THEN 'admitted' ELSE 'input_blocked' END AS event,
   CASE WHEN errors <> '' THEN errors ELSE coalesce(ir, '') END AS reason,
-  CASE WHEN errors <> '' THEN 'validation' ELSE coalesce(ic, '') END AS category, safe_mode FROM checked"""
-SCREENED_STREAM = SCREENED
+  CASE WHEN errors <> '' THEN 'validation' ELSE coalesce(ic, '') END AS category,
+  coalesce(safe_mode::VARCHAR, '') AS safe_mode FROM checked"""
 
 
 def limited(source: str, limit: int, seconds: int) -> str:
@@ -404,7 +404,7 @@ SELECT token, stem FROM stems""",
     "e10_perplexity": f"""WITH {CORPUS}, s AS (SELECT len({words('text')}) AS n, length(text) AS c FROM corpus),
 l AS (SELECT ln(1 + c / greatest(n, 1)) AS loss, least(n, 256) - 1 AS steps FROM s WHERE n >= 2)
 SELECT round(CASE WHEN count(*) = 0 THEN 'inf'::DOUBLE ELSE exp(sum(loss * steps) / sum(steps)) END, 6) AS perplexity FROM l""",
-    "g01_request_validation": _over("parsed", PARSED, "request_id, prompt, max_tokens, temperature, safe_mode, errors"),
+    "g01_request_validation": _over("parsed", PARSED, "request_id, prompt, coalesce(max_tokens, -1) AS max_tokens, temperature, coalesce(safe_mode::VARCHAR, '') AS safe_mode, errors"),
     "g02_input_too_short": _turns(f"{SHORT} AS hit"),
     "g03_input_too_long": _turns(f"{LONG} AS hit"),
     "g04_guard_category": _turns(f"coalesce({PATTERN_CATEGORY}, '') AS category"),

@@ -50,6 +50,11 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(cleaning.clean(inputs.corpus(spark, sf_dir)), "cleaned")
 
 
+def _logged(log: DataFrame) -> DataFrame:
+    safe_mode = F.coalesce(F.col("safe_mode").cast("string"), F.lit("")).alias("safe_mode")
+    return log.select("request_id", "client", "event", "reason", "category", safe_mode)
+
+
 # --- Sources and sinks --------------------------------------------------------
 @query
 def s01_jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +130,7 @@ def s07_run_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s08_decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "decisions")
     decisions.append_decisions(screen_requests(inputs.requests(spark, sf_dir)), path)
-    return decisions.read_decisions(spark, path).select("request_id", "client", "event", "reason", "category", "safe_mode")
+    return _logged(decisions.read_decisions(spark, path))
 
 
 # --- Text columns -------------------------------------------------------------
@@ -333,9 +338,9 @@ def g01_request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "request_id",
         "r.prompt",
-        F.col("r.max_tokens").cast("bigint").alias("max_tokens"),
+        F.coalesce(F.col("r.max_tokens"), F.lit(-1)).cast("bigint").alias("max_tokens"),
         "r.temperature",
-        "r.safe_mode",
+        F.coalesce(F.col("r.safe_mode").cast("string"), F.lit("")).alias("safe_mode"),
         F.array_join("r.errors", ",").alias("errors"),
     )
 
@@ -436,7 +441,7 @@ def w03_guard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.write.parquet(source)
     stream = spark.readStream.schema(rows.schema).parquet(source)
     log_decisions(screen_requests(stream), sink, progress).awaitTermination()
-    return decisions.read_decisions(spark, sink).select("request_id", "client", "event", "reason", "category", "safe_mode")
+    return _logged(decisions.read_decisions(spark, sink))
 
 
 # --- Run logs -----------------------------------------------------------------

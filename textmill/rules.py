@@ -92,7 +92,9 @@ _EDGE = f"(?:(?<={WORD}){_NOT_BEFORE}|{_NOT_AFTER}(?={WORD}))"
 _D = r"\p{Nd}"
 _S = f"[{SPACE}]"
 
-HTML_TAG = "<[^>]+>"
+# A "<", something but ">", and a ">" anywhere after. Only the first such "<" need
+# be tried, so the pattern stays linear on texts full of "<".
+HTML_TAG = r"(?s)\A(?>.*?<[^>]).*>"
 HTML_ENTITY = rf"&[a-zA-Z]+;|&#{_D}+;"
 
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from textmill import rules
 from textmill.functions.guards import check_input
 from textmill.operators.requests import is_valid, parse_request
 from textmill.sources.decisions import decision_rows
@@ -23,7 +24,7 @@ def screen_requests(stream: DataFrame) -> DataFrame:
     )
     return screened.select(
         "request_id",
-        "client",
+        F.coalesce(F.col("client").cast("string"), F.lit(rules.UNKNOWN)).alias("client"),
         event.alias("event"),
         F.coalesce("verdict.reason", F.array_join("request.errors", ",")).alias("reason"),
         F.coalesce("verdict.category", F.lit("validation")).alias("category"),
