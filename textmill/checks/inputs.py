@@ -14,6 +14,7 @@ from textmill.functions.tokens import token_count, words
 from textmill.operators.noise import ID_STRIDE, inject_noise
 from textmill.operators.overlap import eval_texts
 from textmill.operators.requests import exchanges
+from textmill.session import spread
 
 PAGE_LANE = ID_STRIDE - 1
 
@@ -42,7 +43,9 @@ ANSWER_WRAPS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; column 0 is its id."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, rows.columns[0]) if name in ("documents", "pages", "events") else rows
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

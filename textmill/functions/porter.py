@@ -61,11 +61,19 @@ def _cases(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
 
 
 def _table(word: Column, rules: tuple) -> Column:
-    """The first rule whose suffix fits decides, also when its condition fails."""
-    return _cases(
-        [(F.endswith(word, F.lit(s)), _swap(word, cond or ".*", s, into)) for s, into, cond in rules],
-        word,
-    )
+    """The first rule whose suffix fits decides, also when its condition fails.
+    Rules are looked up by last letter first, which leaves few suffixes to try."""
+    by_letter: dict[str, list] = {}
+    for suffix, into, cond in rules:
+        by_letter.setdefault(suffix[-1], []).append((suffix, into, cond))
+    branches = [
+        (
+            F.endswith(word, F.lit(letter)),
+            _cases([(F.endswith(word, F.lit(s)), _swap(word, c or ".*", s, into)) for s, into, c in group], word),
+        )
+        for letter, group in by_letter.items()
+    ]
+    return _cases(branches, word)
 
 
 def _mark_consonant_y(word: Column) -> Column:
@@ -82,7 +90,7 @@ def _step_1a(word: Column) -> Column:
 def _step_1b(word: Column) -> Column:
     """Cut "ed" and "ing"; a cut word is left with a trailing mark for its repair."""
     four = F.length(word) == 4
-    return _cases(
+    cut = _cases(
         [
             (F.endswith(word, F.lit("ied")), F.when(four, _swap(word, ".", "ied", "ie")).otherwise(_swap(word, ".*", "ied", "i"))),
             (F.endswith(word, F.lit("eed")), _swap(word, M0, "eed", "ee")),
@@ -91,6 +99,7 @@ def _step_1b(word: Column) -> Column:
         ],
         word,
     )
+    return F.when(F.endswith(word, F.lit("d")) | F.endswith(word, F.lit("g")), cut).otherwise(word)
 
 
 def _step_1b_repair(word: Column) -> Column:
@@ -145,13 +154,15 @@ _STEPS = (
 def stem_tokens(tokens: Column, min_chars: int = 4) -> Column:
     """Stem every token of at least ``min_chars`` characters."""
     irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
-    # One ``transform`` per step binds the step's input to a lambda variable; a
-    # nested expression would repeat it at each of its uses.
-    stems = reduce(lambda acc, step: F.transform(acc, step), _STEPS, tokens)
+    # Tokens too short for a stem go through the steps as empty texts, which no
+    # rule fits. One ``transform`` per step binds the step's input to a lambda
+    # variable; a nested expression would repeat it at each of its uses.
+    long = F.transform(tokens, lambda t: F.when(F.length(t) >= min_chars, t).otherwise(""))
+    stems = reduce(lambda acc, step: F.transform(acc, step), _STEPS, long)
     return F.zip_with(
         tokens,
         stems,
-        lambda token, stem: F.coalesce(
-            F.when(F.length(token) < min_chars, token), irregular[token], F.lower(stem)
-        ),
+        lambda token, stem: F.when(F.length(token) < min_chars, token)
+        .when(token.isin(*IRREGULAR), irregular[token])
+        .otherwise(F.lower(stem)),
     )

@@ -34,7 +34,10 @@ _OUT = "client string, request_id bigint, ts_us bigint, accepted boolean"
 def micros(df: DataFrame, ts: str) -> Column:
     """Microseconds since the epoch; a time without zone is taken as UTC."""
     if dict(df.dtypes)[ts] == "timestamp_ntz":
-        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{ts}`)")
+        # Field by field: a cast would bring the session's time zone in.
+        days, seconds = F.unix_date(F.col(ts).cast("date")), F.extract(F.lit("SECOND"), F.col(ts))
+        minutes = F.hour(ts) * 60 + F.minute(ts)
+        return days * F.lit(86_400_000_000) + minutes * F.lit(60_000_000) + (seconds * 1_000_000).cast("bigint")
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 

@@ -28,11 +28,8 @@ def pair_up(references: DataFrame, predictions: DataFrame, how: str = "inner") -
     return predictions.select("doc_id", "prediction").join(references.select("doc_id", "reference"), "doc_id", how)
 
 
-def _tag(tokens: Column, name: str, left: int) -> Column:
-    return F.transform(
-        tokens,
-        lambda t: F.struct(F.lit(name).alias("name"), t.alias("token"), F.lit(left).alias("p"), F.lit(1 - left).alias("r")),
-    )
+def _tag(tokens: Column, code: int) -> Column:
+    return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(code).alias("code")))
 
 
 def overlap_counts(
@@ -44,18 +41,19 @@ def overlap_counts(
     follows that layout, so no exploded token crosses the network and a frequent
     token is never a key of its own. ``carry`` names columns of the pair to keep.
     """
-    tagged = [
-        _tag(tokens, name, left) for name, both in sides.items() for tokens, left in zip(both, (1, 0))
-    ]
+    # Exploded rows are many, so they are small: name k and side in one number,
+    # 2k for a reference token and 2k + 1 for a predicted one.
+    tagged = [_tag(tokens, 2 * k + 1 - side) for k, both in enumerate(sides.values()) for side, tokens in enumerate(both)]
+    predicted = F.col("code") % 2
     per_token = (
         pairs.repartition("doc_id")
         .select("doc_id", *carry, F.inline_outer(F.concat(*tagged)))
-        .groupBy("doc_id", *carry, "name", "token")
-        .agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+        .groupBy("doc_id", *carry, F.floor(F.col("code") / 2).cast("int").alias("k"), "token")
+        .agg(F.sum(predicted).alias("p"), F.sum(1 - predicted).alias("r"))
     )
     totals = []
-    for name in sides:
-        mine = F.col("name") == name
+    for k, name in enumerate(sides):
+        mine = F.col("k") == k
         for what, value in (("overlap", F.least("p", "r")), ("n_pred", F.col("p")), ("n_ref", F.col("r"))):
             totals.append(F.coalesce(F.sum(F.when(mine, value)), F.lit(0)).alias(f"{name}_{what}"))
     return per_token.groupBy("doc_id", *carry).agg(*totals)
@@ -121,15 +119,17 @@ def rouge_l(pairs: DataFrame, stem: bool = True) -> DataFrame:
     )
 
 
-def _rouge_sides() -> dict[str, tuple[Column, Column]]:
+def _rouge_sides(orders: tuple[int, ...] = (1, 2)) -> dict[str, tuple[Column, Column]]:
     p, r = F.col("pred_tokens"), F.col("ref_tokens")
-    return {"rouge1": (p, r), "rouge2": (bigrams(p), bigrams(r))}
+    both = {1: (p, r), 2: (bigrams(p), bigrams(r))}
+    return {f"rouge{n}": both[n] for n in orders}
 
 
-def rouge_n(pairs: DataFrame, stem: bool = True) -> DataFrame:
-    """ROUGE-1 and ROUGE-2 per pair."""
-    counts = overlap_counts(with_rouge_tokens(pairs, stem), _rouge_sides())
-    return counts.select("doc_id", _f("rouge1").alias("rouge1"), _f("rouge2").alias("rouge2"))
+def rouge_n(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem: bool = True) -> DataFrame:
+    """ROUGE-1 and/or ROUGE-2 per pair."""
+    spread = pairs.repartition("doc_id")  # before the tokenization, which is the bulk of the work
+    counts = overlap_counts(with_rouge_tokens(spread, stem), _rouge_sides(orders))
+    return counts.select("doc_id", *[_f(f"rouge{n}").alias(f"rouge{n}") for n in orders])
 
 
 def score_pairs(pairs: DataFrame, stem: bool = True) -> DataFrame:

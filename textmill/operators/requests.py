@@ -9,6 +9,7 @@ from textmill import rules
 from textmill.functions.guards import check_input, check_output, refuse_unless, response_tokens
 from textmill.functions.text import strip_prompt
 from textmill.operators.limiter import rate_limit
+from textmill.session import materialize
 
 # Texts accepted as a boolean, besides true and false themselves (fixed values).
 _TRUE = ("1", "true", "t", "yes", "y", "on")
@@ -72,7 +73,10 @@ def request_status(
     """``(request_id, status)`` of ``(request_id, client, ts, value, model_loaded)``
     rows: 422 before 429 before 503 before 200. An invalid request uses no quota,
     one that meets no model does."""
-    judged = df.select("request_id", "client", "ts", "model_loaded", is_valid(parse_request(F.col("value"))).alias("valid"))
+    judged = materialize(
+        df.select("request_id", "client", "ts", "model_loaded", is_valid(parse_request(F.col("value"))).alias("valid")),
+        "judged-requests",  # the limiter reads its input three times: parse bodies once
+    )
     decisions = rate_limit(judged.where("valid"), limit=limit, window_seconds=window_seconds)
     status = (
         F.when(~F.col("valid"), 422)

@@ -32,7 +32,7 @@ def split_sizes(n: Column) -> dict[str, Column]:
 
 
 def _cut_points(keys: DataFrame) -> DataFrame:
-    """One row: the (key, id) of the last train row and of the last val row."""
+    """One struct: the (key, id) of the last train row and of the last val row."""
     bucket = F.left("order_key", F.lit(BUCKET_HEX))
     counts = keys.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     # Bounded by 16 ** BUCKET_HEX rows, whatever the table holds.
@@ -60,21 +60,23 @@ def _cut_points(keys: DataFrame) -> DataFrame:
     )
     at = F.struct("order_key", "doc_id")
     return ranked.agg(
-        F.max(F.when(F.col("rank") == F.col("train_end"), at)).alias("last_train"),
-        F.max(F.when(F.col("rank") == F.col("val_end"), at)).alias("last_val"),
+        F.struct(
+            F.max(F.when(F.col("rank") == F.col("train_end"), at)).alias("last_train"),
+            F.max(F.when(F.col("rank") == F.col("val_end"), at)).alias("last_val"),
+        ).alias("cuts")
     )
 
 
 def assign_splits(df: DataFrame, seed: int = rules.SPLIT_SEED) -> DataFrame:
     """Add ``split``. ``df`` needs a unique ``doc_id`` and is read three times,
-    twice for ``doc_id`` alone: give it a stored table."""
+    twice of them for ``doc_id`` alone: give it a stored table."""
     keys = df.select("doc_id", order_key(F.col("doc_id"), seed).alias("order_key"))
-    cuts = _cut_points(keys)
+    cuts = _cut_points(keys).scalar()
     here = F.struct(order_key(F.col("doc_id"), seed).alias("order_key"), F.col("doc_id"))
     # A cut point is null when no row precedes it.
     split = (
-        F.when(here <= cuts.select("last_train").scalar(), "train")
-        .when(here <= cuts.select("last_val").scalar(), "val")
+        F.when(here <= cuts["last_train"], "train")
+        .when(here <= cuts["last_val"], "val")
         .otherwise("test")
     )
     return df.withColumn("split", split)
