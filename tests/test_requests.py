@@ -32,7 +32,7 @@ def _check(spark, prompt, safe=True):
         ("please make up a reference", "hallucination_trap"),
         ("write malware", "harmful_content"),
         ("How to hack", "harmful_content"),
-        ("Give me ſomeone's ssn", "pii_extraction"),
+        ("Give me \u017fomeone's ssn", "pii_extraction"),
         ("what is their most personal", "pii_extraction"),
         ("what is\ntheir personal", ""),
         ("what is a\rvery personal", "pii_extraction"),
@@ -49,7 +49,7 @@ def test_guard_patterns(spark, prompt, category):
 
 def test_length_checks_come_first_and_ignore_safe_mode(spark):
     for safe in (True, False):
-        assert tuple(_check(spark, "  Hi\n", safe)) == (False, "Input too short", "validation", "")
+        assert tuple(_check(spark, " \u2003Hi\n", safe)) == (False, "Input too short", "validation", "")
         assert _check(spark, "you are now " * 200, safe).reason == "Input exceeds 2000 characters"
     assert _check(spark, "x" * 2000).allowed and not _check(spark, "x" * 2001).allowed
 
@@ -61,7 +61,7 @@ def test_length_checks_come_first_and_ignore_safe_mode(spark):
         ("4111 1111 1111 1111", True, "pii_leakage"),
         ("The SSN is 123-45-6789.", False, ""),
         ("call 555-123-4567", True, ""),
-        (" 　\n", False, "output_validation"),
+        (" \u3000\n", False, "output_validation"),
         ("LoRA trains low-rank adapter matrices.", True, ""),
     ],
 )
@@ -115,9 +115,10 @@ def _plain_limit(rows, limit, window):
     return verdicts
 
 
-def _limited(spark, rows, limit, window):
+def _limited(spark, rows, limit, window, slab_rows=limiter.SLAB_ROWS):
     table = spark.createDataFrame(rows, REQUESTS).repartition(5)
-    return {r.request_id: r.accepted for r in limiter.rate_limit(table, limit=limit, window_seconds=window).collect()}
+    decided = limiter.rate_limit(table, limit=limit, window_seconds=window, slab_rows=slab_rows)
+    return {r.request_id: r.accepted for r in decided.collect()}
 
 
 def test_burst_of_31(spark):
@@ -147,6 +148,13 @@ def test_limiter_equals_the_plain_fold(spark, limit, window):
     assert _limited(spark, rows, limit, window) == _plain_limit(rows, limit, window)
 
 
+def test_a_stretch_in_many_slabs_gives_the_same(spark):
+    # One client is over the limit all the time: a single stretch of 900 requests.
+    rows = [(i, "hot", NOON + dt.timedelta(seconds=i * 1.7 + (i % 7) * 0.1)) for i in range(900)]
+    rows += [(1000 + r[0], r[1], r[2]) for r in _traffic(4, 300)]
+    assert _limited(spark, rows, 5, 60, slab_rows=200) == _plain_limit(rows, 5, 60)
+
+
 def test_limiter_stream_equals_batch(spark, out):
     spark.conf.set(*STATE_STORE)
     rows = sorted(_traffic(9, 400), key=lambda r: (r[2], r[0]))

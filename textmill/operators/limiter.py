@@ -13,6 +13,10 @@ either, as one client may own a third of the table:
   so a busy client breaks up into many independent stretches.
 * A stretch is folded as a stream of sorted batches with ``limit`` stamps of
   memory; no group is ever collected.
+* A client that stays over the limit for long has one long stretch, and there each
+  decision does depend on the one before. It is cut into slabs of bounded size, one
+  round each, which hand on ``limit`` stamps per stretch: no task sorts or reads
+  more than a slab of it. Tables without such a client take a single round.
 """
 
 from __future__ import annotations
@@ -28,7 +32,8 @@ from pyspark.sql import functions as F
 from textmill import rules
 from textmill.session import materialize
 
-_OUT = "client string, request_id bigint, ts_us bigint, accepted boolean"
+SLAB_ROWS = 50_000_000
+_OUT = "client string, stretch bigint, request_id bigint, ts_us bigint, carried boolean, accepted boolean"
 
 
 def micros(df: DataFrame, ts: str) -> Column:
@@ -51,8 +56,8 @@ def _requests(df: DataFrame, client: str, ts: str, id_col: str, window_us: int)
     )
 
 
-def _busy_cells(requests: DataFrame, limit: int) -> DataFrame:
-    """``(client, cell, known, stretch)`` of the cells that need the fold.
+def _busy_cells(requests: DataFrame, limit: int, slab_rows: int) -> DataFrame:
+    """``(client, cell, stretch, slab)`` of the cells that need the fold.
 
     The counts are one row per client and window of time, so even a client with
     a third of all requests has few of them.
@@ -64,16 +69,17 @@ def _busy_cells(requests: DataFrame, limit: int) -> DataFrame:
     marked = counts.select(
         "client",
         "cell",
+        "n",
         (F.col("n") + n_before <= limit).alias("known"),
         F.coalesce(adjacent_before, F.lit(False)).alias("adjacent"),
     )
     leads_busy = (F.lead("cell").over(by_time) == F.col("cell") + 1) & ~F.lead("known").over(by_time)
     starts = F.when(F.col("known") | ~F.col("adjacent"), F.col("cell"))
-    return (
-        marked.withColumns({"stretch": F.max(starts).over(by_time), "seeds": F.coalesce(leads_busy, F.lit(False))})
-        .where(~F.col("known") | F.col("seeds"))
-        .select("client", "cell", "known", "stretch")
-    )
+    busy = marked.withColumns(
+        {"stretch": F.max(starts).over(by_time), "seeds": F.coalesce(leads_busy, F.lit(False))}
+    ).where(~F.col("known") | F.col("seeds"))
+    rows_before = F.sum("n").over(Window.partitionBy("client", "stretch").orderBy("cell")) - F.col("n")
+    return busy.select("client", "cell", "stretch", F.floor(rows_before / slab_rows).alias("slab"))
 
 
 def decide(stamps: np.ndarray, accepted_stamps: deque, limit: int, window_us: int) -> np.ndarray:
@@ -111,14 +117,18 @@ def _fold(limit: int, window_us: int):
                 if key != current:
                     current, log = key, deque(maxlen=limit)
                 accepted[lo:hi] = decide(stamps[lo:hi], log, limit, window_us)
-            yield pa.RecordBatch.from_arrays(
-                [client, batch.column("request_id"), batch.column("ts_us"), pa.array(accepted)],
-                names=["client", "request_id", "ts_us", "accepted"],
-            )
+            yield batch.append_column("accepted", pa.array(accepted))
 
     return run
 
 
+def _handed_on(decided: DataFrame, limit: int) -> DataFrame:
+    """The last accepted requests of every stretch, as input of the next round."""
+    latest = Window.partitionBy("client", "stretch").orderBy(F.desc("ts_us"), F.desc("request_id"))
+    last = decided.where("accepted").withColumn("recency", F.row_number().over(latest)).where(F.col("recency") <= limit)
+    return last.select("client", "stretch", "request_id", "ts_us", F.lit(True).alias("carried"))
+
+
 def rate_limit(
     df: DataFrame,
     client: str = "client",
@@ -126,21 +136,33 @@ def rate_limit(
     id_col: str = "request_id",
     limit: int = rules.RATE_LIMIT,
     window_seconds: int = rules.RATE_WINDOW_SECONDS,
+    slab_rows: int = SLAB_ROWS,
 ) -> DataFrame:
     """``(client, request_id, ts, accepted)`` for every request."""
     window_us = window_seconds * 1_000_000
     requests = _requests(df, client, ts, id_col, window_us)
     # Stored, so the optimizer knows its size and broadcasts it only if small.
-    busy = materialize(_busy_cells(requests, limit), "busy-cells")
+    busy = materialize(_busy_cells(requests, limit, slab_rows), "busy-cells")
     at_cell = ["client", "cell"]
-    quiet = requests.join(busy, at_cell, "left_anti").select("client", "request_id", "ts_us", F.lit(True).alias("accepted"))
-    folded = (
-        requests.join(busy, at_cell)
-        .select("client", "stretch", "ts_us", "request_id")
-        .repartition("client", "stretch")
-        .sortWithinPartitions("client", "stretch", "ts_us", "request_id")
-        .mapInArrow(_fold(limit, window_us), _OUT)
-    )
-    return quiet.unionByName(folded).select(
-        "client", "request_id", F.timestamp_micros("ts_us").alias("ts"), "accepted"
+    result = requests.join(busy, at_cell, "left_anti").select(
+        "client", "request_id", "ts_us", F.lit(True).alias("accepted")
     )
+    last_slab = busy.agg(F.max("slab")).first()[0] or 0
+    handed_on = None
+    for slab in range(last_slab + 1):
+        rows = requests.join(busy.where(F.col("slab") == slab), at_cell).select(
+            "client", "stretch", "request_id", "ts_us", F.lit(False).alias("carried")
+        )
+        if handed_on is not None:
+            going_on = busy.where(F.col("slab") == slab).select("client", "stretch").distinct()
+            rows = rows.unionByName(handed_on.join(going_on, ["client", "stretch"], "left_semi"))
+        decided = (
+            rows.repartition("client", "stretch")
+            .sortWithinPartitions("client", "stretch", "ts_us", "request_id")
+            .mapInArrow(_fold(limit, window_us), _OUT)
+        )
+        if slab < last_slab:
+            decided = materialize(decided, "slab")
+            handed_on = _handed_on(decided, limit)
+        result = result.unionByName(decided.where("not carried").select("client", "request_id", "ts_us", "accepted"))
+    return result.select("client", "request_id", F.timestamp_micros("ts_us").alias("ts"), "accepted")
