@@ -121,6 +121,18 @@ def _limited(spark, rows, limit, window, slab_rows=limiter.SLAB_ROWS):
     return {r.request_id: r.accepted for r in decided.collect()}
 
 
+def test_times_without_zone_do_not_shift(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        moments = ["2024-03-10 01:30:00.25", "2024-03-10 02:30:00", "2024-03-10 03:30:00", "1969-12-31 23:59:59.5"]
+        table = spark.createDataFrame([(m,) for m in moments], "m string").select(F.col("m").cast("timestamp_ntz").alias("ts"))
+        got = [r[0] for r in table.select(limiter.micros(table, "ts")).collect()]
+        want = [dt.datetime.fromisoformat(m).replace(tzinfo=dt.timezone.utc) for m in moments]
+        assert got == [round(w.timestamp() * 1_000_000) for w in want]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_burst_of_31(spark):
     rows = [(i, "c", NOON + dt.timedelta(seconds=i)) for i in range(31)]
     verdicts = _limited(spark, rows, rules.RATE_LIMIT, rules.RATE_WINDOW_SECONDS)

@@ -41,7 +41,7 @@ def micros(df: DataFrame, ts: str) -> Column:
     if dict(df.dtypes)[ts] == "timestamp_ntz":
         # Field by field: a cast would bring the session's time zone in.
         days, seconds = F.unix_date(F.col(ts).cast("date")), F.extract(F.lit("SECOND"), F.col(ts))
-        minutes = F.hour(ts) * 60 + F.minute(ts)
+        minutes = (F.hour(ts) * 60 + F.minute(ts)).cast("bigint")
         return days * F.lit(86_400_000_000) + minutes * F.lit(60_000_000) + (seconds * 1_000_000).cast("bigint")
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
