@@ -10,7 +10,7 @@ from __future__ import annotations
 from textmill import rules
 from textmill.checks.inputs import ANSWER_WRAPS, PROMPT_WRAPS, REQUESTS_SQL
 from textmill.functions import porter
-from textmill.operators.noise import CLASS_NAMES, CLASSES, rate_limit_hex
+from textmill.operators.noise import CLASS_NAMES, CLASSES, rate_bound
 
 
 def q(s: str) -> str:
@@ -75,7 +75,7 @@ def noise_sql(name: str, rate: float | None = None) -> str:
         n = len(c.wraps)
         inner = "doc_id::VARCHAR" if c.replaces else "text"
         text = f"{texts(w[0] for w in c.wraps)}[{pick(n)}] || {inner} || {texts(w[1] for w in c.wraps)}[{pick(n)}]"
-    where = "" if rate >= 1 else f" WHERE substr({h}, 1, 4) < '{rate_limit_hex(rate)}'"
+    where = "" if rate >= 1 else f" WHERE substr({h}, 1, 4) < '{rate_bound(rate)}'"
     return (
         f"SELECT doc_id * 16 + {CLASS_NAMES.index(name)} AS doc_id, {text} AS text, "
         f"{q(c.source)} AS source, {q(c.label)} AS label FROM documents{where}"

@@ -115,7 +115,7 @@ def row_hash(name: str, seed: int, id_col: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(name), F.lit(str(seed)), id_col.cast("string")))
 
 
-def rate_limit_hex(rate: float) -> str:
+def rate_bound(rate: float) -> str:
     """Upper bound (exclusive) on the first four hex digits of a row hash."""
     return format(min(int(rate * 65536), 65535), "04x")
 
@@ -123,7 +123,7 @@ def rate_limit_hex(rate: float) -> str:
 def _chosen(name: str, seed: int, id_col: Column, rate: float) -> Column:
     if rate >= 1:
         return F.lit(True)
-    return F.left(row_hash(name, seed, id_col), F.lit(4)) < rate_limit_hex(rate)
+    return F.left(row_hash(name, seed, id_col), F.lit(4)) < rate_bound(rate)
 
 
 def _pick(name: str, seed: int, id_col: Column, n: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +34,12 @@ def _tag(tokens: Column, code: int) -> Column:
     return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(code).alias("code")))
 
 
-def overlap_counts(
-    pairs: DataFrame, sides: dict[str, tuple[Column, Column]], carry: tuple[str, ...] = ()
-) -> DataFrame:
+def overlap_counts(pairs: DataFrame, sides: dict[str, tuple[Column, Column]]) -> DataFrame:
     """Per pair and name: tokens in common (as multisets), and tokens per side.
 
     Pairs are spread by id once; grouping by (id, name, token) and then by id
     follows that layout, so no exploded token crosses the network and a frequent
-    token is never a key of its own. ``carry`` names columns of the pair to keep.
+    token is never a key of its own.
     """
     # Exploded rows are many, so they are small: name k and side in one number,
     # 2k for a reference token and 2k + 1 for a predicted one.
@@ -47,8 +47,8 @@ def overlap_counts(
     predicted = F.col("code") % 2
     per_token = (
         pairs.repartition("doc_id")
-        .select("doc_id", *carry, F.inline_outer(F.concat(*tagged)))
-        .groupBy("doc_id", *carry, F.floor(F.col("code") / 2).cast("int").alias("k"), "token")
+        .select("doc_id", F.inline_outer(F.concat(*tagged)))
+        .groupBy("doc_id", F.floor(F.col("code") / 2).cast("int").alias("k"), "token")
         .agg(F.sum(predicted).alias("p"), F.sum(1 - predicted).alias("r"))
     )
     totals = []
@@ -56,7 +56,7 @@ def overlap_counts(
         mine = F.col("k") == k
         for what, value in (("overlap", F.least("p", "r")), ("n_pred", F.col("p")), ("n_ref", F.col("r"))):
             totals.append(F.coalesce(F.sum(F.when(mine, value)), F.lit(0)).alias(f"{name}_{what}"))
-    return per_token.groupBy("doc_id", *carry).agg(*totals)
+    return per_token.groupBy("doc_id").agg(*totals)
 
 
 def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:
@@ -88,13 +88,16 @@ def with_rouge_tokens(pairs: DataFrame, stem: bool = True) -> DataFrame:
     )
 
 
+def _lines(texts: pa.Array) -> list[list[str]]:
+    return [t.split("\n") if t else [] for t in texts.to_pylist()]
+
+
 @F.arrow_udf(LongType())
 def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
     # Bit-parallel row update (Crochemore et al., 2001): one big integer is a
     # whole row of the table, so a pair costs len(left) integer operations.
     lengths = []
-    for a, b in zip(left.to_pylist(), right.to_pylist()):
-        a, b = a.split(), b.split()
+    for a, b in zip(_lines(left), _lines(right)):
         places: dict[str, int] = {}
         for j, token in enumerate(b):
             places[token] = places.get(token, 0) | (1 << j)
@@ -107,9 +110,20 @@ def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(lengths, pa.int64())
 
 
+@F.arrow_udf(LongType())
+def _common(left: pa.Array, right: pa.Array) -> pa.Array:
+    counts = [(Counter(a) & Counter(b)).total() for a, b in zip(_lines(left), _lines(right))]
+    return pa.array(counts, pa.int64())
+
+
 def lcs_length(left: Column, right: Column) -> Column:
     """Length of the longest common subsequence of two token arrays."""
-    return _lcs(F.array_join(left, " "), F.array_join(right, " "))
+    return _lcs(F.array_join(left, "\n"), F.array_join(right, "\n"))
+
+
+def common_tokens(left: Column, right: Column) -> Column:
+    """Tokens that two arrays have in common, as multisets, within the row."""
+    return _common(F.array_join(left, "\n"), F.array_join(right, "\n"))
 
 
 def rouge_l(pairs: DataFrame, stem: bool = True) -> DataFrame:
@@ -133,12 +147,25 @@ def rouge_n(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem: bool = Tru
 
 
 def score_pairs(pairs: DataFrame, stem: bool = True) -> DataFrame:
-    """All four scores per pair. A missing reference counts as an empty one."""
+    """All four scores per pair. A missing reference counts as an empty one.
+
+    The longest common subsequence takes both token lists to Python anyway. Counting
+    what they share there as well leaves nothing to explode or to shuffle: all
+    scores are row-local.
+    """
     filled = pairs.withColumn("reference", F.coalesce("reference", F.lit("")))
-    tokens = with_rouge_tokens(filled.repartition("doc_id"), stem)
-    tokens = tokens.withColumn("lcs", lcs_length(F.col("pred_tokens"), F.col("ref_tokens")))
-    sides = {"f1": (words(F.col("prediction")), words(F.col("reference"))), **_rouge_sides()}
-    counts = overlap_counts(tokens, sides, carry=("lcs",))
+    tokens = with_rouge_tokens(filled, stem).withColumns(
+        {"pred_words": words(F.col("prediction")), "ref_words": words(F.col("reference"))}
+    )
+    sides = {"f1": (F.col("pred_words"), F.col("ref_words")), **_rouge_sides()}
+    sized = {f"{name}_n_pred": F.size(p) for name, (p, _) in sides.items()}
+    sized |= {f"{name}_n_ref": F.size(r) for name, (_, r) in sides.items()}
+    common = {f"{name}_overlap": common_tokens(p, r) for name, (p, r) in sides.items()}
+    counts = tokens.select(
+        "doc_id",
+        *[value.alias(name) for name, value in {**sized, **common}.items()],
+        lcs_length(F.col("pred_tokens"), F.col("ref_tokens")).alias("lcs"),
+    )
     rouge_l_score = f_measure(F.col("lcs"), F.col("rouge1_n_pred"), F.col("rouge1_n_ref"))
     return counts.select(
         "doc_id",
