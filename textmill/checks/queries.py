@@ -426,11 +426,17 @@ def w02_rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set(*STATE_STORE)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     decided = rate_limit_stream(stream, limit=LIMIT, window_seconds=DAY)
-    running = (
-        decided.writeStream.format("parquet").option("path", sink).option("checkpointLocation", log)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    running.awaitTermination()
+    # A state store per partition: as many as there are cores, if that is fewer.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
+    try:
+        running = (
+            decided.writeStream.format("parquet").option("path", sink).option("checkpointLocation", log)
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+        running.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return spark.read.schema(decided.schema).parquet(sink).select("request_id", "client", "accepted")
 
 
