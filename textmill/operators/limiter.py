@@ -16,7 +16,8 @@ either, as one client may own a third of the table:
 * A client that stays over the limit for long has one long stretch, and there each
   decision does depend on the one before. It is cut into slabs of bounded size, one
   round each, which hand on ``limit`` stamps per stretch: no task sorts or reads
-  more than a slab of it. Tables without such a client take a single round.
+  more of it than a slab and one cell. Tables without such a client take a single
+  round.
 """
 
 from __future__ import annotations
