@@ -272,7 +272,7 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     rows = scan(docs, rules)
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
+        F.size(F.filter("spans.kind", lambda kind: kind == k)).cast("long").alias(f"n_{r.kind}")  # noqa: B023
         for k, r in enumerate(rules[: len(BASE)])
     ]
     return rows.select(
