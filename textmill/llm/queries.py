@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import secrets
+from textmill.llm import bpe, secrets, tokencount
 from textmill.llm.common import documents
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(documents(spark, sf_dir))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_counts": op5_token_counts,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
