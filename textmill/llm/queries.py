@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, secrets, tokencount, winnow
+from textmill.llm import bpe, mixing, secrets, tokencount, winnow
 from textmill.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(documents(spark, sf_dir))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.fingerprint_report(documents(spark, sf_dir))
 
@@ -29,6 +33,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_entropy_mix": op8_entropy_mix,
     "op9_winnowing": op9_winnowing,
     "op10_secret_scan": op10_secret_scan,
 }
