@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, mixing, secrets, tokencount, winnow
-from textmill.llm.common import documents
+from textmill.llm import bpe, mixing, quality, secrets, tokencount, winnow
+from textmill.llm.common import documents, labels
+
+
+def op2_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +35,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_isolation_forest": op2_isolation_forest,
     "op5_token_counts": op5_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_entropy_mix": op8_entropy_mix,
