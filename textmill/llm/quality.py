@@ -1,8 +1,8 @@
 """Quality rules with an isolation forest over their statistics.
 
 Base rules count words, symbols, repeated lines and repeated eight-word windows of each
-whole text. An isolation forest over those statistics and a few more judges what the
-base rules keep: random splits isolate odd rows early, so a short mean path marks an
+whole text. An isolation forest over ratios of those and a few more statistics judges what
+the base rules keep: random splits isolate odd rows early, so a short mean path marks an
 anomaly. Its threshold is calibrated on labelled rows.
 
 The forest is fitted on a sample of at most ``SAMPLE`` documents, the first by a hash of
@@ -37,7 +37,9 @@ TREES = 96
 TREE_ROWS = 256
 #: Scores are rounded to so many steps.
 STEPS = 1000
-GOOD_LOST = 0.001
+GOOD_LOST = 0.002
+#: Words of an average text that every ratio is mixed with.
+SMOOTH = 50
 SEED = 20
 
 _SPACE = np.zeros(256, bool)
@@ -46,16 +48,12 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"[#*$%&|<>]".strip(b"[]"))] = True
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[ord("0") : ord("9") + 1] = True
-_MARK = np.zeros(256, bool)
-_MARK[list(b"!?.,;:'\"()-")] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 #: Statistics of a text, in the order in which they are computed.
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-EXTRA = ("n_distinct_words", "n_lines", "n_upper", "n_digits", "n_marks")
+EXTRA = ("n_distinct_words", "n_upper")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -130,10 +128,7 @@ def statistics(text: str) -> tuple[int, ...]:
         len(lines) - len(set(lines)),
         repeated_words(hashes),
         len(np.unique(hashes)),
-        len(lines),
         int(kinds[_UPPER].sum()),
-        int(kinds[_DIGIT].sum()),
-        int(kinds[_MARK].sum()),
     )
 
 
@@ -153,20 +148,16 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def _features(table: np.ndarray) -> np.ndarray:
-    words, chars, symbols, dup, repeat, distinct, lines, upper, digits, marks = table.T.astype(float)
-    per = np.maximum(words, 1)
+    """Ratios that do not depend on a text's length, drawn to the middle for short ones.
+    Repeated lines and windows are left to the base rules: licence lines repeat too."""
+    words, chars, symbols, _, _, distinct, upper = table.T.astype(float)
+    more = words + SMOOTH
     return np.column_stack(
         [
-            np.log1p(words),
-            chars / per,
-            symbols / per,
-            dup / np.maximum(lines, 1),
-            repeat / per,
+            (chars + 5 * SMOOTH) / more,
+            symbols / more,
             np.log1p(distinct) - np.log1p(words),
-            np.log1p(words / np.maximum(lines, 1)),
-            upper / np.maximum(chars, 1),
-            digits / np.maximum(chars, 1),
-            marks / per,
+            upper / (chars + 5 * SMOOTH),
         ]
     )
 
