@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, mixing, quality, secrets, tokencount, winnow
+from textmill.llm import bpe, langid, mixing, quality, secrets, tokencount, toxicity, winnow
 from textmill.llm.common import documents, labels
 
 
@@ -14,6 +14,14 @@ def op2_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op3_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op4_ftrl_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf_dir))
 
@@ -36,6 +44,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_isolation_forest": op2_isolation_forest,
+    "op3_toxic_grammar": op3_toxic_grammar,
+    "op4_ftrl_langid": op4_ftrl_langid,
     "op5_token_counts": op5_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_entropy_mix": op8_entropy_mix,
