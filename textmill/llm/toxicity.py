@@ -44,8 +44,8 @@ STEMS = 512
 SHORTEST, LONGEST = 3, 12
 #: Of the texts with a stem, at least this share is toxic; and it is in at least so many
 #: toxic texts, by number and by share.
-PRECISION = 0.97
-SUPPORT, SUPPORT_SHARE = 3, 0.01
+PRECISION = 0.98
+SUPPORT, SUPPORT_SHARE = 3, 0.015
 #: Log odds above this add no weight.
 FULL_WEIGHT = 8.0
 
