@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import text_rows
+from textmill.llm.hashing import ODD, SPACE, mixed, word_hashes
 from textmill.session import materialize
 
 SAMPLE = 8192
@@ -42,52 +43,15 @@ GOOD_LOST = 0.002
 SMOOTH = 50
 SEED = 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"[#*$%&|<>]".strip(b"[]"))] = True
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
 #: Statistics of a text, in the order in which they are computed.
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_distinct_words", "n_upper")
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
-
-
-_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        with np.errstate(over="ignore"):
-            for i, base in enumerate((_ODD, _INVERSE)):
-                _powers[i] = np.r_[np.uint64(1), np.cumprod(np.full(size - 1, base, np.uint64))]
-    return _powers[0], _powers[1]
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of UTF-8 bytes."""
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[data]
-    edges = np.diff(inside)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    up, down = _power_tables(len(data) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * down[: len(data)], out=sums[1:])
-        hashes = _mixed((sums[ends] - sums[starts]) * up[starts] + (ends - starts).astype(np.uint64))
-    return starts, ends, hashes
-
-
 def repeated_words(hashes: np.ndarray, n: int = 8) -> int:
     """Words in windows of ``n`` words that occur at least twice in the text."""
     if len(hashes) <= n:
@@ -95,7 +59,7 @@ def repeated_words(hashes: np.ndarray, n: int = 8) -> int:
     with np.errstate(over="ignore"):
         grams, size = hashes, 1
         while size < n:
-            grams = _mixed(grams[:-size] * _ODD + grams[size:])
+            grams = mixed(grams[:-size] * ODD + grams[size:])
             size *= 2
     order = np.argsort(grams, kind="stable")
     ranked = grams[order]
@@ -119,7 +83,7 @@ def statistics(text: str) -> tuple[int, ...]:
         return (0,) * (len(BASE) + len(EXTRA))
     starts, _, hashes = word_hashes(data)
     kinds = np.bincount(data, minlength=256)
-    chars = int(kinds.sum() - kinds[_SPACE].sum() - kinds[0x80:0xC0].sum())
+    chars = int(kinds.sum() - kinds[SPACE].sum() - kinds[0x80:0xC0].sum())
     lines = [line for line in raw.split(b"\n") if line.strip(b" \t\n\x0b\x0c\r")]
     return (
         len(starts),

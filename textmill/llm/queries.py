@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, langid, mixing, quality, secrets, tokencount, toxicity, winnow
+from textmill.llm import bpe, langid, mixing, neardup, quality, secrets, tokencount, toxicity, winnow
 from textmill.llm.common import documents, labels
 
 
@@ -30,6 +30,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op7_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ftrl_langid": op4_ftrl_langid,
     "op5_token_counts": op5_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_weighted_minhash": op7_weighted_minhash,
     "op8_entropy_mix": op8_entropy_mix,
     "op9_winnowing": op9_winnowing,
     "op10_secret_scan": op10_secret_scan,
