@@ -58,3 +58,14 @@ def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
             size *= 2
         rest = n - size
         return mixed(grams[: len(grams) - rest] * ODD + grams[rest:] + np.uint64(n)) if rest else grams
+
+
+def window_least(values: np.ndarray, w: int) -> np.ndarray:
+    """The least of every ``w`` consecutive values; of all of them if there are fewer."""
+    w = min(w, len(values))
+    size = 1
+    while size * 2 <= w:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    rest = w - size
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values

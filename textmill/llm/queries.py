@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, langid, mixing, neardup, quality, secrets, tokencount, toxicity, winnow
+from textmill.llm import bpe, langid, mixing, neardup, quality, secrets, suffix, tokencount, toxicity, winnow
 from textmill.llm.common import documents, labels
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicated(documents(spark, sf_dir), keep_bytes=False)
+
+
 def op2_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -47,6 +51,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_isolation_forest": op2_isolation_forest,
     "op3_toxic_grammar": op3_toxic_grammar,
     "op4_ftrl_langid": op4_ftrl_langid,

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.common import text_rows
+from textmill.llm.hashing import window_least
 
 #: Code points of a gram, a power of two, and grams of a window: matches of 100 are kept.
 GRAM = 16
@@ -59,17 +60,6 @@ def gram_hashes(points: np.ndarray, k: int = GRAM) -> np.ndarray:
     return _mixed(h)
 
 
-def window_least(values: np.ndarray, w: int) -> np.ndarray:
-    """The least of every ``w`` consecutive values; of all of them if there are fewer."""
-    w = min(w, len(values))
-    size = 1
-    while size * 2 <= w:
-        values = np.minimum(values[:-size], values[size:])
-        size *= 2
-    rest = w - size
-    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
-
-
 def winnow(text: str, k: int = GRAM, w: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Chosen hashes (44 bits) and their positions, by position."""
     with np.errstate(over="ignore"):
