@@ -180,24 +180,29 @@ def decode(encoded: DataFrame, path: str = vocabulary.BYTE_BPE) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, bytes binary")
 
 
-def round_trip(docs: DataFrame, path: str = vocabulary.BYTE_BPE) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: each text encoded and decoded
-    in one pass, so neither ids nor bytes travel."""
+def round_trip(docs: DataFrame, path: str = vocabulary.BYTE_BPE, keep_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``, and ``ids`` if asked for: each
+    text encoded and decoded in one pass, so bytes do not travel."""
     file = vocabulary.shared(docs.sparkSession, path)
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(file.value)
         for batch in batches:
-            counts, ids_digests, text_digests = [], [], []
+            counts, ids_digests, text_digests, kept = [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids = own.encode(text)
                 counts.append(len(ids) // 4)
+                if keep_ids:
+                    kept.append(ids)
                 ids_digests.append(hashlib.sha256(ids).hexdigest())
                 text_digests.append(hashlib.sha256(own.decode(ids)).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string())]
-            columns.append(pa.array(text_digests, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns += [pa.array(text_digests, pa.string()), *[pa.array(kept, pa.binary())] * keep_ids]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = text_rows(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    shape = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(run, shape + ", ids binary" * keep_ids)

@@ -203,11 +203,11 @@ def _joined(chunks: Column) -> Column:
     return F.coalesce(F.flatten(F.aggregate(chunks, start, step)["lists"]), F.array().cast(SPANS))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``(doc_id, text, spans)``: all spans of each text, by start, then rule; ``kind`` is
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, text, spans)`` and the columns ``carried``: all spans of each text, by start, then rule; ``kind`` is
     the rule's place in ``rules``. The candidate list joins by a broadcast only when
     Spark has measured it to be small."""
-    rows = text_rows(docs)
+    rows = text_rows(docs, *carried)
     indexed = {r.kind for r in rules if trigram_query(r.pattern)}
     if indexed:
         rows = rows.join(candidates(postings(docs, rules), rules), "doc_id", "left")
@@ -226,6 +226,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         rows.select(
             "doc_id",
             "text",
+            *carried,
             *[
                 _positions(F.col(f"l{k}.pieces"), F.col(f"l{k}.matches"), F.col(f"l{k}.kept"), k).alias(f"p{k}")
                 for k in range(len(rules))
@@ -233,7 +234,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         ),
         spans=F.array_sort(F.concat(*[_joined(F.col(f"p{k}")) for k in range(len(rules))])),
     )
-    return spans.select("doc_id", "text", "spans")
+    return spans.select("doc_id", "text", *carried, "spans")
 
 
 def written(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -266,6 +267,18 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
+def redacted_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows with their secrets written over, and ``n_chars``, where there is such a
+    column, of the new text. No other column may be named ``kinds`` or ``spans``."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = scan(docs, rules, others)
+    text = redacted(F.col("text"), F.col("spans"))
+    changed = once(found, __text=text).withColumn("text", F.col("__text"))
+    if "n_chars" in others:
+        changed = changed.withColumn("n_chars", F.length("text").cast("long"))
+    return changed.select(*docs.columns)
+
+
 def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per document: counts of the base rules, a digest of their spans, and all
     spans in writing."""

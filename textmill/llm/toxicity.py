@@ -271,11 +271,22 @@ def fit_weights(features: np.ndarray, toxic: np.ndarray, share: float, prior: Se
     return weights
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` and the evidence by kind of clause.
-    ``labels`` has ``doc_id`` and ``toxic``."""
-    rows = text_rows(docs)
-    held = fold_remainder(F.col("doc_id"), FOLDS) == 0
+def _evidence(stems: dict[str, float], at: int, out: list[str]):
+    """A row-local pass that puts the evidence after a batch's columns ``out``; the text
+    is column ``at``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(stems)
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            table = np.array([scorer.evidence(t or "") for t in texts], float).reshape(-1, len(KINDS))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in out], *[pa.array(c) for c in table.T]], [*out, *KINDS])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarray]:
+    """Stems and weights of the kinds of clause. ``labels`` has ``doc_id``, ``toxic``."""
     marked = (
         labels.where("toxic is not null and doc_id is not null")
         .where(fold_remainder(F.col("doc_id"), FOLDS) != 0)
@@ -284,32 +295,43 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     order = [F.xxhash64("doc_id", F.lit("toxic")), F.col("doc_id")]
     share = marked.agg(F.avg("toxic").alias("share")).first().share or 0.0
-    chosen = None
-    for toxic in (0, 1):
-        part = marked.where(F.col("toxic") == toxic).orderBy(*order).limit(FIT_ROWS)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = materialize(chosen, "toxicity-sample")  # at most twice FIT_ROWS ids
-    stems = learn_stems(rows.join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
+    parts = [marked.where(F.col("toxic") == toxic).orderBy(*order).limit(FIT_ROWS) for toxic in (0, 1)]
+    chosen = materialize(parts[0].unionByName(parts[1]), "toxicity-chosen")  # at most twice FIT_ROWS ids
+    sample = text_rows(docs).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    sample = materialize(sample, "toxicity-sample")
+    stems = learn_stems(sample)
+    shape = "toxic int, " + ", ".join(f"{k} double" for k in KINDS)
+    rows = sample.mapInArrow(_evidence(stems, 0, ["toxic"]), shape).toPandas().sort_values(["toxic", *KINDS]).to_numpy(float)
+    return stems, fit_weights(rows[:, 1:], rows[:, 0], share)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(stems)
-        for batch in batches:
-            table = np.array([scorer.evidence(t) for t in batch.column(1).to_pylist()]).reshape(-1, len(KINDS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in table.T]], ["doc_id", *KINDS])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    evidence = rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{k} double" for k in KINDS))
-    evidence = materialize(evidence, "toxicity-evidence")
-    fit = evidence.join(F.broadcast(chosen), "doc_id").select(*KINDS, "toxic").toPandas().to_numpy(float)
-    weights = fit_weights(fit[:, :-1], fit[:, -1], share)
+def _score(weights: np.ndarray):
     logit = F.lit(float(weights[0]))
     for k, w in zip(KINDS, weights[1:], strict=True):
         logit = logit + F.log1p(F.col(k)) * float(w)
-    value = 1 / (1 + F.exp(-logit))
-    return evidence.select(
+    return 1 / (1 + F.exp(-logit))
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` and the evidence by kind of clause."""
+    stems, weights = fit(docs, labels)
+    rows = text_rows(docs)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    shape = f"doc_id {kind}, " + ", ".join(f"{k} double" for k in KINDS)
+    value = _score(weights)
+    return rows.mapInArrow(_evidence(stems, 1, ["doc_id"]), shape).select(
         "doc_id",
-        held.alias("held_out"),
+        (fold_remainder(F.col("doc_id"), FOLDS) == 0).alias("held_out"),
         value.alias("score"),
         F.when(value >= 0.5, 1).otherwise(0).alias("predicted"),
         *KINDS,
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that are not toxic, with all their columns, in one row-local pass. No
+    column may be named like a kind of clause."""
+    stems, weights = fit(docs, labels)
+    names = docs.columns
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + "".join(f", {k} double" for k in KINDS)
+    return docs.mapInArrow(_evidence(stems, names.index("text"), names), shape).where(_score(weights) < 0.5).select(*names)
