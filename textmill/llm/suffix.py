@@ -136,9 +136,8 @@ def text_groups(data: np.ndarray) -> tuple[np.ndarray, ...]:
             packed = (half & ~_MASK) | np.arange(len(half), dtype=np.uint64)
             least = window_least(packed, WINDOW)
             # The next block begins where this one's last strings end.
-            limit = len(part) - LENGTH + 1
-            if begin + len(part) < len(data):
-                limit = _WINDOWS - LENGTH
+            ends = begin + len(part) == len(data)
+            limit = len(part) - LENGTH + 1 if ends else _WINDOWS - LENGTH
             anchors = (least[:limit] & _MASK).astype(np.int64)
             first = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
             last = np.r_[first[1:], len(anchors)] - 1
@@ -147,6 +146,8 @@ def text_groups(data: np.ndarray) -> tuple[np.ndarray, ...]:
                 span = mixed(span * ODD + h[at])
             anchor = mixed(half[anchors[first]] ^ _SALT)
             columns.append((first + begin, last - first + 1, anchor, mixed(span + (last - first).astype(np.uint64))))
+            if ends:
+                break
     if not columns:
         return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
     return tuple(np.concatenate(c) for c in zip(*columns, strict=True))
@@ -289,7 +290,7 @@ def _sorted_buckets(pieces: DataFrame) -> DataFrame:
                 doc_id, mark, first, _, single, _ = held[o]
                 if not single:
                     continue
-                own = found[owner == o] - offsets[o] + first if len(held) < 64 else found[np.searchsorted(owner, o) : np.searchsorted(owner, o, "right")] - offsets[o] + first
+                own = found[np.searchsorted(owner, o) : np.searchsorted(owner, o, "right")] - offsets[o] + first
                 for f, n in zip(*_merged(own, np.ones(len(own), np.int64)), strict=True):
                     ids.append(doc_id)
                     marks.append(mark)
@@ -325,7 +326,6 @@ def _sorted_buckets(pieces: DataFrame) -> DataFrame:
 def _counted_strings(pieces: DataFrame) -> DataFrame:
     """Runs of repeated starts of groups that stand alone, from buckets too large for one
     task: every string is a row."""
-    piece = F.substring(F.col("piece"), F.col("i") + 1, LENGTH)
     strings = pieces.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
         "doc_id", "mark", (F.col("first") + F.col("i")).alias("first"), "single", F.unhex(F.md5(F.substr("piece", F.col("i") + 1, F.lit(LENGTH)))).alias("key")
     )
