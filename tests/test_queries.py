@@ -4,6 +4,7 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from textmill.checks.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 ORACLES = contract.oracle_sql()
@@ -17,7 +18,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, con, name):
     got = contract.queries()[name](spark, SF).toPandas()
     assert len(got) > 0

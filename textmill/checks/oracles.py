@@ -402,7 +402,7 @@ SELECT token, stem FROM stems""",
     "e09_corpus_rouge": f"""SELECT round((SELECT avg(f) FROM (WITH {ROUGE1} SELECT f FROM scores)), 4) AS rouge1,
   round((SELECT avg(f) FROM (WITH {ROUGE2} SELECT f FROM scores)), 4) AS rouge2""",
     "e10_perplexity": f"""WITH {CORPUS}, s AS (SELECT len({words('text')}) AS n, length(text) AS c FROM corpus),
-l AS (SELECT ln(1 + c / greatest(n, 1)) AS loss, least(n, 256) - 1 AS steps FROM s WHERE n >= 2)
+l AS (SELECT ln(1 + c / greatest(n, 1)) AS loss, n - 1 AS steps FROM s WHERE n >= 2)
 SELECT round(CASE WHEN count(*) = 0 THEN 'inf'::DOUBLE ELSE exp(sum(loss * steps) / sum(steps)) END, 6) AS perplexity FROM l""",
     "g01_request_validation": _over("parsed", PARSED, "request_id, prompt, coalesce(max_tokens, -1) AS max_tokens, temperature, coalesce(safe_mode::VARCHAR, '') AS safe_mode, errors"),
     "g02_input_too_short": _turns(f"{SHORT} AS hit"),
@@ -437,7 +437,6 @@ SELECT conv_id, turn, coalesce(ic, '') AS input_category, coalesce(oc, '') AS ou
     "n06_long_lines": noise_sql("long"),
     "n07_boilerplate": noise_sql("boilerplate"),
     "n08_noisy_corpus": f"SELECT *, sha256('42:' || doc_id) AS order_key FROM ({NOISY})",
-    "u01_batch_callback": f"SELECT doc_id, array_to_string(({words('text')})[1:256], ' ') AS words FROM documents",
     "u02_rule_hits": f"WITH {NORMED} "
     + " UNION ALL ".join(f"SELECT {q(n)} AS rule, count(*) FILTER ({hit}) AS n_rows FROM normed" for n, hit in _RULE_HITS.items()),
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from textmill.session import materialize, scratch_path
 from textmill.sources import corpus as files
 from textmill.sources import decisions, runlogs
 from textmill.streaming.guard import log_decisions, screen_requests
-from textmill.streaming.limiter import STATE_STORE, rate_limit_stream
+from textmill.streaming.limiter import DECISIONS, rate_limit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,7 +101,7 @@ def _evaluation(spark: SparkSession, sf_dir: str, cap: int | None) -> DataFrame:
 @query
 def s06_eval_result_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "results")
-    row = _evaluation(spark, sf_dir, rules.EVAL_CAP)
+    row = _evaluation(spark, sf_dir, None)
     files.write_row(row, path)
     return spark.read.schema(row.schema).json(path)
 
@@ -414,30 +413,19 @@ def w01_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def w02_rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _event_requests(spark, sf_dir)
-    source, sink, log = (scratch_path(spark, n) for n in ("requests", "admitted", "progress"))
-    # Slices in time order, written one after the other: a micro-batch each.
-    spans = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    step = (spans.hi - spans.lo) / 4
-    edges = [spans.lo + step * k for k in range(1, 4)]
-    for lo, hi in zip([None, *edges], [*edges, None]):
-        after = F.lit(True) if lo is None else F.col("ts") >= F.lit(lo).cast(rows.schema["ts"].dataType)
-        before = F.lit(True) if hi is None else F.col("ts") < F.lit(hi).cast(rows.schema["ts"].dataType)
-        rows.where(after & before).coalesce(1).write.mode("append").parquet(source)
-    spark.conf.set(*STATE_STORE)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    decided = rate_limit_stream(stream, limit=LIMIT, window_seconds=DAY)
-    # A state store per partition: as many as there are cores, if that is fewer.
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
-    try:
-        running = (
-            decided.writeStream.format("parquet").option("path", sink).option("checkpointLocation", log)
-            .outputMode("append").trigger(availableNow=True).start()
-        )
-        running.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    return spark.read.schema(decided.schema).parquet(sink).select("request_id", "client", "accepted")
+    staged, source, sink, progress = (scratch_path(spark, n) for n in ("staged", "requests", "admitted", "progress"))
+    # Quarters of the time span arrive one after the other.
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = rows.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi"))).scalar()
+    quarter = F.least(F.floor((at - ends["lo"]) * 4 / F.greatest(ends["hi"] - ends["lo"], F.lit(1))), F.lit(3))
+    rows.withColumn("quarter", quarter.cast("int")).write.partitionBy("quarter").parquet(staged)
+    shape = rows.schema
+    parts = spark.read.schema(shape.add("quarter", "int")).parquet(staged)
+    for number in range(4):
+        parts.where(F.col("quarter") == number).drop("quarter").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        rate_limit_stream(stream, sink, progress, limit=LIMIT, window_seconds=DAY, availableNow=True).awaitTermination()
+    return spark.read.schema(DECISIONS).parquet(sink).select("request_id", "client", "accepted")
 
 
 @query
@@ -505,15 +493,6 @@ def n08_noisy_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- Extension points ---------------------------------------------------------
-@query
-def u01_batch_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def tokenize(batch: pd.DataFrame) -> pd.DataFrame:
-        cut = [t.lower().split()[: rules.MAX_SEQ_LENGTH] for t in batch["text"]]
-        return pd.DataFrame({"doc_id": batch["doc_id"], "words": [" ".join(t) for t in cut]})
-
-    return tokens.map_batches(inputs.documents(spark, sf_dir), tokenize, "doc_id bigint, words string")
-
-
 @query
 def u02_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows hit per entry of the pattern registries."""

@@ -15,18 +15,13 @@ SALTS = 256
 
 
 def drop_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Keep the first row of every text.
+    """``(id, content_key, text)`` of the first row of every text.
 
-    ``row_number() = 1`` is planned as a group limit before and after the
-    exchange: a map task sends at most one row per text.
+    Grouping by the text next to its key keeps this a hash aggregate: a map task sends
+    at most one row per text, and no text is sorted.
     """
-    first = Window.partitionBy("content_key").orderBy(id_col)
-    return (
-        df.withColumn("content_key", content_key(F.col(text)))
-        .withColumn("copy_number", F.row_number().over(first))
-        .where("copy_number = 1")
-        .drop("copy_number")
-    )
+    keyed = df.select(F.col(id_col), content_key(F.col(text)).alias("content_key"), F.col(text))
+    return keyed.groupBy("content_key", text).agg(F.min(id_col).alias(id_col)).select(id_col, "content_key", text)
 
 
 def flag_duplicates(

@@ -24,9 +24,9 @@ def row_digest_sums(key: Column, text_hash: Column, kept: Column | None = None)
     digest = F.sha2(F.concat_ws(":", key, text_hash), 256)
     sums = []
     for lane in range(LANES):
-        piece = F.conv(F.substring(digest, 1 + lane * HEX_PER_LANE, HEX_PER_LANE), 16, 10).cast("decimal(19,0)")
+        piece = F.conv(F.substring(digest, 1 + lane * HEX_PER_LANE, HEX_PER_LANE), 16, 10).cast("decimal(28,0)")  # the sum is decimal(38,0)
         total = F.sum(piece if kept is None else F.when(kept, piece))
-        sums.append(F.coalesce(total, F.lit(0).cast("decimal(29,0)")).alias(f"lane_{lane}"))
+        sums.append(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias(f"lane_{lane}"))
     return sums
 
 

@@ -183,9 +183,11 @@ def corpus_rouge(scores: DataFrame) -> DataFrame:
     )
 
 
-def perplexity(scores: DataFrame) -> DataFrame:
-    """Token-weighted perplexity of ``(doc_id, loss, n_tokens)`` rows."""
-    steps = F.least(F.col("n_tokens"), F.lit(rules.MAX_SEQ_LENGTH)) - 1
+def perplexity(scores: DataFrame, max_length: int | None = None) -> DataFrame:
+    """Token-weighted perplexity of ``(doc_id, loss, n_tokens)`` rows. ``max_length`` is
+    where the scorer cut its texts, if it did."""
+    n = F.col("n_tokens")
+    steps = (n if max_length is None else F.least(n, F.lit(max_length))) - 1
     usable = F.col("n_tokens") >= 2
     total = F.sum(F.when(usable, steps))
     weighted = F.sum(F.when(usable, F.col("loss") * steps))

@@ -1,87 +1,85 @@
-"""The sliding-log rate limit on a stream, with per-client state.
+"""The sliding-log rate limit on a stream.
 
-Event time decides. Rows later than the watermark are dropped, and rows of
-different micro-batches are judged in arrival order, so results equal the batch
-operator's when the input arrives in time order.
+Every micro-batch goes through the batch operator, with the clients' logs (``limit``
+stamps each, at most) as stored input, so a hot client is spread as in batch and no state
+lives in a Python process. Every request gets a decision: there is no watermark. Rows of
+different micro-batches are judged in arrival order, rows of one in time order, so results
+equal the batch operator's when the input arrives in time order. A client with a row that
+is earlier than its log is folded by itself: all its accepted requests less than a window
+older than the row, and any later ones, count.
+
+Decisions and logs of a micro-batch are written under its number, the logs read are those
+of the number before, and both are overwritten if the batch is repeated: the same batch
+number gives the same rows.
 """
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
 from textmill import rules
-from textmill.operators.limiter import decide, micros
-
-STATE_STORE = (
-    "spark.sql.streaming.stateStore.providerClass",
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-)
-_OUT = "client string, request_id bigint, ts timestamp, accepted boolean"
-
-
-class SlidingLog(StatefulProcessor):
-    """State per client: the stamps of its last accepted requests, ``limit`` at
-    most. A timer drops the state of a client idle for a whole window."""
-
-    def __init__(self, limit: int, window_us: int) -> None:
-        self.limit, self.window_us = limit, window_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.accepted = handle.getListState("accepted", "ts_us bigint")
+from textmill.operators.limiter import fold, latest_accepted, rate_limit, requests_of
+from textmill.session import materialize
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "request_id"], kind="stable")
-        log = deque((int(row[0]) for row in self.accepted.get()), maxlen=self.limit)
-        stamps = batch["ts_us"].to_numpy(dtype=np.int64)
-        accepted = decide(stamps, log, self.limit, self.window_us)
-        self.accepted.put([(stamp,) for stamp in log])
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if log:
-            self.handle.registerTimer((log[-1] + self.window_us) // 1000 + 1)
-        yield pd.DataFrame(
-            {"client": key[0], "request_id": batch["request_id"].to_numpy(), "ts": batch["ts"].to_numpy(), "accepted": accepted}
-        )
+_LOG = "client string, request_id bigint, ts_us bigint"
+DECISIONS = "client string, request_id bigint, ts timestamp, accepted boolean, batch bigint"
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.accepted.clear()
-        return iter(())
 
-    def close(self) -> None:
-        pass
+def _judged(requests: DataFrame, logs: DataFrame, limit: int, window_seconds: int) -> DataFrame:
+    """``(client, request_id, ts, accepted)`` of ``(client, request_id, ts_us)``."""
+    newest = logs.groupBy("client").agg(F.max("ts_us").alias("newest"))
+    late = materialize(
+        requests.groupBy("client").agg(F.min("ts_us").alias("first")).join(newest, "client").where("first < newest").select("client"),
+        "late-clients",
+    )
+    in_order = rate_limit(
+        requests.join(late, "client", "left_anti").withColumn("ts", F.timestamp_micros("ts_us")),
+        limit=limit,
+        window_seconds=window_seconds,
+        history=logs.join(requests.select("client").distinct(), "client", "left_semi").join(late, "client", "left_anti"),
+    )
+    rows = requests.withColumn("carried", F.lit(False)).unionByName(logs.withColumn("carried", F.lit(True)))
+    behind = fold(rows.join(late, "client", "left_semi").withColumn("stretch", F.lit(0).cast("bigint")), limit, window_seconds * 1_000_000)
+    return in_order.unionByName(
+        behind.where("not carried").select("client", "request_id", F.timestamp_micros("ts_us").alias("ts"), "accepted")
+    )
 
 
 def rate_limit_stream(
     stream: DataFrame,
+    output: str,
+    progress: str,
     client: str = "client",
     ts: str = "ts",
     id_col: str = "request_id",
     limit: int = rules.RATE_LIMIT,
     window_seconds: int = rules.RATE_WINDOW_SECONDS,
-    lateness: str = "0 seconds",
-) -> DataFrame:
-    """``(client, request_id, ts, accepted)`` for every request of a stream."""
-    requests = stream.select(
-        F.coalesce(F.col(client).cast("string"), F.lit(rules.UNKNOWN)).alias("client"),
-        F.col(id_col).cast("bigint").alias("request_id"),
-        F.timestamp_micros(micros(stream, ts)).alias("ts"),
-        micros(stream, ts).alias("ts_us"),
-    )
-    return (
-        requests.withWatermark("ts", lateness)
-        .groupBy("client")
-        .transformWithStateInPandas(
-            SlidingLog(limit, window_seconds * 1_000_000),
-            outputStructType=_OUT,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
-    )
+    lateness_seconds: int | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Starts the query. Decisions go to ``output`` (read with ``DECISIONS``), logs and
+    the query's own progress to ``progress``. Stamps older than a window and
+    ``lateness_seconds`` (a window, if not given) before the newest request leave the
+    logs. The trigger is that of ``DataStreamWriter.trigger``."""
+    requests = requests_of(stream, client, ts, id_col)
+    spare = (window_seconds + (window_seconds if lateness_seconds is None else lateness_seconds)) * 1_000_000
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = materialize(batch, "limiter-batch")
+        if number:
+            logs = spark.read.schema(_LOG).parquet(f"{progress}/logs/{number - 1}")
+        else:
+            logs = spark.createDataFrame([], _LOG)
+        decided = materialize(_judged(rows, logs, limit, window_seconds), "limiter-decisions")
+        decided.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        new = decided.where("accepted").select("client", "request_id", F.unix_micros("ts").alias("ts_us"))
+        every = logs.unionByName(new)
+        oldest = every.agg(F.max("ts_us") - F.lit(spare)).scalar()
+        kept = latest_accepted(every.withColumn("accepted", F.lit(True)), ["client"], limit).where(F.col("ts_us") > oldest)
+        kept.select("client", "request_id", "ts_us").write.mode("overwrite").parquet(f"{progress}/logs/{number}")
+
+    writer = requests.writeStream.foreachBatch(each).option("checkpointLocation", f"{progress}/query").outputMode("append")
+    return writer.trigger(**trigger).start() if trigger else writer.start()
