@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from textmill.functions import tokens
+from textmill.functions import porter, tokens
 from textmill.operators import overlap
 from textmill.plans.evaluation import evaluate
 
@@ -81,11 +81,44 @@ def test_scores_equal_brute_force(spark, pairs, items):
         assert plain[i] == _clipped(_ascii_words(p), _ascii_words(r))
 
 
-def test_lcs_of_long_texts(spark):
+def test_lcs_of_long_texts():
     rng = random.Random(1)
     a, b = (rng.choices("abcdefgh", k=n) for n in (700, 900))
-    row = spark.createDataFrame([(a, b)], "a array<string>, b array<string>").select(overlap.lcs_length(F.col("a"), F.col("b")))
-    assert row.first()[0] == _lcs(a, b)
+    assert overlap.lcs(a, b) == _lcs(a, b)
+
+
+def test_both_stemmers_agree(spark):
+    rng = random.Random(3)
+    suffixes = [s for table in (porter.STEP_1A, porter.STEP_2, porter.STEP_3, porter.STEP_4) for s, *_ in table]
+    suffixes += ["ed", "ing", "eed", "ied", "y", "logi", "alli", "e", "ll", "ion", "yy", ""]
+    made = {"".join(rng.choices("abeilostyz1", k=rng.randrange(1, 6))) + rng.choice(suffixes) for _ in range(6000)}
+    words = sorted(made | set(porter.IRREGULAR))
+    table = spark.createDataFrame([(w,) for w in words], "w string")
+    column = table.select("w", F.element_at(tokens.stem_tokens(F.array("w")), 1).alias("s")).collect()
+    assert [(r.w, porter.stem(r.w)) for r in column] == [(r.w, r.s) for r in column]
+
+
+# Examples that the algorithm's author gives in the paper of 1980.
+PUBLISHED = {
+    "caresses": "caress", "ponies": "poni", "caress": "caress", "cats": "cat", "feed": "feed", "agreed": "agre",
+    "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing", "conflated": "conflat",
+    "troubled": "troubl", "sized": "size", "hopping": "hop", "falling": "fall", "hissing": "hiss", "filing": "file",
+    "happy": "happi", "relational": "relat", "conditional": "condit", "valenci": "valenc", "digitizer": "digit",
+    "radically": "radic", "vietnamization": "vietnam", "predication": "predic", "operator": "oper",
+    "feudalism": "feudal", "decisiveness": "decis", "hopefulness": "hope", "callousness": "callous",
+    "formaliti": "formal", "sensitiviti": "sensit", "sensibiliti": "sensibl", "triplicate": "triplic",
+    "formative": "form", "formalize": "formal", "electriciti": "electr", "electrical": "electr", "hopeful": "hope",
+    "goodness": "good", "revival": "reviv", "allowance": "allow", "inference": "infer", "airliner": "airlin",
+    "gyroscopic": "gyroscop", "adjustable": "adjust", "defensible": "defens", "irritant": "irrit",
+    "replacement": "replac", "adjustment": "adjust", "dependent": "depend", "adoption": "adopt",
+    "communism": "commun", "activate": "activ", "angulariti": "angular", "homologous": "homolog",
+    "effective": "effect", "bowdlerize": "bowdler", "probate": "probat", "rate": "rate", "cease": "ceas",
+    "controll": "control", "roll": "roll",
+}
+
+
+def test_published_examples():
+    assert {w: porter.stem(w) for w in PUBLISHED} == PUBLISHED
 
 
 def test_corpus_means(spark, pairs, items):
@@ -111,7 +144,7 @@ def test_prediction_without_reference_counts_as_zero(spark):
     "rows, want",
     [
         ([(1, 2.0, 3), (2, 1.0, 2)], math.exp((2.0 * 2 + 1.0) / 3)),
-        ([(1, 2.0, 1000), (2, 1.0, 256)], math.exp(1.5)),
+        ([(1, 2.0, 1001), (2, 1.0, 251)], math.exp((2000 + 250) / 1250)),
         ([(1, 9.0, 1), (2, 9.0, 0)], math.inf),
         ([(1, 9.0, 1), (2, 1.0, 2)], math.exp(1.0)),
         ([], math.inf),
@@ -122,6 +155,11 @@ def test_perplexity(spark, rows, want):
     assert overlap.perplexity(table).first()[0] == pytest.approx(want)
 
 
+def test_perplexity_of_a_scorer_that_cuts(spark):
+    table = spark.createDataFrame([(1, 2.0, 1000), (2, 1.0, 256)], "doc_id bigint, loss double, n_tokens int")
+    assert overlap.perplexity(table, max_length=256).first()[0] == pytest.approx(math.exp(1.5))
+
+
 def test_cap_counts_texts_before_the_length_test(texts):
     items = ["x" * 59, "y" * 60, "z" * 61, "w" * 62]
     got = overlap.eval_texts(texts(items), cap=3).collect()

@@ -2,14 +2,16 @@
 1980) over an array of lower-case tokens, with the extensions that stemmers used
 for ROUGE commonly make to it.
 
-Each step is a table of suffix rules turned into one ``CASE`` inside a
-``transform``, so stems are computed in the JVM, in place, with neither a
-vocabulary shuffle nor a join on skewed tokens.
+``stem_tokens`` is a column: each step is a table of suffix rules turned into one
+``CASE`` inside a ``transform``, computed in the JVM, in place. ``stem`` does the same
+for one token, with a bounded memory of tokens met, inside Arrow functions that have the
+tokens in Python anyway.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -166,3 +168,82 @@ def stem_tokens(tokens: Column, min_chars: int = 4) -> Column:
         .when(token.isin(*IRREGULAR), irregular[token])
         .otherwise(F.lower(stem)),
     )
+
+
+@lru_cache(maxsize=1024)
+def _rule(stem: str, suffix: str) -> re.Pattern:
+    return re.compile(f"({stem}){suffix}")
+
+
+def _swapped(word: str, stem: str, suffix: str, into: str) -> str:
+    met = _rule(stem or ".*", suffix).fullmatch(word)
+    return met[1] + into if met else word
+
+
+def _by_table(word: str, rules: tuple) -> str:
+    for suffix, into, condition in rules:
+        if word.endswith(suffix):
+            return _swapped(word, condition, suffix, into)
+    return word
+
+
+_DOUBLED = re.compile("(?:yY|([bcdfghjkmnpqrtvwx0-9])\\1)$")
+_SHORT = re.compile(f"(?=^{C}*{V}+[^aeiouy]+{V}*$){ENDS_CVC}")
+_LOGI = re.compile(f"(?={C}*{V}+{C}.*ogi$)(.*)logi")
+_ION = re.compile(f"(?={M1}ion$)(.*[st])ion")
+_FINAL_E = re.compile(f"((?:{M1})|(?!{ENDS_CVC}e$)(?:{C}*{V}+{C}+{V}*))e")
+_FINAL_L = re.compile(f"({M1})l")
+
+
+def _cut_ed_ing(word: str) -> str:
+    if word.endswith("ied"):
+        return word[:-1] if len(word) == 4 else word[:-2]
+    if word.endswith("eed"):
+        return _swapped(word, M0, "eed", "ee")
+    for suffix in ("ed", "ing"):
+        if word.endswith(suffix):
+            cut = word[: -len(suffix)]
+            if not re.search(V, cut):
+                return word
+            if cut.endswith(("at", "bl", "iz")):
+                return cut + "e"
+            if _DOUBLED.search(cut):
+                return cut[:-1]
+            if cut.endswith(("ll", "ss", "zz")):
+                return cut
+            return cut + "e" if _SHORT.fullmatch(cut) else cut
+    return word
+
+
+@lru_cache(maxsize=1 << 17)
+def stem(token: str, min_chars: int = 4) -> str:
+    if len(token) < min_chars:
+        return token
+    if token in IRREGULAR:
+        return IRREGULAR[token]
+    word = re.sub("yy", "yY", re.sub("(^|[aeiou])y", r"\1Y", token))
+    if word.endswith("s"):
+        word = word[:-1] if word.endswith("ies") and len(word) == 4 else _by_table(word, STEP_1A)
+    word = _cut_ed_ing(word)
+    if word.endswith("y"):
+        word = _swapped(word, f".+{C}", "y", "i")
+    if word.endswith("alli"):
+        word = _swapped(word, M0, "alli", "al")
+    if word.endswith("logi"):
+        met = _LOGI.fullmatch(word)
+        word = met[1] + "log" if met else word
+    else:
+        word = _by_table(word, STEP_2)
+    word = _by_table(word, STEP_3)
+    if word.endswith("ion"):
+        met = _ION.fullmatch(word)
+        word = met[1] if met else word
+    else:
+        word = _by_table(word, STEP_4)
+    if word.endswith("e"):
+        met = _FINAL_E.fullmatch(word)
+        word = met[1] if met else word
+    elif word.endswith("ll"):
+        met = _FINAL_L.fullmatch(word)
+        word = met[1] if met else word
+    return word.lower()

@@ -28,15 +28,6 @@ def rouge_words(text: Column, stem: bool = True) -> Column:
     return stem_tokens(parts) if stem else parts
 
 
-def bigrams(tokens: Column) -> Column:
-    """Adjacent pairs; empty when there are fewer than two tokens."""
-    # Outside the range where n - 1 is a valid length, slice would fail.
-    n = F.greatest(F.size(tokens) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)
-    )
-
-
 def token_count(text: Column) -> Column:
     return F.size(words(text))
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from textmill import rules
+from textmill.functions.porter import stem
 from textmill.functions.quality import eval_eligible
-from textmill.functions.text import continuation_part, prompt_part
-from textmill.functions.tokens import bigrams, rouge_words, words
+from textmill.functions.text import continuation_part, once, prompt_part
 
 
 def eval_texts(df: DataFrame, cap: int | None = None) -> DataFrame:
@@ -30,35 +31,6 @@ def pair_up(references: DataFrame, predictions: DataFrame, how: str = "inner") -
     return predictions.select("doc_id", "prediction").join(references.select("doc_id", "reference"), "doc_id", how)
 
 
-def _tag(tokens: Column, code: int) -> Column:
-    return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(code).alias("code")))
-
-
-def overlap_counts(pairs: DataFrame, sides: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """Per pair and name: tokens in common (as multisets), and tokens per side.
-
-    Pairs are spread by id once; grouping by (id, name, token) and then by id
-    follows that layout, so no exploded token crosses the network and a frequent
-    token is never a key of its own.
-    """
-    # Exploded rows are many, so they are small: name k and side in one number,
-    # 2k for a reference token and 2k + 1 for a predicted one.
-    tagged = [_tag(tokens, 2 * k + 1 - side) for k, both in enumerate(sides.values()) for side, tokens in enumerate(both)]
-    predicted = F.col("code") % 2
-    per_token = (
-        pairs.repartition("doc_id")
-        .select("doc_id", F.inline_outer(F.concat(*tagged)))
-        .groupBy("doc_id", F.floor(F.col("code") / 2).cast("int").alias("k"), "token")
-        .agg(F.sum(predicted).alias("p"), F.sum(1 - predicted).alias("r"))
-    )
-    totals = []
-    for k, name in enumerate(sides):
-        mine = F.col("k") == k
-        for what, value in (("overlap", F.least("p", "r")), ("n_pred", F.col("p")), ("n_ref", F.col("r"))):
-            totals.append(F.coalesce(F.sum(F.when(mine, value)), F.lit(0)).alias(f"{name}_{what}"))
-    return per_token.groupBy("doc_id").agg(*totals)
-
-
 def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:
     """Harmonic mean of precision and recall; 0 without any overlap."""
     precision = overlap / F.greatest(n_pred, F.lit(1))
@@ -67,113 +39,88 @@ def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:
 
 
 def _f(name: str) -> Column:
-    return f_measure(*(F.col(f"{name}_{x}") for x in ("overlap", "n_pred", "n_ref")))
-
-
-def token_f1(pairs: DataFrame) -> DataFrame:
-    sides = {"f1": (words(F.col("prediction")), words(F.col("reference")))}
-    return overlap_counts(pairs, sides).select("doc_id", F.round(_f("f1"), 4).alias("token_f1"))
+    return f_measure(*(F.col(f"counts.{name}_{x}") for x in ("overlap", "n_pred", "n_ref")))
 
 
 def mean_token_f1(scores: DataFrame) -> DataFrame:
     return scores.agg(F.coalesce(F.round(F.avg("token_f1"), 4), F.lit(0.0)).alias("token_f1"))
 
 
-def with_rouge_tokens(pairs: DataFrame, stem: bool = True) -> DataFrame:
-    return pairs.withColumns(
-        {
-            "pred_tokens": rouge_words(F.col("prediction"), stem),
-            "ref_tokens": rouge_words(F.col("reference"), stem),
-        }
-    )
+def lcs(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence, by a bit-parallel row update
+    (Crochemore et al., 2001): one big integer is a whole row of the table, so a pair
+    costs len(a) integer operations."""
+    places: dict[str, int] = {}
+    for j, token in enumerate(b):
+        places[token] = places.get(token, 0) | (1 << j)
+    full = (1 << len(b)) - 1
+    row = full
+    for token in a:
+        hit = row & places.get(token, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(b) - row.bit_count()
 
 
-def _lines(texts: pa.Array) -> list[list[str]]:
-    return [t.split("\n") if t else [] for t in texts.to_pylist()]
+_ASCII_WORD = re.compile("[a-z0-9]+")
 
 
-@F.arrow_udf(LongType())
-def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
-    # Bit-parallel row update (Crochemore et al., 2001): one big integer is a
-    # whole row of the table, so a pair costs len(left) integer operations.
-    lengths = []
-    for a, b in zip(_lines(left), _lines(right)):
-        places: dict[str, int] = {}
-        for j, token in enumerate(b):
-            places[token] = places.get(token, 0) | (1 << j)
-        full = (1 << len(b)) - 1
-        row = full
-        for token in a:
-            hit = row & places.get(token, 0)
-            row = ((row + hit) | (row - hit)) & full
-        lengths.append(len(b) - row.bit_count())
-    return pa.array(lengths, pa.int64())
+def _counted(a: list, b: list) -> tuple[int, int, int]:
+    return (Counter(a) & Counter(b)).total(), len(a), len(b)
 
 
-@F.arrow_udf(LongType())
-def _common(left: pa.Array, right: pa.Array) -> pa.Array:
-    counts = [(Counter(a) & Counter(b)).total() for a, b in zip(_lines(left), _lines(right))]
-    return pa.array(counts, pa.int64())
+def _pair_counts(prediction: str, reference: str, parts: tuple[str, ...], stemmed: bool) -> list[int]:
+    counts: list[int] = []
+    if "f1" in parts:
+        counts += _counted(prediction.split(), reference.split())
+    if parts != ("f1",):
+        a, b = (_ASCII_WORD.findall(t) for t in (prediction, reference))
+        if stemmed:
+            a, b = list(map(stem, a)), list(map(stem, b))
+        if "rouge1" in parts:
+            counts += _counted(a, b)
+        if "rouge2" in parts:
+            counts += _counted(list(pairwise(a)), list(pairwise(b)))
+        if "rougeL" in parts:
+            counts += (lcs(a, b), len(a), len(b))
+    return counts
 
 
-def lcs_length(left: Column, right: Column) -> Column:
-    """Length of the longest common subsequence of two token arrays."""
-    return _lcs(F.array_join(left, "\n"), F.array_join(right, "\n"))
+def _scored(pairs: DataFrame, parts: tuple[str, ...], stemmed: bool = True) -> DataFrame:
+    """``(doc_id, counts)``: tokens in common and tokens per side for each part. All of
+    it is row-local: both texts go to Python once, and one struct comes back."""
+    names = [f"{part}_{what}" for part in parts for what in ("overlap", "n_pred", "n_ref")]
 
+    @F.arrow_udf(StructType([StructField(n, LongType()) for n in names]))
+    def count(prediction: pa.Array, reference: pa.Array) -> pa.Array:
+        rows = [
+            _pair_counts(p or "", r or "", parts, stemmed)
+            for p, r in zip(prediction.to_pylist(), reference.to_pylist(), strict=True)
+        ]
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-def common_tokens(left: Column, right: Column) -> Column:
-    """Tokens that two arrays have in common, as multisets, within the row."""
-    return _common(F.array_join(left, "\n"), F.array_join(right, "\n"))
+    return pairs.select("doc_id", once(count(F.lower("prediction"), F.lower("reference"))).alias("counts"))
 
 
-def rouge_l(pairs: DataFrame, stem: bool = True) -> DataFrame:
-    tokens = with_rouge_tokens(pairs, stem).select("doc_id", "pred_tokens", "ref_tokens")
-    return tokens.withColumn("lcs", lcs_length(F.col("pred_tokens"), F.col("ref_tokens"))).select(
-        "doc_id", f_measure(F.col("lcs"), F.size("pred_tokens"), F.size("ref_tokens")).alias("rougeL")
-    )
+def token_f1(pairs: DataFrame) -> DataFrame:
+    return _scored(pairs, ("f1",)).select("doc_id", F.round(_f("f1"), 4).alias("token_f1"))
 
 
-def _rouge_sides(orders: tuple[int, ...] = (1, 2)) -> dict[str, tuple[Column, Column]]:
-    p, r = F.col("pred_tokens"), F.col("ref_tokens")
-    both = {1: (p, r), 2: (bigrams(p), bigrams(r))}
-    return {f"rouge{n}": both[n] for n in orders}
+def rouge_l(pairs: DataFrame, stem: bool = True) -> DataFrame:
+    return _scored(pairs, ("rougeL",), stem).select("doc_id", _f("rougeL").alias("rougeL"))
 
 
 def rouge_n(pairs: DataFrame, orders: tuple[int, ...] = (1, 2), stem: bool = True) -> DataFrame:
     """ROUGE-1 and/or ROUGE-2 per pair."""
-    spread = pairs.repartition("doc_id")  # before the tokenization, which is the bulk of the work
-    counts = overlap_counts(with_rouge_tokens(spread, stem), _rouge_sides(orders))
-    return counts.select("doc_id", *[_f(f"rouge{n}").alias(f"rouge{n}") for n in orders])
+    parts = tuple(f"rouge{n}" for n in orders)
+    return _scored(pairs, parts, stem).select("doc_id", *[_f(part).alias(part) for part in parts])
 
 
 def score_pairs(pairs: DataFrame, stem: bool = True) -> DataFrame:
-    """All four scores per pair. A missing reference counts as an empty one.
-
-    The longest common subsequence takes both token lists to Python anyway. Counting
-    what they share there as well leaves nothing to explode or to shuffle: all
-    scores are row-local.
-    """
-    filled = pairs.withColumn("reference", F.coalesce("reference", F.lit("")))
-    tokens = with_rouge_tokens(filled, stem).withColumns(
-        {"pred_words": words(F.col("prediction")), "ref_words": words(F.col("reference"))}
-    )
-    sides = {"f1": (F.col("pred_words"), F.col("ref_words")), **_rouge_sides()}
-    sized = {f"{name}_n_pred": F.size(p) for name, (p, _) in sides.items()}
-    sized |= {f"{name}_n_ref": F.size(r) for name, (_, r) in sides.items()}
-    common = {f"{name}_overlap": common_tokens(p, r) for name, (p, r) in sides.items()}
-    counts = tokens.select(
-        "doc_id",
-        *[value.alias(name) for name, value in {**sized, **common}.items()],
-        lcs_length(F.col("pred_tokens"), F.col("ref_tokens")).alias("lcs"),
-    )
-    rouge_l_score = f_measure(F.col("lcs"), F.col("rouge1_n_pred"), F.col("rouge1_n_ref"))
-    return counts.select(
-        "doc_id",
-        F.round(_f("f1"), 4).alias("token_f1"),
-        _f("rouge1").alias("rouge1"),
-        _f("rouge2").alias("rouge2"),
-        rouge_l_score.alias("rougeL"),
-    )
+    """All four scores per pair. A missing text counts as an empty one."""
+    parts = ("f1", "rouge1", "rouge2", "rougeL")
+    scores = [_f(part).alias(part) for part in parts[1:]]
+    return _scored(pairs, parts, stem).select("doc_id", F.round(_f("f1"), 4).alias("token_f1"), *scores)
 
 
 def corpus_rouge(scores: DataFrame) -> DataFrame:
