@@ -11,14 +11,14 @@ from textmill.plans.cleaning import clean_corpus, clean_table
 from textmill.sources import corpus as files
 
 DIRTY = [
-    "Machine learning models need careful evaluation.",
-    "Machine learning models need careful evaluation.",
-    "<div>HTML content</div>",
-    "Contact john@example.com for details.",
-    "x",
-    "A" * 3000,
-    "Fine-tuning improves domain-specific performance significantly.",
-    "Gradient descent is used to minimize the loss function in training.",
+    "The ferry leaves the old harbour at seven.",
+    "q",
+    "Ask mara.k@harbour.example about the timetable.",
+    "In winter the island is reached by the mail boat only.",
+    "<td>Crossing: forty minutes</td>",
+    "The ferry leaves the old harbour at seven.",
+    "z" * 2400,
+    "Fog keeps the boats in port on about thirty days a year.",
 ]
 
 
@@ -83,9 +83,14 @@ def test_first_copy_stays(texts):
     assert {r.doc_id: r.is_duplicate for r in flagged} == {0: False, 1: False, 2: True, 3: True, 4: True}
 
 
-def test_copies_are_thinned_out_before_the_exchange(texts):
+def test_copies_are_thinned_out_before_the_only_exchange(texts):
     plan = dedup.drop_duplicates(texts(DIRTY))._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("row_number(), 1, Final") < plan.index("row_number(), 1, Partial")
+    assert plan.count("hashpartitioning(content_key") == 1 and "Sort" not in plan and plan.count("HashAggregate") == 2
+
+
+def test_fingerprint_sums_hold_any_number_of_rows(texts):
+    sums = texts(["a"]).agg(*fingerprint.row_digest_sums(F.lit("k"), F.lit("h")))
+    assert {kind for _, kind in sums.dtypes} == {"decimal(38,0)"}
 
 
 def test_texts_equal_only_after_normalization_both_stay(texts):
@@ -147,12 +152,37 @@ def test_job_writes_splits_and_manifest(spark, texts, out):
     assert row.dataset_hash == fingerprint.dataset_fingerprint(cleaned, 99).first().dataset_hash
     assert files.read_splits(spark, f"{out}/clean/splits").count() == 3
     assert {r.split for r in files.read_splits(spark, f"{out}/clean/splits", "train").collect()} == {"train"}
-    with pytest.raises(Exception):
-        files.read_splits(spark, f"{out}/clean/splits", "val").count()  # three rows leave it empty
+    assert files.read_splits(spark, f"{out}/clean/splits", "val").count() == 0  # three rows leave it empty
     with pytest.raises(ValueError):
         files.read_splits(spark, f"{out}/clean/splits", "dev")
 
 
+def test_job_on_records_without_ids(spark, out):
+    rows = [(f"A perfectly fine sentence number {i}.",) for i in range(100)] + [("short",), ("A perfectly fine sentence number 7.",)]
+    files.write_jsonl(spark.createDataFrame(rows, "text string"), f"{out}/raw")
+    row = clean_corpus(spark, f"{out}/raw", f"{out}/clean").first()
+    written = files.read_splits(spark, f"{out}/clean/splits").collect()
+    sizes = {name: sum(r.split == name for r in written) for name in rules.SPLITS}
+    assert sizes == {"train": 80, "val": 10, "test": 10}
+    assert (row.stats.train_count, row.stats.val_count, row.stats.test_count) == (80, 10, 10)
+    kept = cleaning.clean(files.read_jsonl(spark, f"{out}/raw"), with_key=True)
+    assert row.dataset_hash == fingerprint.dataset_fingerprint(kept).first().dataset_hash
+
+
+@pytest.mark.parametrize("ids", [[1, None, 3], [1, 2, 2]])
+def test_split_refuses_missing_and_repeated_ids(spark, ids):
+    rows = spark.createDataFrame([(i, f"t{n}") for n, i in enumerate(ids)], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="id"):
+        split.assign_splits(rows).collect()
+
+
+@pytest.mark.parametrize("run", [cleaning.clean, cleaning.classify, cleaning.cleaning_stats, lambda t: cleaning.manifest(t, "x")])
+def test_a_row_without_a_text_fails_everywhere(spark, run):
+    rows = spark.createDataFrame([(1, "A perfectly fine sentence."), (2, None)], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="without a text"):
+        run(rows).collect()
+
+
 def test_jsonl_scan(spark, out):
     spark.createDataFrame([('{"doc_id": 1, "text": "\u00e9"}',), ("   ",), ("",)], "value string").coalesce(1).write.text(out)
     assert [(r.doc_id, r.text) for r in files.read_jsonl(spark, out).collect()] == [(1, "\u00e9")]

@@ -5,15 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from textmill import rules
-from textmill.functions import quality, text, tokens
+from textmill.functions import porter, quality, text, tokens
 
 
 def test_normalize(column):
     cases = {
-        "hello\x00world\x07": "helloworld",
+        "low\x00tide\x07": "lowtide",
         "Plain text stays as it is.": "Plain text stays as it is.",
-        "cafe\u0301": "caf\u00e9",
-        "  hello  ": "hello",
+        "re\u0301cif": "r\u00e9cif",
+        "  reef  ": "reef",
         "\u3000\u2003 tab\tand\nline \x85\xa0": "tab\tand\nline",
         "\x80quoted\x92": "quoted",
         "\u1100\u1161": "\uac00",
@@ -46,12 +46,12 @@ def test_invalid_utf8_becomes_replacement(spark):
 @pytest.mark.parametrize(
     "value, hit",
     [
-        ("<p>Hello</p>", True),
-        ("Tom &amp; Jerry", True),
-        ("No HTML here.", False),
-        ("if a < b then", False),
-        ("&#8212; is an em-dash", True),
-        ("&#x2014; is not seen", False),
+        ("<em>Low tide</em>", True),
+        ("salt &amp; sand", True),
+        ("Nothing marked up.", False),
+        ("when x < y holds", False),
+        ("&#167; marks a section", True),
+        ("&#xA7; is not seen", False),
         ("<>", False),
         ("<>>", False),
         ("a > b < c", False),
@@ -67,27 +67,27 @@ def test_html(column, value, hit):
 
 
 PII_CASES = {
-    "Contact me at john@example.com": "email",
+    "Write to mara.k@harbour.example": "email",
     "weird tld a@b.c|d": "email",
     "a@b.c": "",
-    "SSN: 123-45-6789": "ssn,ssn_label",
-    "\u00e9123-45-6789": "",
-    "123-45-6789\u0301": "ssn",
-    "Call 555-123-4567 now": "phone",
-    "bare 5551234567": "phone",
+    "SSN: 078-05-1120": "ssn,ssn_label",
+    "\u00e9078-05-1120": "",
+    "078-05-1120\u0301": "ssn",
+    "Ring 212-555-0187 today": "phone",
+    "plain 2125550187": "phone",
     "\u0660\u0661\u0662-\u0663\u0664-\u0665\u0666\u0667\u0668": "ssn",
-    "Card: 4242 4242 4242 4242": "card",
-    "4242-4242-4242-4242": "",
-    "Patient DOB: 03/15/1985": "dob",
-    "patient dob\u2003:03/15/1985": "dob",
-    "Patient DOB 03/15/1985": "",
-    "MRN: 0012345": "mrn",
+    "Card: 4111 1111 1111 1111": "card",
+    "4111-1111-1111-1111": "",
+    "Patient DOB: 11/02/1971": "dob",
+    "patient dob\u2003:11/02/1971": "dob",
+    "Patient DOB 11/02/1971": "",
+    "MRN: 7734019": "mrn",
     "mrn :1": "mrn",
-    "\u017fsn: 123-45-6789": "ssn,ssn_label",
-    "Gradient descent minimizes the loss function.": "",
-    "The year 2024 was productive.": "",
-    "phone 1234567890123": "",
-    "555\xa0123\xa04567": "phone",
+    "\u017fsn: 078-05-1120": "ssn,ssn_label",
+    "Tides follow the moon.": "",
+    "The winter of 1987 was mild.": "",
+    "phone 9876543210987": "",
+    "212\xa0555\xa00187": "phone",
 }
 
 
@@ -98,10 +98,10 @@ def test_pii_kinds(column):
 
 def test_boilerplate(column):
     cases = {
-        "All rights reserved. Unauthorized reproduction is prohibited.": 2,
+        "Unauthorized reproduction of these charts is theft; all rights reserved.": 2,
         "All rights reserved.": 1,
         "all RIGHTS reserved. All rights reserved.": 1,
-        "Transformers use self-attention.": 0,
+        "Harbours silt up slowly.": 0,
     }
     assert column(quality.boilerplate_score, list(cases)) == list(cases.values())
     assert column(quality.is_boilerplate, list(cases)) == [True, False, False, False]
@@ -111,7 +111,7 @@ def test_length_and_broken_unicode(column):
     assert column(quality.length_ok, ["x" * 19, "x" * 20, "x" * 2000, "x" * 2001, "\U0001f600" * 20]) == [
         False, True, True, False, True,
     ]
-    assert column(quality.has_broken_unicode, ["hello\ufffdworld", "Normal text here."]) == [True, False]
+    assert column(quality.has_broken_unicode, ["low\ufffdtide", "A plain line."]) == [True, False]
 
 
 def test_precedence_and_equivalence_of_the_two_rule_chains(column):
@@ -137,7 +137,6 @@ def test_slices_and_prompt_removal(spark):
 
 def test_tokens(column, texts):
     assert column(tokens.words, ["  The cat\tSAT\n", ""]) == [["the", "cat", "sat"], []]
-    assert column(lambda t: tokens.bigrams(tokens.words(t)), ["a b c", "a", ""]) == [["a b", "b c"], [], []]
     assert [len(x) for x in column(lambda t: tokens.truncate(tokens.words(t)), ["w " * 300, "w w"])] == [256, 2]
     got = tokens.map_batches(texts(["a b"]), lambda b: b.assign(n=b.text.str.len())[["n"]], "n int").collect()
     assert [r.n for r in got] == [3]
@@ -167,4 +166,4 @@ STEMS = {
 
 def test_stems(column):
     got = column(lambda t: F.element_at(tokens.stem_tokens(F.array(t)), 1), list(STEMS))
-    assert dict(zip(STEMS, got)) == STEMS
+    assert dict(zip(STEMS, got)) == STEMS == {w: porter.stem(w) for w in STEMS}

@@ -97,6 +97,10 @@ SPLIT = f"""{KEYED}, placed AS (
   SELECT *, row_number() OVER (ORDER BY order_key, doc_id) AS place, count(*) OVER () AS n FROM keyed),
 split AS (SELECT *, CASE WHEN place <= floor(n * 0.8::DOUBLE) THEN 'train'
   WHEN place <= floor(n * 0.9::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM placed)"""
+# The same, where a row's key is that of its raw text.
+SPLIT_BY_TEXT = SPLIT.replace("sha256('42:' || doc_id)", "sha256('42:' || md5(text))").replace(
+    "SELECT doc_id, t AS text", "SELECT md5(text) AS doc_id, t AS text"
+)
 COUNTS = f"""SELECT count(*) AS total_input,
   {', '.join(f"count(*) FILTER (reason = '{r}') AS removed_{r}" for r in rules.REASONS)},
   count(*) FILTER (reason = 'keep') AS total_output,
@@ -340,6 +344,7 @@ ORACLES: dict[str, str] = {
     "s01_jsonl_scan": NOISY,
     "s02_split_scan": _over("split", SPLIT, "doc_id, text, split") + " WHERE split <> 'test'",
     "s03_split_sink": _over("split", SPLIT, "doc_id, text, split"),
+    "s03_splits_without_ids": _over("split", SPLIT_BY_TEXT, "text, split"),
     "s04_manifest": f"""WITH {KEYED}, fp AS (SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')}))
 SELECT '1.0.0' AS cleaning_rules_version, 42 AS split_seed, dataset_hash, 'corpus' AS input_file, c.* FROM fp, ({COUNTS}) AS c""",
     "s05_manifest_lookup": f"""WITH {KEYED.replace(CORPUS, 'corpus AS (SELECT doc_id, text FROM documents)')},

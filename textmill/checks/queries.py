@@ -12,6 +12,7 @@ from textmill.checks import inputs
 from textmill.functions import guards, quality, text, tokens
 from textmill.functions.porter import stem_tokens
 from textmill.operators import cleaning, dedup, fingerprint, limiter, noise, overlap, requests, runlog, split
+from textmill.plans.cleaning import clean_corpus
 from textmill.plans.evaluation import evaluate
 from textmill.session import materialize, scratch_path
 from textmill.sources import corpus as files
@@ -78,6 +79,15 @@ def s03_split_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_splits(spark, _split_files(spark, sf_dir))
 
 
+@query
+def s03_splits_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job on JSON Lines that hold texts only."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "cleaned")
+    files.write_jsonl(inputs.corpus(spark, sf_dir).select("text"), raw)
+    clean_corpus(spark, raw, out)
+    return files.read_splits(spark, f"{out}/splits").select("text", "split")
+
+
 @query
 def s04_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "manifest")

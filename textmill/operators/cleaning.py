@@ -16,11 +16,13 @@ from textmill.functions.quality import first_failure, passes_all
 from textmill.functions.text import content_key, normalize_text, once
 from textmill.operators.dedup import flag_duplicates
 from textmill.operators.fingerprint import digest_of_sums, row_digest_sums
-from textmill.operators.split import order_key, split_sizes
+from textmill.operators.split import order_key, row_key, split_sizes
 
 
 def with_normalized(df: DataFrame, text: str = "text") -> DataFrame:
-    raw = F.col(text)
+    """Keys and normalized texts. A row without a text fails the job, in every operator
+    alike."""
+    raw = F.coalesce(F.col(text), F.raise_error(F.lit("record without a text")))
     return df.select("doc_id", content_key(raw).alias("content_key"), once(normalize_text(raw)).alias("norm"))
 
 
@@ -33,15 +35,16 @@ def classify(df: DataFrame) -> DataFrame:
     )
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` of the kept rows, normalized."""
+def clean(df: DataFrame, with_key: bool = False) -> DataFrame:
+    """``(doc_id, text)`` of the kept rows, normalized; with ``content_key``, by which
+    rows without ids can be told apart, if asked for."""
     passed = with_normalized(df).where(passes_all(F.col("norm")))
     # Grouping by the text itself, which the key determines, keeps this a hash
     # aggregate with map-side combine.
     return (
         passed.groupBy("content_key", F.col("norm").alias("text"))
         .agg(F.min("doc_id").alias("doc_id"))
-        .select("doc_id", "text")
+        .select("doc_id", *["content_key"] * with_key, "text")
     )
 
 
@@ -101,9 +104,9 @@ def manifest(df: DataFrame, input_file: str, seed: int = rules.SPLIT_SEED) -> Da
     Counters and hash come out of one scan and one shuffle of narrow rows; the
     texts themselves are hashed where they are read.
     """
-    kept = F.col("rule").isNull()
-    sums = row_digest_sums(order_key(F.col("doc_id"), seed), F.col("text_hash"), kept)
-    totals = _with_split_counts(_per_text(df, hash_texts=True).agg(*_counts(), *sums))
+    kept, texts = F.col("rule").isNull(), _per_text(df, hash_texts=True)
+    sums = row_digest_sums(order_key(row_key(texts), seed), F.col("text_hash"), kept)
+    totals = _with_split_counts(texts.agg(*_counts(), *sums))
     return totals.select(
         F.lit(rules.RULES_VERSION).alias("cleaning_rules_version"),
         F.lit(seed).alias("split_seed"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill import rules
-from textmill.operators.split import order_key
+from textmill.operators.split import order_key, row_key
 
 LANES = 4
 HEX_PER_LANE = 15  # 60 bits fit a bigint
@@ -37,7 +37,7 @@ def digest_of_sums(n_rows: Column) -> Column:
 
 def dataset_fingerprint(cleaned: DataFrame, seed: int = rules.SPLIT_SEED) -> DataFrame:
     """``(n_rows, dataset_hash)`` of a cleaned table."""
-    sums = row_digest_sums(order_key(F.col("doc_id"), seed), F.sha2("text", 256))
+    sums = row_digest_sums(order_key(row_key(cleaned), seed), F.sha2("text", 256))
     return cleaned.agg(F.count(F.lit(1)).alias("n_rows"), *sums).select(
         "n_rows", digest_of_sums(F.col("n_rows")).alias("dataset_hash")
     )

@@ -19,6 +19,13 @@ def order_key(id_col: Column, seed: int = rules.SPLIT_SEED) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), id_col.cast("string")), 256)
 
 
+def row_key(df: DataFrame) -> Column:
+    """What names a row: its id, or, in a table of one row per raw text that has
+    ``content_key``, that key where there is no id."""
+    own = F.col("doc_id").cast("string")
+    return F.coalesce(own, F.col("content_key")) if "content_key" in df.columns else own
+
+
 def seeded_order(df: DataFrame, seed: int = rules.SPLIT_SEED, id_col: str = "doc_id") -> DataFrame:
     """The rows in seeded order: the same for any partitioning of the input."""
     keyed = df.withColumn("order_key", order_key(F.col(id_col), seed))
@@ -32,7 +39,7 @@ def split_sizes(n: Column) -> dict[str, Column]:
 
 
 def _cut_points(keys: DataFrame) -> DataFrame:
-    """One struct: the (key, id) of the last train row and of the last val row."""
+    """One struct: the keys of the last train row and of the last val row."""
     bucket = F.left("order_key", F.lit(BUCKET_HEX))
     counts = keys.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     # Bounded by 16 ** BUCKET_HEX rows, whatever the table holds.
@@ -52,13 +59,13 @@ def _cut_points(keys: DataFrame) -> DataFrame:
         "bucket", before.alias("before"), train_end.alias("train_end"), val_end.alias("val_end")
     )
     # Only the rows of the (at most two) buckets with a cut in them are ranked.
-    within = Window.partitionBy("bucket").orderBy("order_key", "doc_id")
+    within = Window.partitionBy("bucket").orderBy("order_key", "row_key")
     ranked = (
         keys.withColumn("bucket", bucket)
         .join(F.broadcast(cuts), "bucket")
         .withColumn("rank", F.row_number().over(within) + F.col("before"))
     )
-    at = F.struct("order_key", "doc_id")
+    at = F.struct("order_key", "row_key")
     return ranked.agg(
         F.struct(
             F.max(F.when(F.col("rank") == F.col("train_end"), at)).alias("last_train"),
@@ -68,14 +75,17 @@ def _cut_points(keys: DataFrame) -> DataFrame:
 
 
 def assign_splits(df: DataFrame, seed: int = rules.SPLIT_SEED) -> DataFrame:
-    """Add ``split``. ``df`` needs a unique ``doc_id`` and is read three times,
-    twice of them for ``doc_id`` alone: give it a stored table."""
-    keys = df.select("doc_id", order_key(F.col("doc_id"), seed).alias("order_key"))
+    """Add ``split``. Rows need keys (``row_key``) that are not null and not repeated,
+    else the job fails. ``df`` is read for its texts once: give it a stored table."""
+    key = F.coalesce(row_key(df), F.raise_error(F.lit("a row without an id")))
+    keys = df.select(order_key(key, seed).alias("order_key"), key.alias("row_key"))
     cuts = _cut_points(keys).scalar()
-    here = F.struct(order_key(F.col("doc_id"), seed).alias("order_key"), F.col("doc_id"))
+    copies = keys.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+    here = F.struct(order_key(key, seed).alias("order_key"), key.alias("row_key"))
     # A cut point is null when no row precedes it.
     split = (
-        F.when(here <= cuts["last_train"], "train")
+        F.when(copies > 1, F.raise_error(F.lit("an id is repeated")))
+        .when(here <= cuts["last_train"], "train")
         .when(here <= cuts["last_val"], "val")
         .otherwise("test")
     )

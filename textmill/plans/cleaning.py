@@ -12,12 +12,13 @@ from textmill.sources.corpus import read_jsonl, read_manifest, write_row, write_
 
 
 def clean_table(raw: DataFrame, output: str, input_name: str, seed: int = rules.SPLIT_SEED) -> DataFrame:
-    """Clean, split and write a table of ``(doc_id, text)``; returns the manifest.
+    """Clean, split and write a table of ``(doc_id, text)``; returns the manifest. Rows
+    without an id are ordered and split by the key of their raw text.
 
     The cleaned texts are stored once, as three steps need them; counters and hash
     are computed from the raw table in a narrow pass of their own.
     """
-    cleaned = materialize(clean(raw), "cleaned")
+    cleaned = materialize(clean(raw, with_key=True), "cleaned")
     write_splits(assign_splits(cleaned, seed), f"{output}/splits")
     write_row(manifest(raw, input_name, seed), f"{output}/manifest")
     return read_manifest(raw.sparkSession, f"{output}/manifest")
