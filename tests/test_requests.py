@@ -251,6 +251,18 @@ def test_moderated_exchanges(spark):
     assert rows[(1, 1)].generated_text == "A weighting."
 
 
+@pytest.mark.parametrize("turn_range", [1024, 2])
+def test_exchanges_of_turns_with_gaps(spark, monkeypatch, turn_range):
+    monkeypatch.setattr(requests, "TURN_RANGE", turn_range)
+    turns = [
+        (1, 0, "user", "a"), (1, 2, "assistant", "A"), (1, 9, "user", "b"), (1, 10, "user", "c"), (1, 40, "assistant", "C"),
+        (2, 5, "user", "d"), (2, 6, "system", "x"), (2, 7, "assistant", "no"), (3, 3, "assistant", "first"), (3, 90, "user", "e"),
+    ]
+    table = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    got = {r.prompt: r.generated for r in requests.exchanges(table).collect()}
+    assert got == {"a": "A", "b": "", "c": "C", "d": "", "e": ""}
+
+
 def test_manifest_lookup(spark):
     turns = spark.range(3)
     known = spark.createDataFrame([("abc",)], "dataset_hash string")

@@ -13,7 +13,7 @@ from textmill import rules
 from textmill.functions.tokens import token_count, words
 from textmill.operators.noise import ID_STRIDE, inject_noise
 from textmill.operators.overlap import eval_texts
-from textmill.operators.requests import exchanges
+from textmill.operators.requests import exchanges, parse_request
 
 PAGE_LANE = ID_STRIDE - 1
 
@@ -148,6 +148,25 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(text, events=table(spark, sf_dir, "events"))
 
 
+def served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests with what a stand-in for a model generated, and when it was done."""
+    n = F.col("request_id")
+    rows = requests(spark, sf_dir)
+    said = (
+        F.when(n % 7 == 0, "")
+        .when(n % 7 == 1, "Her card is 4111 1111 1111 1111")
+        .otherwise(F.concat(F.lit("Number "), n.cast("string"), F.lit(" it is.")))
+    )
+    prompt = F.coalesce(parse_request(F.col("value"))["prompt"], F.lit(""))
+    return rows.withColumns(
+        {
+            "ts": F.col("ts").cast("timestamp"),
+            "done": F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + n % 9973 * 130),
+            "generated": F.concat(F.when(n % 2 == 0, prompt).otherwise(""), said),
+        }
+    )
+
+
 def run_documents(rows: DataFrame) -> DataFrame:
     """``(run_id, document)``: run logs as JSON from ``(run_id, n, v)`` rows."""
     n, v = F.col("n"), F.col("v")

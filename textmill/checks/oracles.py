@@ -86,7 +86,7 @@ NOISY = " UNION ALL ".join(f"({noise_sql(name)})" for name in CLASS_NAMES)
 CORPUS = f"corpus AS (SELECT doc_id, text FROM ({NOISY}) UNION ALL SELECT page_id * 16 + 15, html FROM pages)"
 NORMED = f"{CORPUS}, normed AS (SELECT doc_id, md5(text) AS content_key, {NORM} AS t FROM corpus)"
 JUDGED = f"""{NORMED}, judged AS (
-  SELECT doc_id, t, CASE
+  SELECT doc_id, content_key, t, CASE
     WHEN row_number() OVER (PARTITION BY content_key ORDER BY doc_id) > 1 THEN 'duplicate'
     WHEN {BROKEN} THEN 'unicode' WHEN {HTML} THEN 'html' WHEN {HAS_PII} THEN 'pii'
     WHEN {OUTSIDE} THEN 'length' WHEN {SCORE} >= 2 THEN 'boilerplate' ELSE 'keep' END AS reason
@@ -98,8 +98,8 @@ SPLIT = f"""{KEYED}, placed AS (
 split AS (SELECT *, CASE WHEN place <= floor(n * 0.8::DOUBLE) THEN 'train'
   WHEN place <= floor(n * 0.9::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM placed)"""
 # The same, where a row's key is that of its raw text.
-SPLIT_BY_TEXT = SPLIT.replace("sha256('42:' || doc_id)", "sha256('42:' || md5(text))").replace(
-    "SELECT doc_id, t AS text", "SELECT md5(text) AS doc_id, t AS text"
+SPLIT_BY_TEXT = SPLIT.replace(
+    "SELECT doc_id, t AS text, sha256('42:' || doc_id)", "SELECT content_key AS doc_id, t AS text, sha256('42:' || content_key)"
 )
 COUNTS = f"""SELECT count(*) AS total_input,
   {', '.join(f"count(*) FILTER (reason = '{r}') AS removed_{r}" for r in rules.REASONS)},
@@ -310,6 +310,19 @@ decided AS (
   FROM decided d JOIN numbered n ON n.client = d.client AND n.rn = d.rn + 1)"""
 
 
+RESPONSES = f"""{PARSED}, valid AS (SELECT * FROM parsed WHERE errors = ''),
+{limited('valid', 3, 86400)}, judged_requests AS (
+  SELECT p.*, coalesce(p.client, 'unknown') AS caller, CASE WHEN errors <> '' THEN 422 WHEN NOT accepted THEN 429 WHEN NOT model_loaded THEN 503 ELSE 200 END AS status,
+    CASE WHEN request_id % 2 = 0 THEN coalesce(prompt, '') ELSE '' END || CASE request_id % 7 WHEN 0 THEN ''
+      WHEN 1 THEN 'Her card is 4111 1111 1111 1111' ELSE 'Number ' || request_id || ' it is.' END AS generated
+  FROM parsed p LEFT JOIN (SELECT request_id, accepted FROM decided) USING (request_id)),
+given AS (SELECT *, {ANSWER} AS a FROM judged_requests WHERE status = 200),
+looked AS (SELECT *, {input_check('safe_mode')}, {output_check('a', 'safe_mode')} FROM given),
+texted AS (SELECT *, CASE WHEN ic IS NOT NULL OR oc IS NOT NULL THEN {q(rules.REFUSAL)} ELSE a END AS generated_text FROM looked),
+hashed_documents AS (SELECT dataset_hash FROM (__MANIFEST__)),
+responses AS (SELECT request_id, caller AS client, generated_text, prompt, 'stand-in' AS model_version, dataset_hash,
+    CASE WHEN ic IS NOT NULL THEN 0 ELSE len({words('generated_text')}) END::BIGINT AS token_count,
+    round((request_id % 9973) * 130 / 1000, 2) AS latency_ms, safe_mode, ic, ir, oc, orr FROM texted, hashed_documents)"""
 EVENT_LIMIT = f"""WITH RECURSIVE source AS (SELECT event_id AS request_id, user_id::VARCHAR AS client, ts FROM events),
 {limited('source', 3, 86400)} SELECT request_id, client, accepted FROM decided"""
 
@@ -340,7 +353,21 @@ _CHECKED_IN = f"WITH {EXCHANGES}, checked AS (SELECT *, {input_check('true')} FR
 _CHECKED_OUT = f"WITH {EXCHANGES}, checked AS (SELECT *, {output_check('generated', 'true')} FROM exchanges)"
 _RULE_HITS = {**{k: found(p) for k, p in PII.items()}, **{s: f"contains(lower(t), {q(s)})" for s in rules.BOILERPLATE_SIGNALS}}
 
+_MANIFEST = f"""WITH {KEYED.replace(CORPUS, 'corpus AS (SELECT doc_id, text FROM documents)')}
+SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})"""
+RESPONSES = RESPONSES.replace("__MANIFEST__", _MANIFEST)
+
 ORACLES: dict[str, str] = {
+    "s08_served_log": f"""WITH RECURSIVE {RESPONSES}, log AS (
+  SELECT request_id, 'rate_limited' AS event, caller AS client, '' AS reason, '' AS category, -1::BIGINT AS token_count,
+    -1.0::DOUBLE AS latency_ms, '' AS model_version, '' AS dataset_hash, '' AS safe_mode FROM judged_requests WHERE status = 429
+  UNION ALL SELECT request_id, 'input_blocked', client, ir, ic, -1, -1.0, '', '', '' FROM responses WHERE ic IS NOT NULL
+  UNION ALL SELECT request_id, 'output_blocked', '', orr, '', -1, -1.0, '', '', '' FROM responses WHERE ic IS NULL AND oc IS NOT NULL
+  UNION ALL SELECT request_id, 'generate_request', client, '', '', token_count, latency_ms, model_version, dataset_hash,
+    safe_mode::VARCHAR FROM responses WHERE ic IS NULL)
+SELECT request_id::VARCHAR AS request_id, event, client, reason, category, token_count, latency_ms, model_version, dataset_hash, safe_mode FROM log""",
+    "g11_response_rows": f"""WITH RECURSIVE {RESPONSES} SELECT request_id, client, generated_text, prompt, model_version,
+  dataset_hash, token_count, latency_ms, safe_mode FROM responses""",
     "s01_jsonl_scan": NOISY,
     "s02_split_scan": _over("split", SPLIT, "doc_id, text, split") + " WHERE split <> 'test'",
     "s03_split_sink": _over("split", SPLIT, "doc_id, text, split"),

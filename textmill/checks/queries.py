@@ -142,6 +142,27 @@ def s08_decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _logged(decisions.read_decisions(spark, path))
 
 
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifests = cleaning.manifest(inputs.documents(spark, sf_dir), "documents")
+    return requests.respond(inputs.served(spark, sf_dir), manifests, "stand-in", LIMIT, DAY)
+
+
+@query
+def s08_served_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "decisions")
+    decisions.append_decisions(requests.log_events(_responses(spark, sf_dir)), path)
+    log = decisions.read_decisions(spark, path)
+    texts = ("client", "reason", "category", "model_version", "dataset_hash")
+    return log.select(
+        "request_id",
+        "event",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in texts],
+        F.coalesce(F.col("token_count").cast("bigint"), F.lit(-1)).alias("token_count"),
+        F.coalesce("latency_ms", F.lit(-1.0)).alias("latency_ms"),
+        F.coalesce(F.col("safe_mode").cast("string"), F.lit("")).alias("safe_mode"),
+    )
+
+
 # --- Text columns -------------------------------------------------------------
 _register("f01_nfc", inputs.corpus, nfc_text=text.nfc)
 _register(
@@ -394,6 +415,11 @@ def g11_moderated_exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def g11_response_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _responses(spark, sf_dir).where("status = 200").drop("input_check", "output_check", "status")
+
+
 @query
 def g12_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.request_status(inputs.requests(spark, sf_dir), limit=LIMIT, window_seconds=DAY)
@@ -422,15 +448,15 @@ def w01_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def w02_rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _event_requests(spark, sf_dir)
+    events = _event_requests(spark, sf_dir)
+    rows = events.withColumn("ts", F.timestamp_micros(limiter.micros(events, "ts")))
     staged, source, sink, progress = (scratch_path(spark, n) for n in ("staged", "requests", "admitted", "progress"))
     # Quarters of the time span arrive one after the other.
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    at = F.unix_micros("ts")
     ends = rows.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi"))).scalar()
     quarter = F.least(F.floor((at - ends["lo"]) * 4 / F.greatest(ends["hi"] - ends["lo"], F.lit(1))), F.lit(3))
     rows.withColumn("quarter", quarter.cast("int")).write.partitionBy("quarter").parquet(staged)
-    shape = rows.schema
-    parts = spark.read.schema(shape.add("quarter", "int")).parquet(staged)
+    parts = spark.read.schema("request_id bigint, client bigint, ts timestamp, quarter int").parquet(staged)
     for number in range(4):
         parts.where(F.col("quarter") == number).drop("quarter").write.mode("append").parquet(source)
         stream = spark.readStream.schema(rows.schema).parquet(source)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill import rules
@@ -11,6 +11,9 @@ from textmill.functions.text import strip_prompt
 from textmill.operators.limiter import rate_limit
 from textmill.session import materialize
 
+#: Turn numbers within which a conversation's turns are put in order by one task.
+TURN_RANGE = 1024
+
 # Texts accepted as a boolean, besides true and false themselves (fixed values).
 _TRUE = ("1", "true", "t", "yes", "y", "on")
 _FALSE = ("0", "false", "f", "no", "n", "off")
@@ -94,17 +97,26 @@ def latency_ms(start: Column, end: Column) -> Column:
 
 
 def exchanges(conversations: DataFrame) -> DataFrame:
-    """Every user turn with the assistant turn that directly follows it.
+    """Every user turn with the assistant turn that comes next, whatever its number.
 
-    Turns are numbered without gaps, so the next turn is an equi-join on (conversation,
-    turn): a huge conversation spreads out, where a window would hold it together.
+    Turns follow each other within ranges of ``TURN_RANGE`` numbers, so a huge
+    conversation spreads out; the last turn of a range is followed by the first one of
+    the next range that has any.
     """
-    asked = conversations.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("prompt"))
-    answered = conversations.where("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("generated")
+    turns = conversations.select(
+        "conv_id", "turn", "role", "text", F.floor(F.col("turn") / TURN_RANGE).alias("range")
+    )
+    said = F.struct("role", "text")
+    within = Window.partitionBy("conv_id", "range").orderBy("turn")
+    firsts = turns.groupBy("conv_id", "range").agg(F.min_by(said, "turn").alias("first"))
+    after = firsts.select(
+        "conv_id", "range", F.lead("first").over(Window.partitionBy("conv_id").orderBy("range")).alias("beyond")
     )
-    return asked.join(answered, ["conv_id", "turn"], "left").withColumn(
-        "generated", F.coalesce("generated", F.lit(""))
+    followed = turns.withColumn("following", F.lead(said).over(within)).where("role = 'user'")
+    next_said = F.coalesce("following", "beyond")
+    answer = F.when(next_said["role"] == "assistant", next_said["text"])
+    return followed.join(after, ["conv_id", "range"], "left").select(
+        "conv_id", "turn", F.col("text").alias("prompt"), F.coalesce(answer, F.lit("")).alias("generated")
     )
 
 
@@ -141,3 +153,64 @@ def attach_manifest(df: DataFrame, manifests: DataFrame) -> DataFrame:
     return df.withColumn(
         "dataset_hash", F.coalesce(manifests.select("dataset_hash").scalar(), F.lit(rules.UNKNOWN))
     )
+
+
+def respond(
+    served: DataFrame,
+    manifests: DataFrame,
+    model_version: str,
+    limit: int = rules.RATE_LIMIT,
+    window_seconds: int = rules.RATE_WINDOW_SECONDS,
+) -> DataFrame:
+    """What each of the ``(request_id, client, ts, done, value, model_loaded, generated)``
+    rows is answered: ``status``, and for a 200 the whole response row and the verdicts;
+    for other statuses the columns of the response are null. ``request_id`` is unique."""
+    status = request_status(served, limit, window_seconds)
+    parsed = served.join(status, "request_id").withColumn("request", parse_request(F.col("value")))
+    rows = moderate(parsed.withColumn("prompt", F.col("request.prompt")), F.col("request.safe_mode"))
+    rows = attach_manifest(rows, manifests)
+    response = {
+        "generated_text": F.col("generated_text"),
+        "prompt": F.col("prompt"),
+        "model_version": F.lit(model_version),
+        "dataset_hash": F.col("dataset_hash"),
+        "token_count": F.col("token_count").cast("bigint"),
+        "latency_ms": latency_ms(F.col("ts"), F.col("done")),
+        "safe_mode": F.col("safe_mode"),
+        "input_check": F.col("input_check"),
+        "output_check": F.col("output_check"),
+    }
+    return rows.select(
+        "request_id",
+        F.coalesce(F.col("client").cast("string"), F.lit(rules.UNKNOWN)).alias("client"),
+        "status",
+        *[F.when(F.col("status") == 200, value).alias(name) for name, value in response.items()],
+    )
+
+
+def log_events(responses: DataFrame) -> DataFrame:
+    """The log lines of ``respond``'s rows: a request over the limit, a refused prompt, a
+    refused answer (without its client) and, also for that, the generation itself."""
+
+    def line(event: str, *columns: str, check: str | None = None) -> Column:
+        fields = [F.lit(event).alias("event")]
+        for name in ("client", "token_count", "latency_ms", "model_version", "dataset_hash", "safe_mode"):
+            value = F.col(name)
+            fields.append((value if name in columns else F.lit(None).cast(responses.schema[name].dataType)).alias(name))
+        for name in ("reason", "category"):
+            value = F.col(f"{check}.{name}") if check and name in columns else F.lit(None).cast("string")
+            fields.append(value.alias(name))
+        return F.struct(*fields)
+
+    ok = F.col("status") == 200
+    asked, answered = F.col("input_check.allowed"), F.col("output_check.allowed")
+    lines = F.array(
+        F.when(F.col("status") == 429, line("rate_limited", "client")),
+        F.when(ok & ~asked, line("input_blocked", "client", "reason", "category", check="input_check")),
+        F.when(ok & asked & ~answered, line("output_blocked", "reason", check="output_check")),
+        F.when(
+            ok & asked,
+            line("generate_request", "client", "token_count", "latency_ms", "model_version", "dataset_hash", "safe_mode"),
+        ),
+    )
+    return responses.select("request_id", F.inline(F.array_compact(lines)))
