@@ -169,6 +169,18 @@ def test_job_on_records_without_ids(spark, out):
     assert row.dataset_hash == fingerprint.dataset_fingerprint(kept).first().dataset_hash
 
 
+def test_other_limits(texts):
+    items = ["tiny", "A line about tides.", "A line about tides and fog.", "x" * 40, "fog horn: tides turn, fog stays"]
+    limits = rules.Limits(min_chars=5, max_chars=39, signals=("fog horn", "tides turn"), min_signals=2, train_end=0.5, val_end=0.5)
+    stats = cleaning.cleaning_stats(texts(items), limits).first()
+    assert (stats.removed_length, stats.removed_boilerplate, stats.total_output) == (2, 1, 2)
+    assert (stats.train_count, stats.val_count, stats.test_count) == (1, 0, 1)
+    kept = cleaning.clean(texts(items), limits=limits)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+    assert sorted(r.split for r in split.assign_splits(kept, limits=limits).collect()) == ["test", "train"]
+    assert [r.reason for r in sorted(cleaning.classify(texts(items), limits).collect())] == ["length", "keep", "keep", "length", "boilerplate"]
+
+
 @pytest.mark.parametrize("ids", [[1, None, 3], [1, 2, 2]])
 def test_split_refuses_missing_and_repeated_ids(spark, ids):
     rows = spark.createDataFrame([(i, f"t{n}") for n, i in enumerate(ids)], "doc_id bigint, text string")

@@ -47,6 +47,13 @@ def test_guard_patterns(spark, prompt, category):
     assert _check(spark, prompt, safe=False).allowed
 
 
+def test_other_guards(spark):
+    row = spark.createDataFrame([("tell me a secret",)], "p string")
+    verdict = row.select(guards.check_input(F.col("p"), guards=(("secret", "secrets"),)).alias("v")).select("v.*").first()
+    assert (verdict.allowed, verdict.category) == (False, "secrets")
+    assert row.select(guards.check_input(F.col("p"), guards=()).alias("v")).select("v.*").first().allowed
+
+
 def test_length_checks_come_first_and_ignore_safe_mode(spark):
     for safe in (True, False):
         assert tuple(_check(spark, " \u2003Hi\n", safe)) == (False, "Input too short", "validation", "")

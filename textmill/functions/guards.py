@@ -26,11 +26,10 @@ def too_long(prompt: Column) -> Column:
     return F.length(prompt) > rules.MAX_PROMPT_CHARS
 
 
-def matched_category(prompt: Column) -> Column:
+def matched_category(prompt: Column, patterns: tuple[tuple[str, str], ...] = rules.GUARD_PATTERNS) -> Column:
     """Category of the first guard pattern found; null when none is."""
-    return F.coalesce(
-        *[F.when(prompt.rlike(f"(?iu){p}"), F.lit(category)) for p, category in rules.GUARD_PATTERNS]
-    )
+    hits = [F.when(prompt.rlike(f"(?iu){p}"), F.lit(category)) for p, category in patterns]
+    return F.coalesce(*hits, F.lit(None).cast("string"))
 
 
 def _verdict(category: Column, reason: Column) -> list[Column]:
@@ -53,9 +52,11 @@ def _input_struct(category: Column, prompt: Column) -> Column:
     return F.struct(*_verdict(public, reason), rendered.alias("modified_prompt"))
 
 
-def check_input(prompt: Column, safe_mode: Column | None = None) -> Column:
+def check_input(
+    prompt: Column, safe_mode: Column | None = None, guards: tuple[tuple[str, str], ...] = rules.GUARD_PATTERNS
+) -> Column:
     """Too short, too long, guard patterns (in safe mode only), else allowed."""
-    patterns = matched_category(prompt)
+    patterns = matched_category(prompt, guards)
     if safe_mode is not None:
         patterns = F.when(safe_mode, patterns)
     category = (

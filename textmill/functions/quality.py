@@ -54,40 +54,40 @@ def has_broken_unicode(text: Column) -> Column:
     return F.contains(text, F.lit(rules.REPLACEMENT))
 
 
-def length_ok(text: Column) -> Column:
-    return F.length(text).between(rules.MIN_CHARS, rules.MAX_CHARS)
+def length_ok(text: Column, limits: rules.Limits = rules.Limits()) -> Column:
+    return F.length(text).between(limits.min_chars, limits.max_chars)
 
 
-def boilerplate_score(text: Column) -> Column:
+def boilerplate_score(text: Column, limits: rules.Limits = rules.Limits()) -> Column:
     """How many distinct signal phrases occur, ignoring case."""
     lower = F.lower(text)
-    return reduce(add, (F.contains(lower, F.lit(s)).cast("int") for s in rules.BOILERPLATE_SIGNALS))
+    return reduce(add, (F.contains(lower, F.lit(s)).cast("int") for s in limits.signals), F.lit(0))
 
 
-def is_boilerplate(text: Column) -> Column:
-    return boilerplate_score(text) >= rules.MIN_SIGNALS
+def is_boilerplate(text: Column, limits: rules.Limits = rules.Limits()) -> Column:
+    return boilerplate_score(text, limits) >= limits.min_signals
 
 
-def first_failure(text: Column) -> Column:
+def first_failure(text: Column, limits: rules.Limits = rules.Limits()) -> Column:
     """Name of the first rule that normalized text fails; null when it passes."""
     return (
         F.when(has_broken_unicode(text), "unicode")
         .when(has_html(text), "html")
         .when(has_pii(text), "pii")
-        .when(~length_ok(text), "length")
-        .when(is_boilerplate(text), "boilerplate")
+        .when(~length_ok(text, limits), "length")
+        .when(is_boilerplate(text, limits), "boilerplate")
     )
 
 
-def passes_all(text: Column) -> Column:
+def passes_all(text: Column, limits: rules.Limits = rules.Limits()) -> Column:
     """True when no rule fails. The order is by cost, which is free to choose
     when the name of the failing rule is not asked for: the length test alone
     spares long texts every pattern."""
     return (
-        length_ok(text)
+        length_ok(text, limits)
         & ~has_broken_unicode(text)
         & ~has_html(text)
-        & ~is_boilerplate(text)
+        & ~is_boilerplate(text, limits)
         & ~has_pii(text)
     )
 

@@ -26,19 +26,19 @@ def with_normalized(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select("doc_id", content_key(raw).alias("content_key"), once(normalize_text(raw)).alias("norm"))
 
 
-def classify(df: DataFrame) -> DataFrame:
+def classify(df: DataFrame, limits: rules.Limits = rules.Limits()) -> DataFrame:
     """``(doc_id, reason)`` for every row; ``keep`` marks the cleaned ones."""
-    narrow = with_normalized(df).select("doc_id", "content_key", first_failure(F.col("norm")).alias("rule"))
+    narrow = with_normalized(df).select("doc_id", "content_key", first_failure(F.col("norm"), limits).alias("rule"))
     return flag_duplicates(narrow).select(
         "doc_id",
         F.when(F.col("is_duplicate"), "duplicate").otherwise(F.coalesce("rule", F.lit("keep"))).alias("reason"),
     )
 
 
-def clean(df: DataFrame, with_key: bool = False) -> DataFrame:
+def clean(df: DataFrame, with_key: bool = False, limits: rules.Limits = rules.Limits()) -> DataFrame:
     """``(doc_id, text)`` of the kept rows, normalized; with ``content_key``, by which
     rows without ids can be told apart, if asked for."""
-    passed = with_normalized(df).where(passes_all(F.col("norm")))
+    passed = with_normalized(df).where(passes_all(F.col("norm"), limits))
     # Grouping by the text itself, which the key determines, keeps this a hash
     # aggregate with map-side combine.
     return (
@@ -48,9 +48,9 @@ def clean(df: DataFrame, with_key: bool = False) -> DataFrame:
     )
 
 
-def _per_text(df: DataFrame, hash_texts: bool = False) -> DataFrame:
+def _per_text(df: DataFrame, limits: rules.Limits, hash_texts: bool = False) -> DataFrame:
     """One narrow row per distinct raw text: its rule, copies and first id."""
-    ruled = with_normalized(df).withColumn("rule", first_failure(F.col("norm")))
+    ruled = with_normalized(df).withColumn("rule", first_failure(F.col("norm"), limits))
     keys = ["content_key", "rule"]
     if hash_texts:
         ruled = ruled.withColumn("text_hash", F.when(F.col("rule").isNull(), F.sha2("norm", 256)))
@@ -77,14 +77,14 @@ STAT_NAMES = (
 )
 
 
-def _with_split_counts(counts: DataFrame) -> DataFrame:
-    sizes = split_sizes(F.col("total_output"))
+def _with_split_counts(counts: DataFrame, limits: rules.Limits) -> DataFrame:
+    sizes = split_sizes(F.col("total_output"), limits)
     return counts.withColumns({f"{name}_count": size for name, size in sizes.items()})
 
 
-def cleaning_stats(df: DataFrame) -> DataFrame:
+def cleaning_stats(df: DataFrame, limits: rules.Limits = rules.Limits()) -> DataFrame:
     """One row of counters. Split sizes follow from the number of kept rows."""
-    return _with_split_counts(_per_text(df).agg(*_counts())).select(*STAT_NAMES)
+    return _with_split_counts(_per_text(df, limits).agg(*_counts()), limits).select(*STAT_NAMES)
 
 
 def cleaning_report(stats: DataFrame) -> DataFrame:
@@ -98,15 +98,17 @@ def cleaning_report(stats: DataFrame) -> DataFrame:
     )
 
 
-def manifest(df: DataFrame, input_file: str, seed: int = rules.SPLIT_SEED) -> DataFrame:
+def manifest(
+    df: DataFrame, input_file: str, seed: int = rules.SPLIT_SEED, limits: rules.Limits = rules.Limits()
+) -> DataFrame:
     """The manifest row: rules version, seed, dataset hash, input and counters.
 
     Counters and hash come out of one scan and one shuffle of narrow rows; the
     texts themselves are hashed where they are read.
     """
-    kept, texts = F.col("rule").isNull(), _per_text(df, hash_texts=True)
+    kept, texts = F.col("rule").isNull(), _per_text(df, limits, hash_texts=True)
     sums = row_digest_sums(order_key(row_key(texts), seed), F.col("text_hash"), kept)
-    totals = _with_split_counts(texts.agg(*_counts(), *sums))
+    totals = _with_split_counts(texts.agg(*_counts(), *sums), limits)
     return totals.select(
         F.lit(rules.RULES_VERSION).alias("cleaning_rules_version"),
         F.lit(seed).alias("split_seed"),

@@ -32,13 +32,13 @@ def seeded_order(df: DataFrame, seed: int = rules.SPLIT_SEED, id_col: str = "doc
     return keyed.orderBy("order_key", id_col)
 
 
-def split_sizes(n: Column) -> dict[str, Column]:
-    train = F.floor(n * rules.TRAIN_END)
-    val = F.floor(n * rules.VAL_END)
+def split_sizes(n: Column, limits: rules.Limits = rules.Limits()) -> dict[str, Column]:
+    train = F.floor(n * limits.train_end)
+    val = F.floor(n * limits.val_end)
     return {"train": train, "val": val - train, "test": n - val}
 
 
-def _cut_points(keys: DataFrame) -> DataFrame:
+def _cut_points(keys: DataFrame, limits: rules.Limits) -> DataFrame:
     """One struct: the keys of the last train row and of the last val row."""
     bucket = F.left("order_key", F.lit(BUCKET_HEX))
     counts = keys.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
@@ -48,8 +48,8 @@ def _cut_points(keys: DataFrame) -> DataFrame:
     running = counts.select(
         "bucket", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(everything).alias("total")
     )
-    train_end = F.floor(F.col("total") * rules.TRAIN_END)
-    val_end = F.floor(F.col("total") * rules.VAL_END)
+    train_end = F.floor(F.col("total") * limits.train_end)
+    val_end = F.floor(F.col("total") * limits.val_end)
     before = F.col("upto") - F.col("n")
 
     def holds(rank: Column) -> Column:
@@ -74,12 +74,12 @@ def _cut_points(keys: DataFrame) -> DataFrame:
     )
 
 
-def assign_splits(df: DataFrame, seed: int = rules.SPLIT_SEED) -> DataFrame:
+def assign_splits(df: DataFrame, seed: int = rules.SPLIT_SEED, limits: rules.Limits = rules.Limits()) -> DataFrame:
     """Add ``split``. Rows need keys (``row_key``) that are not null and not repeated,
     else the job fails. ``df`` is read for its texts once: give it a stored table."""
     key = F.coalesce(row_key(df), F.raise_error(F.lit("a row without an id")))
     keys = df.select(order_key(key, seed).alias("order_key"), key.alias("row_key"))
-    cuts = _cut_points(keys).scalar()
+    cuts = _cut_points(keys, limits).scalar()
     copies = keys.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
     here = F.struct(order_key(key, seed).alias("order_key"), key.alias("row_key"))
     # A cut point is null when no row precedes it.

@@ -7,6 +7,8 @@ out, so they do not depend on what a given JDK takes ``\\b``, ``\\d``, ``\\s`` o
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 # --- Fixed values: cleaning -------------------------------------------------
 RULES_VERSION = "1.0.0"
 SPLIT_SEED = 42
@@ -27,6 +29,21 @@ BOILERPLATE_SIGNALS = (
 )
 MIN_SIGNALS = 2
 
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What a cleaning job can set: lengths of a text, boilerplate phrases (lower case)
+    and how many make a text boilerplate, and where train and val end."""
+
+    min_chars: int = MIN_CHARS
+    max_chars: int = MAX_CHARS
+    signals: tuple[str, ...] = BOILERPLATE_SIGNALS
+    min_signals: int = MIN_SIGNALS
+    train_end: float = TRAIN_END
+    val_end: float = VAL_END
+
+
 # --- Fixed values: requests and guardrails ----------------------------------
 MIN_PROMPT_CHARS = 3
 MAX_PROMPT_CHARS = 2000
