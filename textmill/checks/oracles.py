@@ -1,15 +1,14 @@
 """DuckDB SQL for the registered queries, written against the plain tables.
 
-Shared with the engine are only the word lists, fragments and suffix tables; the
-patterns are RE2 patterns of their own, and the algorithms are the plain ones
-(global ranks, recursive folds).
+Shared with the engine are only word lists and the fragments that inputs are made of;
+patterns, suffixes and guard rules are written out once more, and the algorithms are
+the plain ones (global ranks, recursive folds).
 """
 
 from __future__ import annotations
 
 from textmill import rules
 from textmill.checks.inputs import ANSWER_WRAPS, PROMPT_WRAPS, REQUESTS_SQL
-from textmill.functions import porter
 from textmill.operators.noise import CLASS_NAMES, CLASSES, rate_bound
 
 
@@ -150,11 +149,25 @@ MEASURE_IS_1 = f"^{C}*{V}+{C}+{V}*$"
 CVC = f"({C}{V}[^aeiouywxY]$|^{V}{C}$)"
 
 
-def _suffix_case(table) -> str:
+# --- Fixed values: suffix and replacement, by step; the measure that a step asks for ----
+SUFFIXES_1A = "sses>ss ies>i ss>ss s>"
+SUFFIXES_2 = (
+    "ational>ate tional>tion enci>ence anci>ance izer>ize bli>ble alli>al entli>ent eli>e ousli>ous ization>ize "
+    "ation>ate ator>ate alism>al iveness>ive fulness>ful ousness>ous aliti>al iviti>ive biliti>ble fulli>ful"
+)
+SUFFIXES_3 = "icate>ic ative> alize>al iciti>ic ical>ic ful> ness>"
+SUFFIXES_4 = "al> ance> ence> er> ic> able> ible> ant> ement> ment> ent> ion> ou> ism> ate> iti> ous> ive> ize>"
+IRREGULAR = (
+    "skies>sky dying>die lying>lie tying>tie news>news innings>inning inning>inning outings>outing outing>outing "
+    "cannings>canning canning>canning howe>howe proceed>proceed exceed>exceed succeed>succeed"
+)
+
+
+def _suffix_case(table: str, measure: str = "") -> str:
     whens = []
-    for suffix, into, cond in table:
+    for suffix, into in (entry.split(">") for entry in table.split()):
         stem = f"left(w, length(w) - {len(suffix)})"
-        test = {porter.M0: found(M0, stem), porter.M1: found(M1, stem), "": "true"}[cond]
+        test = found(measure, stem) if measure else "true"
         if suffix == "ion":
             test += f" AND {found('[st]$', stem)}"
         whens.append(f"WHEN ends_with(w, '{suffix}') THEN CASE WHEN {test} THEN {stem} || '{into}' ELSE w END")
@@ -168,7 +181,7 @@ def _cut(n: int) -> str:
 DOUBLE = "(yY|" + "|".join(c * 2 for c in "bcdfghjkmnpqrtvwx0123456789") + ")$"
 _STEPS = (
     "regexp_replace(regexp_replace(w, '(^|[aeiou])y', '\\1Y', 'g'), 'yy', 'yY', 'g')",
-    f"CASE WHEN ends_with(w, 'ies') AND length(w) = 4 THEN {_cut(1)} ELSE {_suffix_case(porter.STEP_1A)} END",
+    f"CASE WHEN ends_with(w, 'ies') AND length(w) = 4 THEN {_cut(1)} ELSE {_suffix_case(SUFFIXES_1A)} END",
     f"""CASE WHEN ends_with(w, 'ied') THEN {_cut(3)} || CASE WHEN length(w) = 4 THEN 'ie' ELSE 'i' END
       WHEN ends_with(w, 'eed') THEN CASE WHEN {found(M0, _cut(3))} THEN {_cut(1)} ELSE w END
       WHEN ends_with(w, 'ed') AND {found(V, _cut(2))} THEN {_cut(2)} || '+'
@@ -181,9 +194,9 @@ _STEPS = (
     f"CASE WHEN ends_with(w, 'y') AND length(w) > 2 AND {found(C + '$', _cut(1))} THEN {_cut(1)} || 'i' ELSE w END",
     f"CASE WHEN ends_with(w, 'alli') AND {found(M0, _cut(4))} THEN {_cut(2)} ELSE w END",
     f"""CASE WHEN ends_with(w, 'logi') THEN CASE WHEN {found(M0, _cut(3))} THEN {_cut(1)} ELSE w END
-      ELSE {_suffix_case(porter.STEP_2)} END""",
-    _suffix_case(porter.STEP_3),
-    _suffix_case(porter.STEP_4),
+      ELSE {_suffix_case(SUFFIXES_2, M0)} END""",
+    _suffix_case(SUFFIXES_3, M0),
+    _suffix_case(SUFFIXES_4, M1),
     f"""CASE WHEN ends_with(w, 'e') THEN CASE WHEN {found(M1, _cut(1))}
         OR ({found(MEASURE_IS_1, _cut(1))} AND NOT {found(CVC, _cut(1))}) THEN {_cut(1)} ELSE w END
       WHEN ends_with(w, 'll') AND {found(M1, _cut(1))} THEN {_cut(1)} ELSE w END""",
@@ -195,7 +208,7 @@ def stems(vocabulary: str) -> str:
     sql = f"SELECT token, token AS w FROM ({vocabulary})"
     for step in _STEPS:
         sql = f"SELECT token, {step} AS w FROM ({sql})"
-    irregular = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in porter.IRREGULAR.items())
+    irregular = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in (entry.split(">") for entry in IRREGULAR.split()))
     return (
         f"stems AS MATERIALIZED (SELECT token, CASE WHEN length(token) <= 3 THEN token "
         f"ELSE CASE token {irregular} ELSE lower(w) END END AS stem FROM ({sql}))"
@@ -242,7 +255,19 @@ made AS (
 exchanges AS (
   SELECT conv_id, turn, prompt, CASE WHEN k % 2 = 0 THEN prompt || answer ELSE answer END AS generated,
     k % 4 <> 1 AS safe_mode FROM made)"""
-GUARDS = " ".join(f"WHEN {found('(?i)' + p, 'prompt')} THEN '{c}'" for p, c in rules.GUARD_PATTERNS)
+# Guard pattern and category, first match first.
+_GUARD_RULES = (
+    ("ignore previous instructions", "prompt_injection"),
+    ("you are now", "jailbreak"),
+    ("pretend you are", "jailbreak"),
+    ("invent a citation", "hallucination_trap"),
+    ("make up a reference", "hallucination_trap"),
+    ("write malware", "harmful_content"),
+    ("how to hack", "harmful_content"),
+    ("give me someone's ssn", "pii_extraction"),
+    ("what is [^\\n]* personal", "pii_extraction"),
+)
+GUARDS = " ".join(f"WHEN {found('(?i)' + p, 'prompt')} THEN '{c}'" for p, c in _GUARD_RULES)
 PATTERN_CATEGORY = f"CASE {GUARDS} END"
 SHORT, LONG = f"length({stripped('prompt')}) < 3", "length(prompt) > 2000"
 ANSWER = stripped("CASE WHEN starts_with(generated, prompt) THEN substr(generated, length(prompt) + 1) ELSE generated END")
