@@ -26,6 +26,12 @@ def _texts(seed=4):
     for _ in range(8):
         texts.append(" ".join(chain))
         chain = chain[12:] + fresh(12)
+    base = fresh(150)  # a crowd: most are near the first, which is no copy's centre
+    for i in range(90):
+        copy = list(base)
+        for at in rng.sample(range(150), 1 + i % 6):
+            copy[at] = rng.choice(vocabulary)
+        texts.append(" ".join(copy[: 150 - i % 3]))
     line = " ".join(fresh(30))
     return texts + [line + "\n" + " ".join(fresh(80)) for _ in range(20)] + texts[6:9]
 
@@ -41,7 +47,7 @@ def _classes(texts):
     df = np.zeros(neardup.PLACES)
     for hashes, _ in parts:
         df[np.unique(neardup.places(hashes))] += 1
-    idf = np.log1p(len(texts) / np.maximum(df, 1))
+    idf = 1 - np.log10(np.maximum(df / len(texts), neardup.COMMON))
     root = list(range(len(texts)))
     for i, a in enumerate(texts):
         for j in range(i):
@@ -60,6 +66,22 @@ def test_classes_equal_those_of_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_what_cannot_be_linked_is_not_compared(spark):
+    """Of texts far from the first one, only those that the bound allows are compared,
+    and with them all that could be linked."""
+    texts = _texts()[100:-24]
+    idf = np.ones(neardup.PLACES)
+    rows = []
+    for i, text in enumerate(texts[1:], 1):
+        sim, size, both, besides, more = neardup.compared(texts[0], text, idf)
+        rows.append((bytes([0]), bytes([i]), sim, size, both, besides.astype(np.int64).tolist(), more.tolist()))
+    shape = "a binary, b binary, sim double, size double, both double, besides array<bigint>, more array<double>"
+    none = spark.createDataFrame([], "node binary, root binary")
+    got = {(r.a[0], r.b[0]) for r in neardup._still_possible(spark.createDataFrame(rows, shape), none, 0.8).collect()}
+    near = {(i, j) for j in range(1, len(texts)) for i in range(1, j) if neardup.similarity(texts[i], texts[j], idf) >= 0.8}
+    assert near and near <= got and len(got) < len(texts) ** 2 / 3
+
+
 def test_repeated_rows_and_empty_table(spark):
     docs = _docs(spark, ["a b c d e f", "g h"])
     got = neardup.near_duplicates(docs.unionByName(docs)).collect()

@@ -1,20 +1,24 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 Texts are weighted sets of five-word shingles: the count of a shingle in the text times
-the logarithm of (documents / documents that have it). Document frequencies are counted
-over all documents, by hash, in ``PLACES`` places; a shingle's frequency is that of its
-place, so the table sent to the workers has one size for any corpus, and rare shingles all
-weigh about the same. ``BANDS`` times ``ROWS`` consistent samples are drawn from each text;
+its inverse document frequency, ``1 + log10(1 / share of documents that have it)``, where
+shares below ``COMMON`` count as ``COMMON``: what everybody writes weighs half, and a group
+of copies does not make its own text light. Document frequencies are counted over all
+documents, by hash, in ``PLACES`` places; a shingle's frequency is that of its place, so
+the table sent to the workers has one size for any corpus. ``BANDS`` times ``ROWS`` consistent samples are drawn from each text;
 two texts of weighted Jaccard similarity s agree on a sample with probability s, and are
 candidates if all samples of a band agree: for s = 0.8 with probability 0.9994.
 
 Equal texts are one node. In each bucket of a band all texts are compared with the first
-one. Then, in buckets that the links so far leave in several components, each text outside
-the largest component is compared with the texts of other components, except where the
-triangle inequality of the weighted Jaccard distance, by way of the first text, rules a
-link out. So no candidate pair that could join two classes is left out, and a group of
-near copies costs a star of comparisons, not all pairs. Classes are the components of
-the verified links, found by alternating large-star and small-star rounds.
+one. What two texts x and y have in common is at most the lesser of what each has in
+common with a profile, and what they have in common outside it. The profile of a first
+text is itself and what more than ``CROWD`` of its bucket fellows have besides. So texts
+that its links leave in different components can only be near duplicates if they share a
+shingle outside the profile, which few do, or if their sizes and their parts in the profile
+allow it; such pairs, and no others, are compared, too. No candidate pair that could
+join two classes is left out, and a group of near copies costs a star of comparisons, not
+all pairs. Classes are the components of the verified links, found by alternating
+large-star and small-star rounds.
 
 Defined cases: a null text is empty; texts without a word are near duplicates only of
 equal texts; a text of fewer than five words is one shingle; a class's id is the least
@@ -41,6 +45,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 4
 PLACES = 1 << 18
+COMMON = 0.1
+#: Bucket fellows that make a shingle part of the profile.
+CROWD = 64
+#: Sizes are joined by bins of this ratio.
+BIN = 1.04
 #: Shingles whose samples are drawn in one go.
 _CHUNK = 1024
 
@@ -110,7 +119,7 @@ def similarity(a: str, b: str, idf: np.ndarray) -> float:
 
 
 def inverse_frequencies(rows: DataFrame) -> np.ndarray:
-    """ln(1 + documents / documents at the place), by place."""
+    """Weight of a shingle by its place, from 1 to 1 - log10(COMMON)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, texts = np.zeros(PLACES + 1, np.int64), 0
@@ -126,7 +135,7 @@ def inverse_frequencies(rows: DataFrame) -> np.ndarray:
     found = sums.toPandas()
     df = np.zeros(PLACES + 1)
     df[found["place"].to_numpy()] = found["n"].to_numpy()
-    return np.log1p(df[PLACES] / np.maximum(df[:PLACES], 1))
+    return 1 - np.log10(np.maximum(df[:PLACES] / max(df[PLACES], 1), COMMON))
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -138,7 +147,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.where("a != b").distinct(), name)
+        large = large.where("a != b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -152,22 +161,91 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return materialize(rooted.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct(), name)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """``pairs`` (a, b) with the similarity of their texts."""
-    idf_file = pairs.sparkSession.sparkContext.broadcast(idf)
+def compared(a: str, b: str, idf: np.ndarray) -> tuple[float, float, float, np.ndarray, np.ndarray]:
+    """Weighted Jaccard similarity, the weight of b, what it has in common with a, and the
+    shingles, with weights, of which it has more."""
+    (h1, c1), (h2, c2) = shingles(a), shingles(b)
+    w1, w2 = weights(h1, c1, idf), weights(h2, c2, idf)
+    at = np.minimum(np.searchsorted(h1, h2), max(len(h1) - 1, 0))
+    same = h1[at] == h2 if len(h1) else np.zeros(len(h2), bool)
+    own = np.where(same, np.minimum(w1[at], w2), 0.0) if len(h1) else np.zeros(len(h2))
+    both, more = own.sum(), w2 - own
+    total = w1.sum() + w2.sum() - both
+    besides = more > 1e-12
+    return float(both / total) if total else 1.0, float(w2.sum()), float(both), h2[besides], more[besides]
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, profile: bool = False) -> DataFrame:
+    """``pairs`` (a, b) with the similarity of their texts; with what the profile needs of
+    b, if asked for."""
+    table = pairs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sims = [
-                similarity(x, y, idf_file.value)
+            found = [
+                compared(x, y, table.value)
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())], ["a", "b", "sim"])
+            sim, size, both, besides, more = list(zip(*found, strict=True)) if found else [()] * 5
+            columns = [batch.column(0), batch.column(1), pa.array(sim, pa.float64())]
+            if profile:
+                columns += [pa.array(size, pa.float64()), pa.array(both, pa.float64())]
+                columns.append(pa.array([h.astype(np.int64) for h in besides], pa.list_(pa.int64())))
+                columns.append(pa.array(more, pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "sim", "size", "both", "besides", "more"][: len(columns)])
 
     first = texts.select(F.col("digest").alias("a"), F.col("text").alias("x"))
     second = texts.select(F.col("digest").alias("b"), F.col("text").alias("y"))
     met = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
-    return met.mapInArrow(run, "a binary, b binary, sim double")
+    shape = "a binary, b binary, sim double"
+    return met.mapInArrow(
+        run, shape + ", size double, both double, besides array<bigint>, more array<double>" * profile
+    )
+
+
+def _still_possible(checked: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """``(a, b)``: pairs of texts with one first text (``a`` of ``checked``) that are in
+    different components and can be near duplicates, by the bound of the profile."""
+    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    rows = checked.join(root("a"), "a", "left").join(root("b"), "b", "left").select(
+        F.col("a").alias("lead"), F.col("b").alias("node"), "size", "both", "besides", "more",
+        F.coalesce("root_a", "a").alias("home"), F.coalesce("root_b", "b").alias("root"),
+    )
+    open_ = rows.where("root != home").select("lead").distinct()
+    rows = materialize(rows.join(open_, "lead", "left_semi"), "neardup-open")
+    besides = rows.select("lead", "node", "home", "root", F.inline(F.arrays_zip("besides", "more")))
+    crowd = besides.groupBy("lead", "besides").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
+    crowd = materialize(crowd.select("lead", "besides"), "neardup-crowd")
+    in_crowd = (
+        besides.join(crowd, ["lead", "besides"]).groupBy("lead", "node").agg(F.sum("more").alias("added"))
+    )
+    rare = besides.join(crowd, ["lead", "besides"], "left_anti").select("lead", "besides", "node", "home", "root")
+    key = lambda df, n: df.withColumnsRenamed({c: f"{c}_{n}" for c in df.columns if c not in ("lead", "besides", "bin")})
+    wanted = (F.col("root_x") != F.col("root_y")) & (
+        (F.col("root_y") == F.col("home_y")) | (F.col("node_x") < F.col("node_y"))
+    )
+    pair = [F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")]
+    sharing = key(rare.where("root != home"), "x").join(key(rare, "y"), ["lead", "besides"]).where(wanted).select(*pair)
+
+    # Common weight c allows a similarity of ``least`` up to a sum of sizes of c * factor.
+    factor, step = (1 + least) / least, F.log(F.lit(BIN))
+    sized = (
+        rows.join(in_crowd, ["lead", "node"], "left")
+        .withColumn("room", (F.col("both") + F.coalesce("added", F.lit(0.0))) * factor - F.col("size") + 1e-9)
+        .select("lead", "node", "home", "root", "size", "room")
+        .where("size > 0")
+    )
+    bin_of = lambda c: F.floor(F.log(c) / step).cast("int")
+    low, high = F.col("size") * least, F.least(F.col("size") / least, "room")
+    asking = sized.where("root != home").where(low <= high).withColumn("bin", F.explode(F.sequence(bin_of(low) - 1, bin_of(high) + 1)))
+    offered = sized.withColumn("bin", bin_of(F.col("size")))
+    fitting = (
+        key(asking, "x")
+        .join(key(offered, "y"), ["lead", "bin"])
+        .where(wanted & (F.col("size_y") <= F.col("room_x")) & (F.col("size_x") <= F.col("room_y")))
+        .select(*pair)
+    )
+    return sharing.unionByName(fitting).distinct()
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -204,35 +282,11 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     wanted = stars.select(F.col("a").alias("digest")).unionByName(stars.select(F.col("b").alias("digest"))).distinct()
     texts = keyed.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
     texts = materialize(texts, "neardup-texts")
-    checked = materialize(_verified(stars, texts, idf), "neardup-checked")
+    checked = materialize(_verified(stars, texts, idf, profile=True), "neardup-checked")
     links = checked.where(F.col("sim") >= least).select("a", "b")
     roots = components(links, "neardup-components")
-
-    # What the stars leave apart in a bucket.
-    lead_sim = checked.select(F.col("a").alias("lead"), F.col("b").alias("digest"), "sim")
-    placed = (
-        members.join(lead_sim, ["lead", "digest"], "left")
-        .join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-        .select("band", "key", "digest", F.coalesce("sim", F.lit(1.0)).alias("sim"), F.coalesce("root", "digest").alias("root"))
-    )
-    parts = placed.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    split = (
-        parts.groupBy("band", "key")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root")).alias("largest"))
-        .where("parts > 1")
-        .select("band", "key", F.col("largest.root").alias("largest"))
-    )
-    open_ = materialize(placed.join(split, ["band", "key"]), "neardup-open")
-    some = open_.where("root != largest").select("band", "key", *[F.col(c).alias(f"{c}_a") for c in ("digest", "sim", "root")])
-    crossed = (
-        some.join(open_, ["band", "key"])
-        .where("root != root_a and (root = largest or digest_a < digest)")
-        .where(F.abs(F.col("sim") - F.col("sim_a")) <= 1 - least)
-        .where("sim < 1 and sim_a < 1")  # pairs with the first text are checked
-        .select(F.least("digest_a", "digest").alias("a"), F.greatest("digest_a", "digest").alias("b"))
-        .distinct()
-    )
-    more = materialize(_verified(crossed, texts, idf).where(F.col("sim") >= least).select("a", "b"), "neardup-more")
+    pairs = materialize(_still_possible(checked, roots, least), "neardup-pairs")
+    more = materialize(_verified(pairs, texts, idf).where(F.col("sim") >= least).select("a", "b"), "neardup-more")
     if more.limit(1).count():
         roots = components(links.unionByName(more), "neardup-components")
     classes = (
