@@ -280,7 +280,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     stars = members.where("lead != digest").select(F.col("lead").alias("a"), F.col("digest").alias("b")).distinct()
     stars = materialize(stars, "neardup-stars")
     wanted = stars.select(F.col("a").alias("digest")).unionByName(stars.select(F.col("b").alias("digest"))).distinct()
-    texts = keyed.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
+    # A sort-merge join whatever the sizes, so that small runs show what large ones cost.
+    texts = keyed.join(wanted.hint("merge"), "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
     texts = materialize(texts, "neardup-texts")
     checked = materialize(_verified(stars, texts, idf, profile=True), "neardup-checked")
     links = checked.where(F.col("sim") >= least).select("a", "b")
