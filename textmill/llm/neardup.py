@@ -22,8 +22,9 @@ large-star and small-star rounds.
 
 Defined cases: a null text is empty; texts without a word are near duplicates only of
 equal texts; a text of fewer than five words is one shingle; a class's id is the least
-``doc_id`` of its documents; repeated rows are equal texts and stay, one row each, and
-rows that repeat an id with another text share its class id; columns other than ``doc_id``
+``doc_id`` of its documents, null only if all are; repeated rows are equal texts and stay,
+one row each, and an id that comes with several texts can name several classes; columns
+other than ``doc_id``
 and ``text`` are ignored; an empty table gives an empty result.
 """
 
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import text_rows
@@ -248,12 +249,16 @@ def _still_possible(checked: DataFrame, roots: DataFrame, least: float) -> DataF
     return sharing.unionByName(fitting).distinct()
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, class_id)`` of each row."""
+def _digest(text: Column) -> Column:
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
+def _classes(docs: DataFrame, least: float) -> DataFrame:
+    """``(digest, doc_id, class_id, class_digest)`` of each row."""
     rows = text_rows(docs)
     idf = inverse_frequencies(rows)
     table = rows.sparkSession.sparkContext.broadcast(idf)
-    keyed = rows.select("doc_id", "text", F.substring(F.unhex(F.sha2("text", 256)), 1, 16).alias("digest"))
+    keyed = rows.select("doc_id", "text", _digest(F.col("text")).alias("digest"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,14 +301,26 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         .join(roots.withColumnRenamed("node", "digest"), "digest", "left")
         .select("digest", "rep", F.coalesce("root", "digest").alias("root"))
     )
-    named = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
-    own = classes.join(named, "root").select("digest", "class_id")
-    return signed.select("doc_id", "digest").join(own, "digest").select("doc_id", "class_id")
+    # The document of the least id, null last, stands for its class.
+    least_one = F.struct(F.col("rep").isNull().alias("none"), "rep", "digest")
+    named = classes.groupBy("root").agg(F.min(least_one).alias("one"))
+    own = classes.join(named, "root").select("digest", F.col("one.rep").alias("class_id"), F.col("one.digest").alias("class_digest"))
+    return signed.select("doc_id", "digest").join(own, "digest")
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``(doc_id, class_id)`` of each row."""
+    return _classes(docs, least).select("doc_id", "class_id")
 
 
 def deduplicated(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows that stay: of each class the document of the least id, once."""
-    stay = near_duplicates(docs, least).where("doc_id = class_id").select("doc_id").distinct()
-    columns = docs.columns
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*columns)
+    stay = (
+        _classes(docs, least)
+        .where((F.col("digest") == F.col("class_digest")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
+        .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"))
+        .distinct()
+    )
+    rows = docs.withColumn("__digest", _digest(F.coalesce("text", F.lit(""))))
+    met = (F.col("__digest") == F.col("__of")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return rows.join(stay, met, "left_semi").dropDuplicates(["doc_id", "__digest"]).select(*docs.columns)
