@@ -210,7 +210,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, carried: tuple[str, .
     rows = text_rows(docs, *carried)
     indexed = {r.kind for r in rules if trigram_query(r.pattern)}
     if indexed:
-        rows = rows.join(candidates(postings(docs, rules), rules), "doc_id", "left")
+        found_in = candidates(postings(docs, rules), rules).withColumnRenamed("doc_id", "__id")
+        rows = rows.join(found_in, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
     else:
         rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
     found = {}
