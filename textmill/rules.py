@@ -109,6 +109,7 @@ _EDGE = f"(?:(?<={WORD}){_NOT_BEFORE}|{_NOT_AFTER}(?={WORD}))"
 _D = r"\p{Nd}"
 _S = f"[{SPACE}]"
 
+# --- Fixed values: what counts as markup and as personal data ----------------
 # A "<", something but ">", and a ">" anywhere after. Only the first such "<" need
 # be tried, so the pattern stays linear on texts full of "<".
 HTML_TAG = r"(?s)\A(?>.*?<[^>]).*>"
