@@ -62,6 +62,16 @@ def test_repeated_null_and_shared_ids(spark):
     assert suffix.deduplicated(_docs(spark, [""]).limit(0)).count() == 0
 
 
+def test_many_texts_without_ids_or_of_one_id(spark):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = word(260)
+    texts = [word(rng.randrange(10, 400)) + (passage + word(5)) * (i % 2) for i in range(1600)]
+    want = _expected(texts)
+    got = suffix.deduplicated(_docs(spark, texts, [None, 7] * 400 + [7, None] * 400)).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(want)
+
+
 def test_difference_cover():
     for period in (7, 32, 64):
         cover, shift = suffix.difference_cover(period)

@@ -21,12 +21,12 @@ the same text or another. Strings are the suffixes of the texts, looked at to th
    strings becomes a row, and rows are counted by 128 bits of hash, with map-side combine.
 4. *Removal.* Starts of repeated strings go back to their texts.
 
-Everything is linear in the input: no pairs are made. Shuffled are groups (some 30 bytes
+Everything is linear in the input: no pairs are made. Shuffled are groups (some 50 bytes
 for 70 of text), and texts, compressed, twice.
 
 Defined cases: a null text is empty; a text shorter than ``LENGTH`` keeps all bytes; two
-rows of equal text are two texts, and repeat each other; rows that repeat an id are told
-apart by their text; columns other than ``doc_id`` and ``text`` are ignored; an empty
+rows of equal text are two texts, and repeat each other; rows that repeat an id, or have
+none, are told apart by 128 bits of a digest of their text; columns other than ``doc_id`` and ``text`` are ignored; an empty
 table gives an empty result. What is left need not be valid UTF-8 and is binary.
 """
 
@@ -207,7 +207,7 @@ def _groups(rows: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "mark", "text").mapInArrow(
-        run, f"doc_id {kind}, mark smallint, anchor bigint, span bigint, first int, n int, places int"
+        run, f"doc_id {kind}, mark binary, anchor bigint, span bigint, first int, n int, places int"
     )
 
 
@@ -223,7 +223,7 @@ def _packed(rows: DataFrame) -> DataFrame:
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "mark", "text").mapInArrow(run, f"doc_id {kind}, mark smallint, packed binary")
+    return rows.select("doc_id", "mark", "text").mapInArrow(run, f"doc_id {kind}, mark binary, packed binary")
 
 
 def _unpacked(packed: bytes) -> bytes:
@@ -265,7 +265,7 @@ def _fetched(asked: DataFrame, rows: DataFrame) -> DataFrame:
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, mark smallint, anchor bigint, span bigint, first int, n int, single boolean, hot boolean"
+    shape = f"doc_id {kind}, mark binary, anchor bigint, span bigint, first int, n int, single boolean, hot boolean"
     return met.mapInArrow(run, f"{shape}, piece binary")
 
 
@@ -297,7 +297,7 @@ def _sorted_buckets(pieces: DataFrame) -> DataFrame:
                     firsts.append(int(f))
                     lengths.append(int(n))
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, shape), pa.array(marks, pa.int16()), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32())],
+                [pa.array(ids, shape), pa.array(marks, pa.binary()), pa.array(firsts, pa.int32()), pa.array(lengths, pa.int32())],
                 ["doc_id", "mark", "first", "n"],
             )
 
@@ -319,7 +319,7 @@ def _sorted_buckets(pieces: DataFrame) -> DataFrame:
     return (
         dealt.repartition(parts, "anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(run, f"doc_id {kind}, mark smallint, first int, n int")
+        .mapInArrow(run, f"doc_id {kind}, mark binary, first int, n int")
     )
 
 
@@ -363,7 +363,7 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` and, if asked for, ``kept``,
     the bytes that stay."""
-    rows = text_rows(docs).withColumn("mark", F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("smallint"))
+    rows = text_rows(docs).withColumn("mark", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
     met = _met(_packed(rows), repeated_starts(rows), "left").select("doc_id", "packed", "runs")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_bytes
 
