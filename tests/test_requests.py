@@ -222,6 +222,36 @@ def test_limiter_stream_decides_every_request(spark, out, late):
         assert got == _plain_limit(rows, 3, 60)
 
 
+@pytest.mark.parametrize("lateness", [None, 3600])
+def test_limiter_stream_keeps_the_logs_of_clients_that_lag(spark, out, lateness):
+    """One client is some windows behind the others, one request is stamped far ahead, and
+    one client goes back by more than two windows of its own."""
+    second = lambda s: NOON + dt.timedelta(seconds=s)
+    ahead, batches = 1000 if lateness else 10**6, []
+    for n in range(3):
+        rows = [(100 * n + i, "slow", second(5 * n + i)) for i in range(4)]
+        rows += [(100 * n + 10 + i, "fast", second(400 + 5 * n + i)) for i in range(4)]
+        rows += [(100 * n + 20 + i, "back", second([0, 300, 20][n] + i)) for i in range(2)]
+        batches.append(rows + [(100 * n + 30, "far", second(ahead))])
+    for batch in batches:
+        spark.createDataFrame(batch, REQUESTS).write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(REQUESTS).parquet(f"{out}/in")
+        more = {} if lateness is None else {"lateness_seconds": lateness}
+        rate_limit_stream(stream, f"{out}/out", f"{out}/log", limit=3, window_seconds=60, availableNow=True, **more).awaitTermination()
+    got = {r.request_id: r.accepted for r in spark.read.schema(DECISIONS).parquet(f"{out}/out").collect()}
+    assert got == _arrival_limit(batches, 3, 60)
+
+
+def test_limiter_stream_drops_idle_clients_after_a_given_lateness(spark, out):
+    for n, (client, at) in enumerate([("idle", 0), ("busy", 500), ("busy", 510)]):
+        spark.createDataFrame([(n, client, NOON + dt.timedelta(seconds=at))], REQUESTS).write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(REQUESTS).parquet(f"{out}/in")
+        rate_limit_stream(
+            stream, f"{out}/out", f"{out}/log", limit=3, window_seconds=60, lateness_seconds=100, availableNow=True
+        ).awaitTermination()
+    assert sorted(r.client for r in spark.read.parquet(f"{out}/log/logs/2").collect()) == ["busy", "busy"]
+
+
 def test_status_precedence_and_quota(spark):
     ok, bad = '{"prompt": "hello"}', '{"prompt": ""}'
     rows = [

@@ -60,11 +60,11 @@ def rate_limit_stream(
     **trigger,
 ) -> StreamingQuery:
     """Starts the query. Decisions go to ``output`` (read with ``DECISIONS``), logs and
-    the query's own progress to ``progress``. Stamps older than a window and
-    ``lateness_seconds`` (a window, if not given) before the newest request leave the
-    logs. The trigger is that of ``DataStreamWriter.trigger``."""
+    the query's own progress to ``progress``. Every client keeps its log, however far
+    clients are apart in time. Only if ``lateness_seconds`` is given, so that no request is
+    further behind the newest of all, clients leave whose own newest accepted request is a
+    window more behind. The trigger is that of ``DataStreamWriter.trigger``."""
     requests = requests_of(stream, client, ts, id_col)
-    spare = (window_seconds + (window_seconds if lateness_seconds is None else lateness_seconds)) * 1_000_000
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -77,8 +77,11 @@ def rate_limit_stream(
         decided.write.mode("overwrite").parquet(f"{output}/batch={number}")
         new = decided.where("accepted").select("client", "request_id", F.unix_micros("ts").alias("ts_us"))
         every = logs.unionByName(new)
-        oldest = every.agg(F.max("ts_us") - F.lit(spare)).scalar()
-        kept = latest_accepted(every.withColumn("accepted", F.lit(True)), ["client"], limit).where(F.col("ts_us") > oldest)
+        kept = latest_accepted(every.withColumn("accepted", F.lit(True)), ["client"], limit)
+        if lateness_seconds is not None:
+            oldest = every.agg(F.max("ts_us") - F.lit((window_seconds + lateness_seconds) * 1_000_000)).scalar()
+            going_on = every.groupBy("client").agg(F.max("ts_us").alias("newest")).where(F.col("newest") > oldest)
+            kept = kept.join(going_on, "client", "left_semi")
         kept.select("client", "request_id", "ts_us").write.mode("overwrite").parquet(f"{progress}/logs/{number}")
 
     writer = requests.writeStream.foreachBatch(each).option("checkpointLocation", f"{progress}/query").outputMode("append")
