@@ -103,6 +103,21 @@ def test_grammar():
         assert scorer.evidence(text) == expected, text
 
 
+def test_quotations_over_several_clauses():
+    scorer = toxicity.Scorer({"scoundrel": 1.0, "lout": 0.5})
+    cases = {
+        'She wrote: "You are a lout. You scoundrel."': [0, 0, 0, 1.5, 0],
+        'She wrote: "Go away!\nYou scoundrel."': [0, 0, 0, 1.0, 0],
+        'She wrote: "You are a lout. Go." You scoundrel.': [0, 1.0, 0, 0.5, 0],
+        "Er schrieb: „Geh. Du lout.“ Du scoundrel.": [0, 1.0, 0, 0.5, 0],
+        'She wrote: "Hello. You are a lout. You scoundrel.': [0, 1.5, 0, 0, 0],
+        'She wrote. "Go. You lout."': [0, 0.5, 0, 0, 0],
+        'She said it. "Well." He is not here. The lout is.': [0.5, 0, 0, 0, 0],
+    }
+    for text, want in cases.items():
+        assert scorer.evidence(text) == want, text
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = toxicity.score(docs, labels).join(labels, "doc_id").collect()

@@ -3,7 +3,8 @@
 Words become symbols: insult, threat, target, negation, report, quote mark, clause end,
 other. Three letter-to-letter transducers rewrite the symbols of a clause: negation marks
 what stands shortly after a negating word, reported speech what follows a verb of saying
-or stands in its quotation, and the target transducer joins an insult or a threat with a
+in its clause or stands in its quotation, over as many clauses as that has (a quotation
+that no later sign closes ends with its clause), and the target transducer joins an insult or a threat with a
 person addressed before or after it. They are composed once into one table; a clause is
 one walk through it. What is scored is the matched clauses by kind, not the words.
 
@@ -12,8 +13,9 @@ shortest word beginnings found almost only in toxic texts, with their log odds a
 weights, and the weight of each kind of clause, by logistic regression that starts from
 ``PRIOR``. The fit uses at most ``FIT_ROWS`` labelled rows of either class, the first by
 a hash of the id; at most ``STEMS`` stems are kept, the most frequent ones. Both bound
-what the driver holds. Scoring reads each whole text once, row-locally; only clauses in
-which an automaton of all stems finds one are walked.
+what the driver holds. Scoring reads each whole text once, row-locally. Texts in which an
+automaton of all stems finds none are not walked; of those without quotation signs, where
+nothing passes from clause to clause, only the clauses with a stem are.
 
 Defined cases: a null or empty text has no clause and gets the score of none; without
 labelled rows of both classes ``PRIOR`` decides and there are no insult stems; repeated
@@ -77,6 +79,7 @@ NEGATION_REACH, BEFORE, AFTER = 3, 4, 3
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[\"“”«»„]|[.!?;\n]+")
 _ENDS = ".!?;\n"
+_QUOTES = "\"“”«»„"
 
 
 class Transducer:
@@ -128,7 +131,7 @@ def _report(state: tuple[bool, bool], read: tuple[int, bool]):
     elif symbol == QUOTE:
         quoted = said and not quoted
     elif symbol == END:
-        said = quoted
+        said = False  # what is quoted stays so up to the closing sign
     return (said, quoted), (symbol, negated, said or quoted)
 
 
@@ -185,26 +188,37 @@ class Scorer:
                 return INSULT, weight
         return OTHER, 0.0
 
+    def _walk(self, low: str, start: int, stop: int, sums: list[float], closing: int = -1) -> None:
+        """Adds the clauses between two places; ``closing`` is the place of the last
+        quotation sign, behind which no state passes on."""
+        state, weight = 0, 0.0
+        for match in _WORD.finditer(low, start, stop):
+            symbol, own = self.symbol(match.group())
+            state, kind = self.rows[state][symbol]
+            weight = own if symbol in (INSULT, THREAT) else weight
+            if kind:
+                sums[kind - 1] += weight
+            if symbol == END and match.start() > closing:
+                state = 0
+
     def evidence(self, text: str) -> list[float]:
         """Summed weights of the matched clauses, by kind."""
         low = text.lower()
         sums, done = [0.0] * len(KINDS), -1
+        closing = max(low.rfind(c) for c in _QUOTES)
         for last, n in self.finder.iter(low):
             begin = last - n + 1
             if begin <= done or (begin and low[begin - 1].isalnum()):
                 continue
+            if closing >= 0:
+                self._walk(low, 0, len(low), sums, closing)
+                break
             start = max(low.rfind(c, done + 1, begin) for c in _ENDS)
             start = max(start, done) + 1
             stops = [p for c in _ENDS if (p := low.find(c, last)) >= 0]
             stop = min(stops, default=len(low))
             done = stop
-            state, weight = 0, 0.0
-            for match in _WORD.finditer(low, start, stop):
-                symbol, own = self.symbol(match.group())
-                state, kind = self.rows[state][symbol]
-                weight = own if symbol in (INSULT, THREAT) else weight
-                if kind:
-                    sums[kind - 1] += weight
+            self._walk(low, start, stop, sums)
         return sums
 
 
