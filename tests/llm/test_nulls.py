@@ -52,6 +52,16 @@ def test_every_row_gets_a_result(docs, labels, name):
     assert ids == sorted((r[0] is not None, r[0] or 0) for r in ROWS)
 
 
+def test_other_columns_may_have_any_names(docs, labels):
+    names = ["kinds", "spans", *[f"{c}{k}" for c in "lpc" for k in range(9)], *toxicity.KINDS, "row", "a.b", "__text", "__id"]
+    wide = docs.select("kind", *[F.lit(i).alias(n) for i, n in enumerate(names)], "n_chars", "text", "doc_id")
+    for result in (toxicity.accepted(wide, labels), secrets.redacted_documents(wide)):
+        rows = result.collect()
+        assert result.columns == wide.columns and len(rows) == len(ROWS)
+        assert all(list(r)[1 : 1 + len(names)] == list(range(len(names))) for r in rows)
+    assert all(r.n_chars == len(r.text or "") and TOKEN not in (r.text or "") for r in rows)
+
+
 def test_rows_without_ids_are_treated_alike(docs):
     spans = {r.spans for r in secrets.secret_report(docs).where("doc_id is null").collect()}
     assert spans == {"", "assign:29:47"}

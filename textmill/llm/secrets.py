@@ -270,14 +270,15 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redacted_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows with their secrets written over, and ``n_chars``, where there is such a
-    column, of the new text. No other column may be named ``kinds`` or ``spans``."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = scan(docs, rules, others)
+    column, of the new text. Other columns go by place, so they may have any names."""
+    names = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]
+    others = tuple(c for c in names if c not in ("doc_id", "text"))
+    found = scan(docs.toDF(*names), rules, others)
     text = redacted(F.col("text"), F.col("spans"))
     changed = once(found, __text=text).withColumn("text", F.col("__text"))
-    if "n_chars" in others:
-        changed = changed.withColumn("n_chars", F.length("text").cast("long"))
-    return changed.select(*docs.columns)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn(names[docs.columns.index("n_chars")], F.length("text").cast("long"))
+    return changed.select(*names).toDF(*docs.columns)
 
 
 def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill.llm.common import fold_remainder, text_rows
 from textmill.session import materialize
@@ -343,9 +344,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows that are not toxic, with all their columns, in one row-local pass. No
-    column may be named like a kind of clause."""
+    """The rows that are not toxic, with all their columns, in one row-local pass. Columns
+    go by place, so they may have any names."""
     stems, weights = fit(docs, labels)
-    names = docs.columns
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + "".join(f", {k} double" for k in KINDS)
-    return docs.mapInArrow(_evidence(stems, names.index("text"), names), shape).where(_score(weights) < 0.5).select(*names)
+    moved = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    fields = [T.StructField(f.name, f.dataType) for f in moved.schema] + [T.StructField(k, T.DoubleType()) for k in KINDS]
+    found = moved.mapInArrow(_evidence(stems, docs.columns.index("text"), moved.columns), T.StructType(fields))
+    return found.where(_score(weights) < 0.5).select(*moved.columns).toDF(*docs.columns)
