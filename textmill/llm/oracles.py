@@ -50,4 +50,59 @@ FROM d LEFT JOIN said USING (r)
 """
 
 
-ORACLES: dict[str, str] = {"op10_secret_scan": _secret_sql()}
+def _level_sql(base: str, level: int) -> str:
+    """CTEs of one level of a tree: ``{base}{level}`` has (g, pos, h, m), m nodes in all."""
+    under = f"{base}{level - 1}"
+    return f"""
+{base}runs{level} AS MATERIALIZED (SELECT g, m, pos // 16 AS pos, list(h ORDER BY pos) AS hs FROM {under} GROUP BY g, m, pos // 16),
+{base}{level} AS MATERIALIZED (SELECT g, pos, CASE WHEN m > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h,
+  (m + 15) // 16 AS m FROM {base}runs{level})"""
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """The same tree level by level, siblings looked up by joins. Six levels hold 16 million rows."""
+
+    def said(c: str) -> str:
+        return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+
+    head = " || ".join(said(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    codes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)"
+    shifts = "list_reduce(range(8), lambda a, i: xor(a >> 1, (a & 1) * 3988292384), xor(c, b))"
+    crc = f"xor(list_reduce({codes}, lambda c, b: {shifts}, 4294967295::BIGINT), 4294967295)"
+    # A level is part of a proof if there was more than one node below it.
+    joins = [
+        f"JOIN {base}runs{k} AS {base}{k}r ON {base}{k}r.g = {group} AND {base}{k}r.pos = {pos} // {16 ** k}"
+        for base, group, pos in (("t", "d.g", "d.pos"), ("u", "''", "w.pos"))
+        for k in range(1, levels + 1)
+    ]
+    steps, source = [], "ways"
+    columns = ", ".join(
+        f"CASE WHEN {b}{k}r.m > 1 THEN array_to_string({b}{k}r.hs[1:(({p} // {16 ** (k - 1)}) % 16)], '') END AS l_{b}{k}, "
+        f"CASE WHEN {b}{k}r.m > 1 THEN array_to_string({b}{k}r.hs[(({p} // {16 ** (k - 1)}) % 16) + 2:], '') END AS r_{b}{k}"
+        for b, p in (("t", "d.pos"), ("u", "w.pos"))
+        for k in range(1, levels + 1)
+    )
+    for b in "tu":
+        for k in range(1, levels + 1):
+            name = f"f_{b}{k}"
+            steps.append(
+                f"{name} AS (SELECT * EXCLUDE (f), CASE WHEN l_{b}{k} IS NULL THEN f ELSE sha256(l_{b}{k} || f || r_{b}{k}) END AS f FROM {source})"
+            )
+            source = name
+    everything = " || ".join(f"coalesce(l_{b}{k} || r_{b}{k}, '')" for b in "tu" for k in range(1, levels + 1))
+    return f"""
+WITH leaves AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS g, sha256({head} || {said('text')}) AS leaf,
+  CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {said(lower)}) END AS tampered FROM documents),
+d AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+t0 AS MATERIALIZED (SELECT g, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS m FROM d),{','.join(_level_sql('t', k) for k in range(1, levels + 1))},
+w AS MATERIALIZED (SELECT g, h AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS pos FROM t{levels}),
+u0 AS (SELECT '' AS g, pos, subroot AS h, count(*) OVER () AS m FROM w),{','.join(_level_sql('u', k) for k in range(1, levels + 1))},
+ways AS (SELECT d.doc_id, d.leaf, w.subroot, (SELECT h FROM u{levels}) AS root, coalesce(d.tampered, d.leaf) AS f, {columns}
+  FROM d JOIN w ON w.g = d.g {' '.join(joins)}),
+{', '.join(steps)}
+SELECT doc_id, leaf, subroot, root, sha256({everything}) AS proof_sha256, f AS folded_root, f = root AS verified FROM {source}
+"""
+
+
+ORACLES: dict[str, str] = {"op10_secret_scan": _secret_sql(), "op13_merkle_manifest": _merkle_sql()}
