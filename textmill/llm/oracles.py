@@ -105,4 +105,35 @@ SELECT doc_id, leaf, subroot, root, sha256({everything}) AS proof_sha256, f AS f
 """
 
 
-ORACLES: dict[str, str] = {"op10_secret_scan": _secret_sql(), "op13_merkle_manifest": _merkle_sql()}
+_COLLOCATIONS = r"""
+WITH pieces AS (SELECT row_number() OVER () AS p, lang, piece FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+listed AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+suffixes AS (SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i + 2])) AS s FROM listed),
+grouped AS MATERIALIZED (SELECT lang, s, count(*) AS c FROM suffixes GROUP BY ALL),
+one AS MATERIALIZED (SELECT lang, s[1] AS a1, sum(c)::BIGINT AS f FROM grouped GROUP BY ALL),
+two AS MATERIALIZED (SELECT lang, s[1] AS a1, s[2] AS a2, sum(c)::BIGINT AS f FROM grouped WHERE len(s) >= 2 GROUP BY ALL HAVING sum(c) >= 10),
+three AS MATERIALIZED (SELECT lang, s[1] AS a1, s[2] AS a2, s[3] AS a3, c::BIGINT AS f FROM grouped WHERE len(s) = 3 AND c >= 10),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang),
+cuts AS (
+  SELECT t.lang, t.a1 || ' ' || t.a2 AS phrase, t.f AS a, 1 AS k, x.f AS l, y.f AS r
+    FROM two t JOIN one x ON x.lang = t.lang AND x.a1 = t.a1 JOIN one y ON y.lang = t.lang AND y.a1 = t.a2
+    WHERE NOT EXISTS (SELECT 1 FROM three h WHERE h.lang = t.lang AND h.a1 = t.a1 AND h.a2 = t.a2 AND 100 * h.f >= 50 * t.f)
+      AND NOT EXISTS (SELECT 1 FROM three h WHERE h.lang = t.lang AND h.a2 = t.a1 AND h.a3 = t.a2 AND 100 * h.f >= 50 * t.f)
+  UNION ALL SELECT t.lang, t.a1 || ' ' || t.a2 || ' ' || t.a3, t.f, 1, x.f, y.f
+    FROM three t JOIN one x ON x.lang = t.lang AND x.a1 = t.a1 JOIN two y ON y.lang = t.lang AND y.a1 = t.a2 AND y.a2 = t.a3
+  UNION ALL SELECT t.lang, t.a1 || ' ' || t.a2 || ' ' || t.a3, t.f, 2, x.f, y.f
+    FROM three t JOIN two x ON x.lang = t.lang AND x.a1 = t.a1 AND x.a2 = t.a2 JOIN one y ON y.lang = t.lang AND y.a1 = t.a3),
+scored AS (SELECT *, (1000000 * a::HUGEINT * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op10_secret_scan": _secret_sql(),
+    "op11_collocations": _COLLOCATIONS,
+    "op13_merkle_manifest": _merkle_sql(),
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, langid, merkle, mixing, neardup, quality, secrets, suffix, tokencount, toxicity, winnow
+from textmill.llm import bpe, langid, merkle, mixing, neardup, phrases, quality, secrets, suffix, tokencount, toxicity, winnow
 from textmill.llm.common import documents, labels
 
 
@@ -50,6 +50,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(documents(spark, sf_dir))
 
@@ -65,5 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_entropy_mix": op8_entropy_mix,
     "op9_winnowing": op9_winnowing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_collocations": op11_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
