@@ -8,12 +8,17 @@ is parted into smaller, equal and greater by one word of a pivot, the equal part
 with the next word. The size of an equal part of depth d is the count of its d words. All
 segments of a round are parted at once, by array operations.
 
-This is done twice. First each task sorts the pointers of blocks of its own texts, so that
-what leaves it is one row per different suffix and block, however hot a word is. Then rows
-are routed by language and their two leading words, which brings all suffixes of a phrase
-together, and sorted again with the first sort's sizes as weights; here a part lighter than
-``least`` is final and abandoned at once, with all phrases in it. Words are counted in the
-same pass (as suffixes of depth one, with a route of their own).
+Partitions that cannot hold a frequent phrase are abandoned on the way, in three steps.
+First the leading pairs of words of all suffixes are routed by hash and counted, as one
+number per different pair and block. The hashes of the frequent ones set bits in a bitmap
+of ``FILTER_BITS`` bits, the only thing sent to the workers; a pair without its bit is
+infrequent for certain, the reverse need not hold. Then each task sorts the pointers of
+blocks of its own texts, without suffixes that begin with an infrequent pair, and cut
+before one. What leaves it is one row per different suffix and block, however hot a word
+is. These rows are routed by language and their two leading words, which brings all
+suffixes of a phrase together, and sorted again with the first sort's sizes as weights;
+here a part lighter than ``least`` is final and abandoned at once, with all phrases in it.
+Words are counted in the same pass (as suffixes with a route of their own).
 
 Scores come from joins of the frequent phrases with the counts of their parts. Parts of a
 frequent phrase are at least as frequent, so nothing that was abandoned is missed.
@@ -27,13 +32,16 @@ count each; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.llm.hashing import ODD, mixed, word_hashes
 from textmill.session import materialize
 
 DEPTH = 3
@@ -41,8 +49,10 @@ LEAST = 10
 TOP = 2000
 #: A phrase is dropped for a longer one that has so many hundredths of its count.
 COVERED = 50
-BLOCK_BYTES = 1 << 24
-CHUNK_ROWS = 1 << 20
+BLOCK_BYTES = 1 << 21
+CHUNK_ROWS = 1 << 17
+#: A power of two, at least that of one bitmap row of Spark's (32,768 bits).
+FILTER_BITS = 1 << 27
 UNKNOWN = "und"
 #: In place of a second word: the row counts its first word alone. No word holds a space.
 ALONE = " "
@@ -139,14 +149,15 @@ def _words(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarr
     """The words of the texts, and for each its piece and its text."""
     raw = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
     kind = _KIND[raw]
-    inside = kind == 0
-    edges = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = kind == 0
+    edges = np.diff(inside)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    pieces = np.cumsum(kind == 2)[starts] if len(starts) else starts
+    pieces = np.cumsum(kind == 2, dtype=np.int32)[starts] if len(starts) else starts
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-    owner = np.searchsorted(begins, starts, side="right") - 1
+    owner = (np.searchsorted(begins, starts, side="right") - 1).astype(np.int32)
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[inside]))
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[kind == 0]))
     return words.dictionary_encode(), pieces, owner
 
 
@@ -165,29 +176,83 @@ def _gathered(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
     return np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts])
 
 
-def _block_suffixes(texts: list[bytes], langs: list[str]) -> pa.RecordBatch | None:
+class _Block:
+    """The words of some texts, with the languages they belong to."""
+
+    def __init__(self, texts: list[bytes], langs: list[str]):
+        self.words, pieces, owner = _words(texts)
+        self.tongues = pa.array(langs).dictionary_encode()
+        self.tongue = self.tongues.indices.to_numpy().astype(np.int64)[owner]
+        self.goes_on = np.zeros(len(owner), bool)
+        self.goes_on[:-1] = pieces[1:] == pieces[:-1]
+        names = self.tongues.dictionary.to_pylist()
+        tongue_hash = np.array([zlib.crc32(name.encode()) for name in names], np.uint64)
+        known = np.frombuffer(b" ".join(self.words.dictionary.cast(pa.large_binary()).to_pylist()), np.uint8)
+        hashes = word_hashes(known)[2][self.words.indices.to_numpy()]
+        with np.errstate(over="ignore"):
+            two = hashes * ODD + np.roll(hashes, -1)
+            self.pair = mixed(two + tongue_hash[self.tongue] * ODD) if len(two) else two
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    texts, langs = [], []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            texts += some.column(0).cast(pa.binary()).to_pylist()
+            langs += some.column(1).to_pylist()
+            if sum(map(len, texts)) >= BLOCK_BYTES:
+                yield _Block(texts, langs)
+                texts, langs = [], []
+    if texts:
+        yield _Block(texts, langs)
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in _blocks(batches):
+        pairs, sizes = np.unique(block.pair[block.goes_on], return_counts=True)
+        yield _batch("pair bigint, n bigint", pairs.view(np.int64), sizes)
+
+
+def _frequent_pairs(rows: DataFrame, least: int) -> Broadcast:
+    """A bit for the hash of every pair of neighbours found ``least`` times. Where hashes
+    are equal their counts add up, so no frequent pair is missed."""
+    sums = rows.mapInArrow(_pair_counts, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    place = F.col("pair").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1  # Spark's buckets count from 1
+    parts = (
+        sums.where(F.col("n") >= least)
+        .groupBy((F.bitmap_bucket_number(place) - 1).alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    )
+    width = 4096  # bytes of one of Spark's bitmaps; all parts together have FILTER_BITS bits
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for part, found in parts.collect():
+        bits[part * width : part * width + width] = np.frombuffer(found, np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(bits)
+
+
+def _block_suffixes(block: _Block, frequent: np.ndarray) -> pa.RecordBatch | None:
     """The different suffixes of a block with their sizes, and its words."""
-    words, pieces, owner = _words(texts)
-    n, names = len(words), words.dictionary
+    n, names, tongues, tongue = len(block.words), block.words.dictionary, block.tongues, block.tongue
     if not n:
         return None
-    tongues = pa.array(langs).dictionary_encode()
-    ids, tongue = words.indices.to_numpy(), tongues.indices.to_numpy().astype(np.int64)[owner]
-    keys = []
-    for step in range(1, DEPTH):  # the words after a place, as long as its piece goes on
-        here = np.full(n, _END, np.int32)
-        if n > step:
-            here[:-step] = np.where(pieces[step:] == pieces[:-step], ids[step:], _END)
-        keys.append(here)
+    ids = block.words.indices.to_numpy()
+    place = (block.pair & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    on = block.goes_on & ((frequent[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)
+    keys = [np.full(n, _END, np.int32) for _ in range(1, DEPTH)]
+    keys[0][on] = np.roll(ids, -1)[on]
+    further = on & np.roll(on, -1)
+    keys[1][further] = np.roll(ids, -2)[further]
     # Pointers are dealt to their leading words first; those parts count the words.
     lead = tongue * len(names) + ids
     order = np.argsort(lead, kind="stable").astype(np.int32)
     starts, alone_n = _runs(lead[order])
-    alone = order[starts].copy()
-    whole = [(f, s) for _, f, s, ended in three_way(keys, order, starts, alone_n) if ended]
+    alone = order[starts]
+    order = order[on[order]]
+    whole = []
+    if len(order):
+        whole = [(f, size) for _, f, size, ended in three_way(keys, order, *_runs(lead[order])) if ended]
     found, found_n = _gathered(whole)
-    pair = keys[0][found] != _END  # a word at the end of its piece is counted as such only
-    found, found_n = found[pair], found_n[pair]
     at = np.concatenate([alone, found])
 
     def said(column: np.ndarray) -> pa.Array:
@@ -205,20 +270,31 @@ def _block_suffixes(texts: list[bytes], langs: list[str]) -> pa.RecordBatch | No
     )
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    texts, langs, held = [], [], 0
-    for batch in batches:
-        for text, lang in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            texts.append(text)
-            langs.append(lang)
-            held += len(text)
-            if held >= BLOCK_BYTES:
-                done, texts, langs, held = _block_suffixes(texts, langs), [], [], 0
-                if done is not None:
-                    yield done
-    done = _block_suffixes(texts, langs) if texts else None
-    if done is not None:
-        yield done
+def _suffixes(frequent: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for block in _blocks(batches):
+            found = _block_suffixes(block, frequent.value)
+            if found is None:
+                continue
+            held.append(found)
+            size += found.num_rows
+            if size > CHUNK_ROWS:  # blocks of one task have much in common
+                rows = _added_up(held)
+                if len(rows) > CHUNK_ROWS // 2:
+                    yield from rows.to_batches()
+                    rows = rows.slice(0, 0)
+                held, size = rows.to_batches(), len(rows)
+        if held:
+            yield from _added_up(held).to_batches()
+
+    return run
+
+
+def _added_up(batches: list[pa.RecordBatch]) -> pa.Table:
+    keys = ["lang", "w1", "w2", "w3"]
+    rows = pa.Table.from_batches(batches).group_by(keys).aggregate([("n", "sum")])
+    return rows.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).combine_chunks()
 
 
 _COUNT = "lang string, depth int, w1 string, w2 string, w3 string, n bigint"
@@ -301,7 +377,8 @@ def _counts(least: int):
             rest = rows.slice(cut)
             if len(rest) > CHUNK_ROWS // 2:  # one route by itself
                 rest = _Routed(rest).merged()
-                rest = rest.append_column("route", pa.array(np.full(len(rest), route[-1])))
+                route_of = pa.array(np.full(len(rest), route[-1]))
+                rest = pa.Table.from_arrays([*rest.columns, route_of], schema=rows.schema)
             held, size = rest.to_batches(), len(rest)
             bound = max(CHUNK_ROWS, 2 * size)
         if size:
@@ -316,8 +393,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     rows = docs.select(
         F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
     )
-    routed = rows.mapInArrow(_suffixes, _SUFFIX).withColumn("route", F.xxhash64("lang", "w1", "w2"))
-    return routed.repartition("route").sortWithinPartitions("route").mapInArrow(_counts(least), _COUNT)
+    routed = rows.mapInArrow(_suffixes(_frequent_pairs(rows, least)), _SUFFIX).repartition("lang", "w1", "w2")
+    routed = routed.withColumn("route", F.xxhash64("lang", "w1", "w2")).sortWithinPartitions("route")
+    return routed.mapInArrow(_counts(least), _COUNT)
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
