@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bpe, langid, merkle, mixing, neardup, phrases, quality, secrets, suffix, tokencount, toxicity, winnow
+from textmill.llm import bpe, langid, merkle, mixing, neardup, neighbours, phrases, quality, secrets, suffix, tokencount, toxicity, winnow
 from textmill.llm.common import documents, labels
 
 
@@ -54,6 +54,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir))
 
 
+def op12_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(documents(spark, sf_dir))
 
@@ -70,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_winnowing": op9_winnowing,
     "op10_secret_scan": op10_secret_scan,
     "op11_collocations": op11_collocations,
+    "op12_pruned_graph": op12_pruned_graph,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
