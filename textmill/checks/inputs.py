@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill import rules
-from textmill.functions.tokens import token_count, words
+from textmill.functions.tokens import words
 from textmill.operators.noise import ID_STRIDE, inject_noise
 from textmill.operators.overlap import eval_texts
 from textmill.operators.requests import exchanges, parse_request
@@ -75,13 +75,6 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eval_texts(documents(spark, sf_dir)).withColumn("prediction", _said())
 
 
-def token_scores(texts: DataFrame) -> DataFrame:
-    """A stand-in for a scorer: loss from the mean characters per token."""
-    n = token_count(F.col("text"))
-    loss = F.log(1 + F.length("text") / F.greatest(n, F.lit(1)))
-    return texts.select("doc_id", loss.alias("loss"), n.alias("n_tokens"))
-
-
 def _wrapped(text: Column, pick: Column, wraps: tuple) -> Column:
     before, after = (F.element_at(F.array(*[F.lit(w[side]) for w in wraps]), pick + 1) for side in (0, 1))
     return F.concat(before, text, after)

@@ -235,6 +235,43 @@ BIGRAMS = """SELECT doc_id, side, stem || ' ' || next AS token FROM (
 ROUGE2 = STEMMED + ", " + overlap(BIGRAMS)
 
 
+# --- Language model -----------------------------------------------------------
+def losses(train: str, test: str, order: int) -> str:
+    """CTEs up to ``lost(doc_id, loss, n_tokens)``, for queries of (doc_id, text)."""
+
+    def placed(source: str) -> str:
+        before = ", ".join(f"CASE WHEN i > {k} THEN array_to_string(w[i - {k}:i - 1], ' ') ELSE '' END AS h{k}" for k in range(1, order))
+        return f"""SELECT doc_id, i, w[i] AS word, {before} FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i
+    FROM (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM ({source})))"""
+
+    ctes = [
+        f"tr AS MATERIALIZED ({placed(train)})",
+        f"te AS MATERIALIZED ({placed(test)})",
+        "g1 AS MATERIALIZED (SELECT word, count(*) AS n FROM tr GROUP BY word)",
+        "vocabulary AS (SELECT coalesce(sum(n), 0) + count(*) + 1 AS size FROM g1)",
+        """p1 AS (SELECT te.*, (coalesce(n, 0) + 1) / (SELECT size FROM vocabulary)::DOUBLE AS p FROM te LEFT JOIN g1 USING (word)
+  WHERE i > 1)""",
+    ]
+    for k in range(1, order):
+        ctes += [
+            f"g{k + 1} AS MATERIALIZED (SELECT h{k}, word, count(*) AS n FROM tr WHERE h{k} <> '' GROUP BY ALL)",
+            f"c{k + 1} AS MATERIALIZED (SELECT h{k}, sum(n)::DOUBLE AS total, count(*) AS kinds FROM g{k + 1} GROUP BY ALL)",
+            f"""p{k + 1} AS (SELECT p{k}.* EXCLUDE (p), CASE WHEN total > 0 THEN greatest(coalesce(n, 0) - 0.75::DOUBLE, 0) / total
+    + 0.75::DOUBLE * kinds / total * p ELSE p END AS p
+  FROM p{k} LEFT JOIN g{k + 1} USING (h{k}, word) LEFT JOIN c{k + 1} USING (h{k}))""",
+        ]
+    ctes.append(
+        f"""lost AS (SELECT doc_id, loss, n_tokens FROM (SELECT doc_id, len({words("coalesce(text, '')")}) AS n_tokens FROM ({test}))
+  LEFT JOIN (SELECT doc_id, sum(-ln(p)) / count(*) AS loss FROM p{order} GROUP BY doc_id) USING (doc_id))"""
+    )
+    return ",\n".join(ctes)
+
+
+PERPLEXITY = """CASE WHEN coalesce(sum(n_tokens - 1) FILTER (n_tokens >= 2), 0) = 0 THEN 'inf'::DOUBLE
+  ELSE exp(sum(loss * (n_tokens - 1)) FILTER (n_tokens >= 2) / sum(n_tokens - 1) FILTER (n_tokens >= 2)) END"""
+_TRAIN, _TEST = (f"SELECT doc_id, text FROM split WHERE split = '{name}'" for name in ("train", "test"))
+
+
 # --- Exchanges and requests ---------------------------------------------------
 def _wrap(column: str, wraps) -> str:
     n = f"1 + k % {len(wraps)}"
@@ -458,9 +495,9 @@ fp AS (SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})) SELECT conv_id,
 SELECT token, stem FROM stems""",
     "e09_corpus_rouge": f"""SELECT round((SELECT avg(f) FROM (WITH {ROUGE1} SELECT f FROM scores)), 4) AS rouge1,
   round((SELECT avg(f) FROM (WITH {ROUGE2} SELECT f FROM scores)), 4) AS rouge2""",
-    "e10_perplexity": f"""WITH {CORPUS}, s AS (SELECT len({words('text')}) AS n, length(text) AS c FROM corpus),
-l AS (SELECT ln(1 + c / greatest(n, 1)) AS loss, n - 1 AS steps FROM s WHERE n >= 2)
-SELECT round(CASE WHEN count(*) = 0 THEN 'inf'::DOUBLE ELSE exp(sum(loss * steps) / sum(steps)) END, 6) AS perplexity FROM l""",
+    "e10_perplexity": f"WITH {SPLIT.replace('split AS (', 'split AS MATERIALIZED (')}, {losses(_TRAIN, _TEST, 2)} SELECT round({PERPLEXITY}, 6) AS perplexity FROM lost",
+    "e10_token_losses": f"""WITH {SPLIT.replace('split AS (', 'split AS MATERIALIZED (')}, {losses(_TRAIN, _TEST, 3)}
+SELECT doc_id, round(coalesce(loss, -1), 6) AS loss, n_tokens FROM lost""",
     "g01_request_validation": _over("parsed", PARSED, "request_id, prompt, coalesce(max_tokens, -1) AS max_tokens, temperature, coalesce(safe_mode::VARCHAR, '') AS safe_mode, errors"),
     "g02_input_too_short": _turns(f"{SHORT} AS hit"),
     "g03_input_too_long": _turns(f"{LONG} AS hit"),

@@ -11,7 +11,7 @@ from textmill import rules
 from textmill.checks import inputs
 from textmill.functions import guards, quality, text, tokens
 from textmill.functions.porter import stem_tokens
-from textmill.operators import cleaning, dedup, fingerprint, limiter, noise, overlap, requests, runlog, split
+from textmill.operators import cleaning, dedup, fingerprint, limiter, ngram, noise, overlap, requests, runlog, split
 from textmill.plans.cleaning import clean_corpus
 from textmill.plans.evaluation import evaluate
 from textmill.session import materialize, scratch_path
@@ -105,7 +105,7 @@ def s05_manifest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _evaluation(spark: SparkSession, sf_dir: str, cap: int | None) -> DataFrame:
     texts = inputs.documents(spark, sf_dir)
     said = inputs.predictions(overlap.eval_texts(texts))
-    return evaluate(texts, said, inputs.token_scores(texts), "stand-in", "documents", cap)
+    return evaluate(texts, said, ngram.token_losses(texts, texts), "bigrams", "documents", cap)
 
 
 @query
@@ -231,8 +231,8 @@ def p15_eval_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p16_scorable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = inputs.token_scores(inputs.corpus(spark, sf_dir))
-    return scores.where(quality.scorable(F.col("n_tokens"))).select("doc_id", F.col("n_tokens").cast("bigint").alias("n_tokens"))
+    counted = inputs.corpus(spark, sf_dir).select("doc_id", tokens.token_count(F.col("text")).cast("bigint").alias("n_tokens"))
+    return counted.where(quality.scorable(F.col("n_tokens")))
 
 
 # --- Cleaning -----------------------------------------------------------------
@@ -327,13 +327,28 @@ def e08_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def e09_corpus_rouge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlap.corpus_rouge(overlap.score_pairs(inputs.pairs(spark, sf_dir))).select("rouge1", "rouge2")
+    return overlap.corpus_rouge(overlap.score_pairs(inputs.pairs(spark, sf_dir)))
+
+
+def _test_losses(spark: SparkSession, sf_dir: str, order: int) -> DataFrame:
+    """The test split under the model of the train split."""
+    parts = materialize(split.assign_splits(_cleaned(spark, sf_dir)), "splits")
+    train, test = (parts.where(F.col("split") == name).select("doc_id", "text") for name in ("train", "test"))
+    return ngram.token_losses(test, train, order)
 
 
 @query
 def e10_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = inputs.token_scores(inputs.corpus(spark, sf_dir))
-    return overlap.perplexity(scores).select(F.round("perplexity", 6).alias("perplexity"))
+    return overlap.perplexity(_test_losses(spark, sf_dir, 2)).select(F.round("perplexity", 6).alias("perplexity"))
+
+
+@query
+def e10_token_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss per document, by words, pairs and triples of words."""
+    losses = _test_losses(spark, sf_dir, 3)
+    return losses.select(
+        "doc_id", F.round(F.coalesce("loss", F.lit(-1.0)), 6).alias("loss"), F.col("n_tokens").cast("bigint").alias("n_tokens")
+    )
 
 
 @query
