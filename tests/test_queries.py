@@ -8,9 +8,7 @@ from textmill.checks.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 ORACLES = contract.oracle_sql()
-# Checked against brute force on small fixtures instead: a longest common
-# subsequence of whole texts is too slow in SQL.
-WITHOUT_SQL = {"e07_rouge_l", "e11_eval_result", "s06_eval_result_sink"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -235,6 +235,26 @@ BIGRAMS = """SELECT doc_id, side, stem || ' ' || next AS token FROM (
 ROUGE2 = STEMMED + ", " + overlap(BIGRAMS)
 
 
+# The longest common subsequence by bit rows (Crochemore et al., 2001), in chunks of 60 bits:
+# a row is a list of chunks; its sum with the places that match carries from chunk to chunk.
+_CHUNK = f"{(1 << 60) - 1}"
+_CARRIED = f"""list_reduce(list_transform(range(1, len(v) + 1), lambda k: [v[k], v[k] & m[k]]),
+    lambda a, e: list_append([(e[1] + e[2] + a[1]) >> 60] || a[2:], ((e[1] + e[2] + a[1]) & {_CHUNK}) | (e[1] - e[2])), [0::BIGINT])[2:]"""
+ROUGE_L = f"""{STEMMED.replace('stemmed AS (', 'stemmed AS MATERIALIZED (')},
+placed AS (SELECT doc_id, side, stem, row_number() OVER (PARTITION BY doc_id, side ORDER BY pos) - 1 AS tok FROM stemmed),
+sizes AS (SELECT doc_id, count(*) FILTER (side = 'p') AS np, count(*) FILTER (side = 'r') AS nr FROM placed GROUP BY doc_id),
+chunks AS (SELECT doc_id, stem, tok // 60 AS c, sum(1::BIGINT << (tok % 60))::BIGINT AS bits FROM placed WHERE side = 'r' GROUP BY ALL),
+masks AS MATERIALIZED (SELECT doc_id, stem, list_transform(range((nr + 59) // 60), lambda k: coalesce(m[k], 0)) AS m
+  FROM (SELECT doc_id, stem, map(list(c), list(bits)) AS m FROM chunks GROUP BY ALL) JOIN sizes USING (doc_id)),
+steps AS (SELECT doc_id, list(m ORDER BY tok) AS steps FROM (SELECT doc_id, stem, tok FROM placed WHERE side = 'p') JOIN masks USING (doc_id, stem)
+  GROUP BY doc_id),
+ends AS (SELECT doc_id, np, nr, full_row, list_reduce(steps, lambda v, m: {_CARRIED}, full_row) AS v
+  FROM steps JOIN (SELECT *, list_transform(range((nr + 59) // 60), lambda k: (1::BIGINT << least(60, nr - 60 * k)) - 1) AS full_row FROM sizes) USING (doc_id)),
+common AS (SELECT doc_id, np, nr, nr - list_sum(list_transform(range(1, len(v) + 1), lambda k: bit_count(v[k] & full_row[k]))) AS l FROM ends),
+scores AS (SELECT doc_id, CASE WHEN coalesce(l, 0) = 0 THEN 0.0::DOUBLE
+  ELSE 2 * (l / np) * (l / nr) / ((l / np) + (l / nr)) END AS f FROM pairs LEFT JOIN common USING (doc_id))"""
+
+
 # --- Language model -----------------------------------------------------------
 def losses(train: str, test: str, order: int) -> str:
     """CTEs up to ``lost(doc_id, loss, n_tokens)``, for queries of (doc_id, text)."""
@@ -419,6 +439,15 @@ _MANIFEST = f"""WITH {KEYED.replace(CORPUS, 'corpus AS (SELECT doc_id, text FROM
 SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})"""
 RESPONSES = RESPONSES.replace("__MANIFEST__", _MANIFEST)
 
+_MEANS = ", ".join(
+    f'round((SELECT coalesce(avg(f), 0) FROM (WITH {ctes} SELECT f FROM scores)), 4) AS "{name}"'
+    for name, ctes in (("rouge1", ROUGE1), ("rouge2", ROUGE2), ("rougeL", ROUGE_L))
+)
+_EVALUATION = f"""WITH {losses("SELECT doc_id, text FROM documents", "SELECT doc_id, text FROM documents", 2)}
+SELECT 'bigrams' AS model_path, 'documents' AS data_path, (SELECT count(*) FROM documents) AS num_samples,
+  (SELECT round({PERPLEXITY}, 2) FROM lost) AS perplexity, {_MEANS},
+  (SELECT coalesce(round(avg(round(f, 4)), 4), 0.0::DOUBLE) FROM (WITH {PAIRS}, {F1} SELECT f FROM scores)) AS token_f1"""
+
 ORACLES: dict[str, str] = {
     "s08_served_log": f"""WITH RECURSIVE {RESPONSES}, log AS (
   SELECT request_id, 'rate_limited' AS event, caller AS client, '' AS reason, '' AS category, -1::BIGINT AS token_count,
@@ -493,8 +522,10 @@ fp AS (SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})) SELECT conv_id,
     "e06_rouge2": f"WITH {ROUGE2} SELECT doc_id, f AS rouge2 FROM scores",
     "e08_stems": f"""WITH {CORPUS}, {stems(f"SELECT DISTINCT unnest({ascii_words('text')}) AS token FROM corpus")}
 SELECT token, stem FROM stems""",
-    "e09_corpus_rouge": f"""SELECT round((SELECT avg(f) FROM (WITH {ROUGE1} SELECT f FROM scores)), 4) AS rouge1,
-  round((SELECT avg(f) FROM (WITH {ROUGE2} SELECT f FROM scores)), 4) AS rouge2""",
+    "e07_rouge_l": f"WITH {ROUGE_L} SELECT doc_id, f AS \"rougeL\" FROM scores",
+    "e09_corpus_rouge": f"SELECT {_MEANS}",
+    "e11_eval_result": _EVALUATION,
+    "s06_eval_result_sink": _EVALUATION,
     "e10_perplexity": f"WITH {SPLIT.replace('split AS (', 'split AS MATERIALIZED (')}, {losses(_TRAIN, _TEST, 2)} SELECT round({PERPLEXITY}, 6) AS perplexity FROM lost",
     "e10_token_losses": f"""WITH {SPLIT.replace('split AS (', 'split AS MATERIALIZED (')}, {losses(_TRAIN, _TEST, 3)}
 SELECT doc_id, round(coalesce(loss, -1), 6) AS loss, n_tokens FROM lost""",
