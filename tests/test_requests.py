@@ -212,16 +212,19 @@ def test_limiter_stream_decides_every_request(spark, out, late):
     for batch in batches:
         spark.createDataFrame(batch, REQUESTS).write.mode("append").parquet(f"{out}/in")
         stream = spark.readStream.schema(REQUESTS).parquet(f"{out}/in")
-        query = rate_limit_stream(
-            stream, f"{out}/out", f"{out}/log", limit=3, window_seconds=60, lateness_seconds=10**6, availableNow=True
-        )
-        query.awaitTermination()
+        _limit_stream(stream, out, lateness_seconds=10**6)
     got = {r.request_id: r.accepted for r in spark.read.schema(DECISIONS).parquet(f"{out}/out").collect()}
     assert got == _arrival_limit(batches, 3, 60)
     if not late:
         assert got == _plain_limit(rows, 3, 60)
 
 
+def _limit_stream(stream, out, **more):
+    query = rate_limit_stream(stream, f"{out}/out", f"{out}/log", {"availableNow": True}, limit=3, window_seconds=60, **more)
+    query.awaitTermination()
+    return query
+
+
 @pytest.mark.parametrize("lateness", [None, 3600])
 def test_limiter_stream_keeps_the_logs_of_clients_that_lag(spark, out, lateness):
     """One client is some windows behind the others, one request is stamped far ahead, and
@@ -237,19 +240,38 @@ def test_limiter_stream_keeps_the_logs_of_clients_that_lag(spark, out, lateness)
         spark.createDataFrame(batch, REQUESTS).write.mode("append").parquet(f"{out}/in")
         stream = spark.readStream.schema(REQUESTS).parquet(f"{out}/in")
         more = {} if lateness is None else {"lateness_seconds": lateness}
-        rate_limit_stream(stream, f"{out}/out", f"{out}/log", limit=3, window_seconds=60, availableNow=True, **more).awaitTermination()
+        _limit_stream(stream, out, **more)
     got = {r.request_id: r.accepted for r in spark.read.schema(DECISIONS).parquet(f"{out}/out").collect()}
     assert got == _arrival_limit(batches, 3, 60)
 
 
-def test_limiter_stream_drops_idle_clients_after_a_given_lateness(spark, out):
-    for n, (client, at) in enumerate([("idle", 0), ("busy", 500), ("busy", 510)]):
-        spark.createDataFrame([(n, client, NOON + dt.timedelta(seconds=at))], REQUESTS).write.mode("append").parquet(f"{out}/in")
+def test_limiter_stream_lets_each_client_go_by_its_own_timer(spark, out):
+    """A log goes when the watermark is a window past its newest stamp; that of a client that
+    came back stays, and of the others nothing is written."""
+    second = lambda s: NOON + dt.timedelta(seconds=s)
+    steps = [[("idle", 0), ("back", 0)], [("back", 100)], [("busy", 170)], [("busy", 265)], [("busy", 500)], [("busy", 510)]]
+    held = []
+    for n, rows in enumerate(steps):
+        table = [(10 * n + i, client, second(at)) for i, (client, at) in enumerate(rows)]
+        spark.createDataFrame(table, REQUESTS).write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(REQUESTS).parquet(f"{out}/in")
+        _limit_stream(stream, out, lateness_seconds=100)
+        logs = spark.read.format("statestore").option("stateVarName", "log").load(f"{out}/log")
+        held.append({r.key.client for r in logs.collect()})
+    assert held[0] == held[1] == {"idle", "back"} and held[-1] == {"busy"}
+    assert any("back" in h and "idle" not in h for h in held)
+    got = spark.read.schema(DECISIONS).parquet(f"{out}/out")
+    assert got.count() == 7 and got.where("accepted").count() == 7
+
+
+def test_limiter_stream_writes_the_logs_of_its_own_clients_only(spark, out):
+    for n, clients in enumerate([range(500), range(1)]):
+        table = [(1000 * n + c, f"c{c}", NOON + dt.timedelta(seconds=n)) for c in clients]
+        spark.createDataFrame(table, REQUESTS).write.mode("append").parquet(f"{out}/in")
         stream = spark.readStream.schema(REQUESTS).parquet(f"{out}/in")
-        rate_limit_stream(
-            stream, f"{out}/out", f"{out}/log", limit=3, window_seconds=60, lateness_seconds=100, availableNow=True
-        ).awaitTermination()
-    assert sorted(r.client for r in spark.read.parquet(f"{out}/log/logs/2").collect()) == ["busy", "busy"]
+        query = _limit_stream(stream, out)
+    (state,) = [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"]
+    assert state["numRowsUpdated"] <= 4 and state["numRowsTotal"] >= 500
 
 
 def test_status_precedence_and_quota(spark):

@@ -448,20 +448,28 @@ SELECT 'bigrams' AS model_path, 'documents' AS data_path, (SELECT count(*) FROM
   (SELECT round({PERPLEXITY}, 2) FROM lost) AS perplexity, {_MEANS},
   (SELECT coalesce(round(avg(round(f, 4)), 4), 0.0::DOUBLE) FROM (WITH {PAIRS}, {F1} SELECT f FROM scores)) AS token_f1"""
 
-ORACLES: dict[str, str] = {
-    "s08_served_log": f"""WITH RECURSIVE {RESPONSES}, log AS (
+_RESPONSE_ROWS = f"""WITH RECURSIVE {RESPONSES} SELECT request_id, client, generated_text, prompt, model_version,
+  dataset_hash, token_count, latency_ms, safe_mode FROM responses"""
+_SERVED_LOG = f"""WITH RECURSIVE {RESPONSES}, log AS (
   SELECT request_id, 'rate_limited' AS event, caller AS client, '' AS reason, '' AS category, -1::BIGINT AS token_count,
     -1.0::DOUBLE AS latency_ms, '' AS model_version, '' AS dataset_hash, '' AS safe_mode FROM judged_requests WHERE status = 429
   UNION ALL SELECT request_id, 'input_blocked', client, ir, ic, -1, -1.0, '', '', '' FROM responses WHERE ic IS NOT NULL
   UNION ALL SELECT request_id, 'output_blocked', '', orr, '', -1, -1.0, '', '', '' FROM responses WHERE ic IS NULL AND oc IS NOT NULL
   UNION ALL SELECT request_id, 'generate_request', client, '', '', token_count, latency_ms, model_version, dataset_hash,
     safe_mode::VARCHAR FROM responses WHERE ic IS NULL)
-SELECT request_id::VARCHAR AS request_id, event, client, reason, category, token_count, latency_ms, model_version, dataset_hash, safe_mode FROM log""",
-    "g11_response_rows": f"""WITH RECURSIVE {RESPONSES} SELECT request_id, client, generated_text, prompt, model_version,
-  dataset_hash, token_count, latency_ms, safe_mode FROM responses""",
+SELECT request_id::VARCHAR AS request_id, event, client, reason, category, token_count, latency_ms, model_version, dataset_hash, safe_mode FROM log"""
+
+ORACLES: dict[str, str] = {
+    "s08_served_log": _SERVED_LOG,
+    "w03_served_log_stream": _SERVED_LOG,
+    "g11_response_rows": _RESPONSE_ROWS,
+    "g11_response_stream": _RESPONSE_ROWS,
     "s01_jsonl_scan": NOISY,
     "s02_split_scan": _over("split", SPLIT, "doc_id, text, split") + " WHERE split <> 'test'",
     "s03_split_sink": _over("split", SPLIT, "doc_id, text, split"),
+    "s03_split_order": _over(
+        "split", SPLIT, "split, doc_id, row_number() OVER (PARTITION BY split ORDER BY order_key, doc_id) - 1 AS place"
+    ),
     "s03_splits_without_ids": _over("split", SPLIT_BY_TEXT, "text, split"),
     "s04_manifest": f"""WITH {KEYED}, fp AS (SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')}))
 SELECT '1.0.0' AS cleaning_rules_version, 42 AS split_seed, dataset_hash, 'corpus' AS input_file, c.* FROM fp, ({COUNTS}) AS c""",
@@ -516,6 +524,9 @@ fp AS (SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})) SELECT conv_id,
     "e01_eval_head": """SELECT doc_id, substr(text, 1, 50) AS prompt, substr(text, 51) AS reference
   FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 100) WHERE length(text) >= 60""",
     "e02_pairs": _over("pairs", PAIRS, "doc_id, prediction, reference"),
+    "e02_positional_pairs": _over(
+        "pairs", PAIRS, "row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, prediction, reference"
+    ),
     "e03_token_f1": f"WITH {PAIRS}, {F1} SELECT doc_id, round(f, 4) AS token_f1 FROM scores",
     "e04_mean_token_f1": f"WITH {PAIRS}, {F1} SELECT coalesce(round(avg(round(f, 4)), 4), 0.0::DOUBLE) AS token_f1 FROM scores",
     "e05_rouge1": f"WITH {ROUGE1} SELECT doc_id, f AS rouge1 FROM scores",

@@ -16,7 +16,8 @@ from textmill.plans.cleaning import clean_corpus
 from textmill.plans.evaluation import evaluate
 from textmill.session import materialize, scratch_path
 from textmill.sources import corpus as files
-from textmill.sources import decisions, runlogs
+from textmill.sources import decisions, ordered, runlogs
+from textmill.streaming.exchange import append_events, event_stream, response_stream, valid_requests
 from textmill.streaming.guard import log_decisions, screen_requests
 from textmill.streaming.limiter import DECISIONS, rate_limit_stream
 
@@ -79,6 +80,13 @@ def s03_split_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_splits(spark, _split_files(spark, sf_dir))
 
 
+@query
+def s03_split_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in its split's files."""
+    rows = ordered.read_ordered(spark, _split_files(spark, sf_dir), "doc_id bigint, split string")
+    return rows.select("split", "doc_id", F.col("ordinal").alias("place"))
+
+
 @query
 def s03_splits_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on JSON Lines that hold texts only."""
@@ -151,7 +159,10 @@ def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s08_served_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "decisions")
     decisions.append_decisions(requests.log_events(_responses(spark, sf_dir)), path)
-    log = decisions.read_decisions(spark, path)
+    return _served_log(decisions.read_decisions(spark, path))
+
+
+def _served_log(log: DataFrame) -> DataFrame:
     texts = ("client", "reason", "category", "model_version", "dataset_hash")
     return log.select(
         "request_id",
@@ -293,6 +304,18 @@ def e02_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.pair_up(references, inputs.predictions(references))
 
 
+@query
+def e02_positional_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions and references in files without ids, dealt differently."""
+    rows, sides = materialize(inputs.pairs(spark, sf_dir), "pairs"), {}
+    for name, files_of in (("reference", 3), ("prediction", 5)):
+        path = scratch_path(spark, name)
+        dealt = rows.repartitionByRange(files_of, "doc_id").sortWithinPartitions("doc_id")
+        files.write_jsonl(dealt.select(F.col(name).alias("text")), path)
+        sides[name] = ordered.read_ordered(spark, path)
+    return overlap.pair_by_position(sides["reference"], sides["prediction"])
+
+
 @query
 def e03_token_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.token_f1(inputs.pairs(spark, sf_dir))
@@ -475,7 +498,7 @@ def w02_rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number in range(4):
         parts.where(F.col("quarter") == number).drop("quarter").write.mode("append").parquet(source)
         stream = spark.readStream.schema(rows.schema).parquet(source)
-        rate_limit_stream(stream, sink, progress, limit=LIMIT, window_seconds=DAY, availableNow=True).awaitTermination()
+        rate_limit_stream(stream, sink, progress, {"availableNow": True}, limit=LIMIT, window_seconds=DAY).awaitTermination()
     return spark.read.schema(DECISIONS).parquet(sink).select("request_id", "client", "accepted")
 
 
@@ -489,6 +512,53 @@ def w03_guard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _logged(decisions.read_decisions(spark, sink))
 
 
+_ASKED = "request_id bigint, client string, ts timestamp, value string, model_loaded boolean"
+_ANSWERED = "request_id bigint, done timestamp, generated string"
+
+
+def _exchange_streams(spark: SparkSession, sf_dir: str, logged: bool) -> str:
+    """Requests and answers arrive in two halves of the time span; the limiter and then the
+    responses, or the log lines, run after each. Returns the folder of what they wrote."""
+    root = scratch_path(spark, "exchange")
+    rows = materialize(inputs.served(spark, sf_dir), "served")
+    middle = rows.agg(F.expr("timestamp_micros((min(unix_micros(ts)) + max(unix_micros(ts))) div 2)")).scalar()
+    files.write_row(cleaning.manifest(inputs.documents(spark, sf_dir), "documents"), f"{root}/manifest")
+    known = files.read_manifest(spark, f"{root}/manifest")
+    streams = {"asked": ("ts", _ASKED), "answered": ("done", _ANSWERED)}
+
+    def arriving(name: str, schema: str) -> DataFrame:
+        return spark.readStream.schema(schema).parquet(f"{root}/{name}")
+
+    for half in (F.lit(True), F.lit(False)):
+        for name, (at, schema) in streams.items():
+            part = rows.where((F.col(at) < middle) == half)
+            part.select(*[c.split(" ")[0] for c in schema.split(", ")]).write.mode("append").parquet(f"{root}/{name}")
+        asked, answered = (arriving(name, schema) for name, (_, schema) in streams.items())
+        now = {"availableNow": True}
+        rate_limit_stream(
+            valid_requests(asked), f"{root}/judged", f"{root}/limiter", now, limit=LIMIT, window_seconds=DAY
+        ).awaitTermination()
+        judged = arriving("judged", DECISIONS)
+        responses = response_stream(asked, judged, answered, known, "stand-in")
+        if logged:
+            append_events(event_stream(responses, judged), f"{root}/log", f"{root}/logging").awaitTermination()
+            continue
+        writer = responses.writeStream.format("parquet").option("checkpointLocation", f"{root}/progress")
+        writer.option("path", f"{root}/responses").trigger(**now).start().awaitTermination()
+    return root
+
+
+@query
+def g11_response_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_exchange_streams(spark, sf_dir, False)}/responses"
+    return spark.read.parquet(path).drop("input_check", "output_check", "status")
+
+
+@query
+def w03_served_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _served_log(decisions.read_decisions(spark, f"{_exchange_streams(spark, sf_dir, True)}/log"))
+
+
 # --- Run logs -----------------------------------------------------------------
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events").select(

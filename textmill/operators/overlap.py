@@ -31,6 +31,13 @@ def pair_up(references: DataFrame, predictions: DataFrame, how: str = "inner") -
     return predictions.select("doc_id", "prediction").join(references.select("doc_id", "reference"), "doc_id", how)
 
 
+def pair_by_position(references: DataFrame, predictions: DataFrame) -> DataFrame:
+    """``(ordinal, prediction, reference)`` of two numbered tables of texts without ids; what
+    one side has more than the other is left out."""
+    said = predictions.select("ordinal", F.col("text").alias("prediction"))
+    return said.join(references.select("ordinal", F.col("text").alias("reference")), "ordinal")
+
+
 def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:
     """Harmonic mean of precision and recall; 0 without any overlap."""
     precision = overlap / F.greatest(n_pred, F.lit(1))

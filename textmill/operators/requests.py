@@ -167,6 +167,12 @@ def respond(
     for other statuses the columns of the response are null. ``request_id`` is unique."""
     status = request_status(served, limit, window_seconds)
     parsed = served.join(status, "request_id").withColumn("request", parse_request(F.col("value")))
+    return response_rows(parsed, manifests, model_version)
+
+
+def response_rows(parsed: DataFrame, manifests: DataFrame, model_version: str) -> DataFrame:
+    """The same for ``(request_id, client, ts, done, request, generated, status)`` rows, batch
+    or stream; all of it is row-local."""
     rows = moderate(parsed.withColumn("prompt", F.col("request.prompt")), F.col("request.safe_mode"))
     rows = attach_manifest(rows, manifests)
     response = {

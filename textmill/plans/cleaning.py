@@ -21,7 +21,7 @@ def clean_table(
     are computed from the raw table in a narrow pass of their own.
     """
     cleaned = materialize(clean(raw, with_key=True, limits=limits), "cleaned")
-    write_splits(assign_splits(cleaned, seed, limits), f"{output}/splits")
+    write_splits(assign_splits(cleaned, seed, limits), f"{output}/splits", seed=seed)
     write_row(manifest(raw, input_name, seed, limits), f"{output}/manifest")
     return read_manifest(raw.sparkSession, f"{output}/manifest")
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill import rules
+from textmill.operators.split import order_key, row_key
+from textmill.sources.ordered import in_ranges
 
 RAW_SCHEMA = "doc_id bigint, text string, source string, label string"
 MANIFEST_SCHEMA = (
@@ -28,9 +30,21 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_splits(assigned: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON Lines folder per split, as raw UTF-8."""
-    assigned.select("doc_id", "text", "split").write.mode(mode).partitionBy("split").json(path)
+def write_splits(
+    assigned: DataFrame, path: str, mode: str = "overwrite", seed: int = rules.SPLIT_SEED
+) -> None:
+    """One JSON Lines folder per split, as raw UTF-8, in seeded order: the files of a folder,
+    taken by name, hold its rows in order."""
+    rows = assigned.select(
+        "doc_id",
+        "text",
+        # Never null, so that the writer need not sort by it again.
+        F.coalesce("split", F.lit("")).alias("split"),
+        order_key(row_key(assigned), seed).alias("order_key"),
+        row_key(assigned).alias("row_key"),
+    )
+    dealt = in_ranges(rows, "split", "order_key", "row_key").drop("order_key", "row_key")
+    dealt.write.mode(mode).partitionBy("split").json(path)
 
 
 def read_splits(spark: SparkSession, path: str, *names: str) -> DataFrame:

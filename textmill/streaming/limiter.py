@@ -1,88 +1,114 @@
-"""The sliding-log rate limit on a stream.
-
-Every micro-batch goes through the batch operator, with the clients' logs (``limit``
-stamps each, at most) as stored input, so a hot client is spread as in batch and no state
-lives in a Python process. Every request gets a decision: there is no watermark. Rows of
-different micro-batches are judged in arrival order, rows of one in time order, so results
-equal the batch operator's when the input arrives in time order. A client with a row that
-is earlier than its log is folded by itself: all its accepted requests less than a window
-older than the row, and any later ones, count.
-
-Decisions and logs of a micro-batch are written under its number, the logs read are those
-of the number before, and both are overwritten if the batch is repeated: the same batch
-number gives the same rows.
+"""The sliding-log rate limit on a stream, with the clients' logs as keyed state.
+
+A client's log is a state variable of its own (``limit`` accepted stamps at most) in the
+state store: a micro-batch reads and writes the logs of its own clients only, however many
+others there are, and the store's change log and snapshots are Spark's. Every request gets a
+decision: rows of different micro-batches are judged in arrival order, rows of one in time
+order, so results equal the batch operator's when the input arrives in time order. A row that
+is earlier than its client's log is judged by what the log holds: accepted requests less than
+a window older than it and any later ones count.
+
+Without a ``lateness`` logs are kept for good. With one, so that no request is further behind
+the newest of all, it is the stream's watermark, and each log has a timer of its own that
+lets it go once the watermark is a window past its newest stamp, when nothing can count it any
+more. Requests behind the watermark break that promise and are dropped by Spark.
+
+Memory of a task: the stamps and ids of one client in one micro-batch (16 bytes a request),
+whose size the source's own options bound.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from textmill import rules
-from textmill.operators.limiter import fold, latest_accepted, rate_limit, requests_of
-from textmill.session import materialize
+from textmill.operators.limiter import decide, requests_of
 
-_LOG = "client string, request_id bigint, ts_us bigint"
-DECISIONS = "client string, request_id bigint, ts timestamp, accepted boolean, batch bigint"
+DECISIONS = "client string, request_id bigint, ts timestamp, accepted boolean"
+_JUDGED = "client string, request_id bigint, ts_us bigint, accepted boolean"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _judged(requests: DataFrame, logs: DataFrame, limit: int, window_seconds: int) -> DataFrame:
-    """``(client, request_id, ts, accepted)`` of ``(client, request_id, ts_us)``."""
-    newest = logs.groupBy("client").agg(F.max("ts_us").alias("newest"))
-    late = materialize(
-        requests.groupBy("client").agg(F.min("ts_us").alias("first")).join(newest, "client").where("first < newest").select("client"),
-        "late-clients",
-    )
-    in_order = rate_limit(
-        requests.join(late, "client", "left_anti").withColumn("ts", F.timestamp_micros("ts_us")),
-        limit=limit,
-        window_seconds=window_seconds,
-        history=logs.join(requests.select("client").distinct(), "client", "left_semi").join(late, "client", "left_anti"),
-    )
-    rows = requests.withColumn("carried", F.lit(False)).unionByName(logs.withColumn("carried", F.lit(True)))
-    behind = fold(rows.join(late, "client", "left_semi").withColumn("stretch", F.lit(0).cast("bigint")), limit, window_seconds * 1_000_000)
-    return in_order.unionByName(
-        behind.where("not carried").select("client", "request_id", F.timestamp_micros("ts_us").alias("ts"), "accepted")
-    )
+class ClientLog(StatefulProcessor):
+    """Decides one client's requests and keeps its accepted stamps."""
+
+    def __init__(self, limit: int, window_us: int, expires: bool):
+        self.limit, self.window_us, self.expires = limit, window_us, expires
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.log = handle, handle.getListState("log", "ts_us bigint")
 
+    def _stamps(self) -> list[int]:
+        return sorted(stamp for (stamp,) in self.log.get()) if self.log.exists() else []
 
-def rate_limit_stream(
+    def _expiry_ms(self, stamps: list[int]) -> int:
+        return -(-(stamps[-1] + self.window_us) // 1000)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = [(part["ts_us"].to_numpy(), part["request_id"].to_numpy()) for part in rows]
+        stamps, ids = (np.concatenate(column) for column in zip(*parts, strict=True))
+        order = np.lexsort((ids, stamps))
+        stamps, ids = stamps[order], ids[order]
+        log = self._stamps()
+        known = bool(log)
+        accepted = decide(stamps, log, self.limit, self.window_us)
+        if accepted.any():
+            self.log.put([(int(stamp),) for stamp in log])
+            if self.expires and not known:
+                self.handle.registerTimer(self._expiry_ms(log))
+        yield pd.DataFrame({"client": key[0], "request_id": ids, "ts_us": stamps, "accepted": accepted})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        log = self._stamps()
+        if log and self._expiry_ms(log) > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(self._expiry_ms(log))  # the client came back in between
+        else:
+            self.log.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def judged_stream(
     stream: DataFrame,
-    output: str,
-    progress: str,
     client: str = "client",
     ts: str = "ts",
     id_col: str = "request_id",
     limit: int = rules.RATE_LIMIT,
     window_seconds: int = rules.RATE_WINDOW_SECONDS,
     lateness_seconds: int | None = None,
-    **trigger,
-) -> StreamingQuery:
-    """Starts the query. Decisions go to ``output`` (read with ``DECISIONS``), logs and
-    the query's own progress to ``progress``. Every client keeps its log, however far
-    clients are apart in time. Only if ``lateness_seconds`` is given, so that no request is
-    further behind the newest of all, clients leave whose own newest accepted request is a
-    window more behind. The trigger is that of ``DataStreamWriter.trigger``."""
+) -> DataFrame:
+    """The stream of decisions, ``DECISIONS``. Runs on a RocksDB state store."""
     requests = requests_of(stream, client, ts, id_col)
+    if lateness_seconds is not None:
+        requests = requests.withColumn("at", F.timestamp_micros("ts_us")).withWatermark("at", f"{lateness_seconds} seconds")
+    judged = requests.groupBy("client").transformWithStateInPandas(
+        statefulProcessor=ClientLog(limit, window_seconds * 1_000_000, lateness_seconds is not None),
+        outputStructType=_JUDGED,
+        outputMode="Append",
+        timeMode="None" if lateness_seconds is None else "EventTime",
+    )
+    return judged.select("client", "request_id", F.timestamp_micros("ts_us").alias("ts"), "accepted")
 
-    def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = materialize(batch, "limiter-batch")
-        if number:
-            logs = spark.read.schema(_LOG).parquet(f"{progress}/logs/{number - 1}")
-        else:
-            logs = spark.createDataFrame([], _LOG)
-        decided = materialize(_judged(rows, logs, limit, window_seconds), "limiter-decisions")
-        decided.write.mode("overwrite").parquet(f"{output}/batch={number}")
-        new = decided.where("accepted").select("client", "request_id", F.unix_micros("ts").alias("ts_us"))
-        every = logs.unionByName(new)
-        kept = latest_accepted(every.withColumn("accepted", F.lit(True)), ["client"], limit)
-        if lateness_seconds is not None:
-            oldest = every.agg(F.max("ts_us") - F.lit((window_seconds + lateness_seconds) * 1_000_000)).scalar()
-            going_on = every.groupBy("client").agg(F.max("ts_us").alias("newest")).where(F.col("newest") > oldest)
-            kept = kept.join(going_on, "client", "left_semi")
-        kept.select("client", "request_id", "ts_us").write.mode("overwrite").parquet(f"{progress}/logs/{number}")
-
-    writer = requests.writeStream.foreachBatch(each).option("checkpointLocation", f"{progress}/query").outputMode("append")
-    return writer.trigger(**trigger).start() if trigger else writer.start()
+
+def rate_limit_stream(stream: DataFrame, output: str, progress: str, trigger: dict | None = None, **options) -> StreamingQuery:
+    """Starts the query. Decisions are appended to ``output`` (Parquet; read with
+    ``DECISIONS``), state and progress go to ``progress``. ``options`` are those of
+    ``judged_stream``, ``trigger`` those of ``DataStreamWriter.trigger``."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_STORE)
+    conf.set(_STORE, _ROCKSDB)  # a query keeps the store it was started with
+    try:
+        writer = judged_stream(stream, **options).writeStream.format("parquet").option("path", output)
+        writer = writer.option("checkpointLocation", progress).outputMode("append")
+        return writer.trigger(**trigger).start() if trigger else writer.start()
+    finally:
+        conf.set(_STORE, before)
