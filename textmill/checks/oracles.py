@@ -439,6 +439,20 @@ _MANIFEST = f"""WITH {KEYED.replace(CORPUS, 'corpus AS (SELECT doc_id, text FROM
 SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})"""
 RESPONSES = RESPONSES.replace("__MANIFEST__", _MANIFEST)
 
+def _leaves(source: str) -> str:
+    digest = f"sha256(concat_ws(':', count(*)::VARCHAR, {LANES}))"
+    return f"""SELECT left(order_key, 4) AS bucket, count(*) AS n_rows, {digest} AS hash
+  FROM (SELECT order_key, sha256(order_key || ':' || sha256(text)) AS h FROM {source}) GROUP BY ALL"""
+
+
+def _over_nodes(source: str, digits: int) -> str:
+    return f"""SELECT left(bucket, {digits}) AS bucket, sum(n_rows)::BIGINT AS n_rows,
+  sha256(string_agg(bucket || '=' || hash, ',' ORDER BY bucket)) AS hash FROM {source} GROUP BY left(bucket, {digits})"""
+
+
+_VERSIONS = f"""{KEYED}, later AS (SELECT doc_id, text, sha256('42:' || doc_id) AS order_key FROM (
+  SELECT CASE WHEN doc_id % 101 = 7 THEN -doc_id ELSE doc_id END AS doc_id,
+    CASE WHEN doc_id % 97 = 3 THEN text || ' (edited)' ELSE text END AS text FROM keyed WHERE doc_id % 89 <> 5))"""
 _MEANS = ", ".join(
     f'round((SELECT coalesce(avg(f), 0) FROM (WITH {ctes} SELECT f FROM scores)), 4) AS "{name}"'
     for name, ctes in (("rouge1", ROUGE1), ("rouge2", ROUGE2), ("rougeL", ROUGE_L))
@@ -519,6 +533,14 @@ fp AS (SELECT {DIGEST} AS dataset_hash FROM ({hashed('keyed')})) SELECT conv_id,
     "a03_split_counts": f"""WITH {SPLIT} SELECT s AS split, count(doc_id) AS n_rows
   FROM (VALUES ('train'), ('val'), ('test')) AS v(s) LEFT JOIN split ON split.split = s GROUP BY s""",
     "a04_dataset_fingerprint": f"WITH {KEYED} SELECT count(*) AS n_rows, {DIGEST} AS dataset_hash FROM ({hashed('keyed')})",
+    "a04_hash_tree": f"""WITH {KEYED}, leaves AS ({_leaves('keyed')}), parents AS ({_over_nodes('leaves', 2)})
+SELECT 0 AS level, * FROM ({_over_nodes('parents', 0)}) UNION ALL SELECT 1, * FROM parents UNION ALL SELECT 2, * FROM leaves""",
+    "a04_changed_buckets": f"""WITH {_VERSIONS}, old AS ({_leaves('keyed')}), new AS ({_leaves('later')})
+SELECT bucket, coalesce(old.n_rows, 0) AS n_before, coalesce(new.n_rows, 0) AS n_after FROM old FULL JOIN new USING (bucket)
+WHERE old.hash IS DISTINCT FROM new.hash""",
+    "a04_changed_rows": f"""WITH {_VERSIONS} SELECT doc_id::VARCHAR AS row_key,
+  CASE WHEN k.text IS NULL THEN 'added' WHEN l.text IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM keyed k FULL JOIN later l USING (doc_id) WHERE k.text IS DISTINCT FROM l.text""",
     "k01_seeded_order": _over("keyed", KEYED, "doc_id, order_key"),
     "k02_split": _over("split", SPLIT, "doc_id, split"),
     "e01_eval_head": """SELECT doc_id, substr(text, 1, 50) AS prompt, substr(text, 51) AS reference

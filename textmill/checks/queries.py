@@ -11,7 +11,7 @@ from textmill import rules
 from textmill.checks import inputs
 from textmill.functions import guards, quality, text, tokens
 from textmill.functions.porter import stem_tokens
-from textmill.operators import cleaning, dedup, fingerprint, limiter, ngram, noise, overlap, requests, runlog, split
+from textmill.operators import cleaning, dedup, fingerprint, hashtree, limiter, ngram, noise, overlap, requests, runlog, split
 from textmill.plans.cleaning import clean_corpus
 from textmill.plans.evaluation import evaluate
 from textmill.session import materialize, scratch_path
@@ -282,6 +282,37 @@ def a04_dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.dataset_fingerprint(cleaning.clean(inputs.corpus(spark, sf_dir)))
 
 
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The cleaned corpus, and a later version in which some texts were edited and some rows
+    taken out or put under a new id."""
+    cleaned = _cleaned(spark, sf_dir)
+    n, t = F.col("doc_id"), F.col("text")
+    edited = F.when(n % 97 == 3, F.concat(t, F.lit(" (edited)"))).otherwise(t)
+    later = cleaned.where(n % 89 != 5).select(F.when(n % 101 == 7, -n).otherwise(n).alias("doc_id"), edited.alias("text"))
+    return cleaned.select("doc_id", "text"), later
+
+
+@query
+def a04_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashtree.hash_tree(_cleaned(spark, sf_dir))
+
+
+def _changed_buckets(versions: tuple[DataFrame, DataFrame]) -> DataFrame:
+    trees = [materialize(hashtree.hash_tree(version), "hash-tree") for version in versions]
+    return hashtree.changed_buckets(*trees)
+
+
+@query
+def a04_changed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changed_buckets(_versions(spark, sf_dir))
+
+
+@query
+def a04_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = _versions(spark, sf_dir)
+    return hashtree.changed_rows(*versions, materialize(_changed_buckets(versions), "changed-buckets"))
+
+
 @query
 def k01_seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.seeded_order(cleaning.clean(inputs.corpus(spark, sf_dir)).select("doc_id"))
