@@ -35,8 +35,8 @@ CACHED_CHARS = 64
 
 
 class RankQueue:
-    """Ranks below 64 ** 3, each with a bucket of positions; pops the leftmost position
-    of the lowest rank."""
+    """Ranks below 64 ** 3 that wait, each with a bucket (a heap) of positions. ``low``,
+    ``mid`` and ``top`` have a bit per rank, per 64 and per 4,096 ranks with a bucket."""
 
     def __init__(self) -> None:
         self.low = [0] * 4096
@@ -44,35 +44,6 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        a = (self.top & -self.top).bit_length() - 1
-        word = self.mid[a]
-        b = a << 6 | (word & -word).bit_length() - 1
-        word = self.low[b]
-        rank = b << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] &= self.low[b] - 1
-            if not self.low[b]:
-                self.mid[a] &= self.mid[a] - 1
-                if not self.mid[a]:
-                    self.top &= self.top - 1
-        return rank, position
-
 
 class Encoder(dict):
     """Pre-token to its ids as little-endian 32-bit integers; fills itself."""
@@ -80,8 +51,13 @@ class Encoder(dict):
     def __init__(self, ranks: dict[bytes, int]) -> None:
         super().__init__()
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.queue = RankQueue()
+        # All tokens' bytes in one table, in order of ranks.
+        self.lengths = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.lengths[rank] = len(token)
+        self.offsets = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
 
     def __missing__(self, piece: str) -> bytes:
         ids = np.array(self.merge(piece.encode()), dtype="<u4").tobytes()
@@ -92,42 +68,70 @@ class Encoder(dict):
         return ids
 
     def merge(self, piece: bytes) -> list[int]:
-        ranks, queue = self.ranks, self.queue
+        """Ids of a piece. What the queue does is written out here, as most pieces are short
+        and calls would be most of the work. It is empty between two pieces."""
+        ranks, low, mid, buckets = self.ranks, self.queue.low, self.queue.mid, self.queue.buckets
         if piece in ranks:
             return [ranks[piece]]
+        rank_of, top = ranks.get, self.queue.top
         n = len(piece)
         # The part at position i is piece[i:after[i]]; pair[i] is the rank of the token
         # it makes with its right neighbour, or -1.
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        pair = [-1] * n
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2], -1)
+        pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
+        pair.append(-1)
+        for i, rank in enumerate(pair):
             if rank >= 0:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (found := queue.pop()) is not None:
-            rank, i = found
+                if rank in buckets:
+                    buckets[rank].append(i)  # rising positions are a heap
+                else:
+                    buckets[rank] = [i]
+                    low[rank >> 6] |= 1 << (rank & 63)
+                    mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+                    top |= 1 << (rank >> 12)
+        while top:
+            a = (top & -top).bit_length() - 1
+            word = mid[a]
+            b = a << 6 | (word & -word).bit_length() - 1
+            word = low[b]
+            rank = b << 6 | (word & -word).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[b] = word & (word - 1)
+                if not low[b]:
+                    mid[a] &= mid[a] - 1
+                    if not mid[a]:
+                        top &= top - 1
             if pair[i] != rank:
-                continue
+                continue  # stale: one of its parts was merged since
             gone = after[i]
             end = after[gone]
             after[i] = end
             pair[gone] = -1
+            left = before[i]
             if end < n:
                 before[end] = i
-                made = ranks.get(piece[i : after[end]], -1)
+                pair[i] = rank_of(piece[i : after[end]], -1)
             else:
-                made = -1
-            pair[i] = made
-            if made >= 0:
-                queue.push(made, i)
-            left = before[i]
+                pair[i] = -1
             if left >= 0:
-                made = ranks.get(piece[left:end], -1)
-                pair[left] = made
-                if made >= 0:
-                    queue.push(made, left)
+                pair[left] = rank_of(piece[left:end], -1)
+            for at in (i, left):
+                if at < 0 or (rank := pair[at]) < 0:
+                    continue
+                if rank in buckets:
+                    heappush(buckets[rank], at)
+                else:
+                    buckets[rank] = [at]
+                    low[rank >> 6] |= 1 << (rank & 63)
+                    mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+                    top |= 1 << (rank >> 12)
+        self.queue.top = top
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i : after[i]]])
@@ -138,7 +142,11 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, vocabulary.pre_tokens(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        tokens = np.frombuffer(ids, "<u4")
+        lengths = self.lengths[tokens]
+        ends = np.cumsum(lengths)
+        size = int(ends[-1]) if len(ends) else 0
+        return self.bytes[np.arange(size) + np.repeat(self.offsets[tokens] + lengths - ends, lengths)].tobytes()
 
 
 _encoders: dict[int, Encoder] = {}
