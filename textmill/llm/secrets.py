@@ -244,27 +244,63 @@ def written(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["begin"], s["end"])), ",")
 
 
+#: Spans worked on together: the work of a text is its spans times this, not their square.
+_FEW = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each maximal covered run replaced by ``mark``."""
-    start = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-
-    def merge(runs: Column, s: Column) -> Column:
-        last = F.try_element_at(runs, F.lit(-1))
-        own = F.struct(s["begin"].alias("begin"), s["end"].alias("end"))
-        grown = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when(
-            s["begin"] < last["end"], F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(grown))
-        ).otherwise(F.concat(runs, F.array(own)))
+    ends = F.transform(spans, lambda s: s["end"])
+    first = lambda k: (k * _FEW + 1).cast("int")
+    parts = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / _FEW).cast("int"))
+    peaks = F.transform(parts, lambda k: F.array_max(F.slice(ends, first(k), F.lit(_FEW))))
+
+    def reached(k: Column) -> Column:
+        """The spans of a part, each with the furthest end before it."""
+        own, until = F.slice(spans, first(k), F.lit(_FEW)), F.slice(ends, first(k), F.lit(_FEW))
+        earlier = F.coalesce(F.array_max(F.slice(peaks, F.lit(1), k)), F.lit(0).cast("long"))
+        return _bound(
+            F.struct(own.alias("own"), until.alias("until"), earlier.alias("earlier")),
+            lambda p: F.transform(
+                p["own"],
+                lambda s, i: F.struct(
+                    s["begin"].cast("long").alias("begin"),
+                    F.greatest(p["earlier"], F.array_max(F.slice(p["until"], F.lit(1), i))).alias("reach"),
+                ),
+            ),
+        )
 
-    runs = F.aggregate(spans, start, merge)
-    last = F.try_element_at(runs, F.lit(-1))["end"]
+    # A run begins where nothing before it reaches; what is kept before it begins there.
+    runs = F.filter(F.flatten(F.transform(parts, reached)), lambda s: s["begin"] >= s["reach"])
+
+    def part_text(runs: Column, k: Column) -> Column:
+        own = F.slice(runs, first(k), F.lit(_FEW))
+        base, stop = F.element_at(own, 1)["reach"], F.element_at(own, -1)["begin"]
+        piece = F.substr(text, (base + 1).cast("int"), (stop - base).cast("int"))
+        return _bound(
+            F.struct(own.alias("own"), base.alias("base"), piece.alias("piece")),
+            lambda p: F.array_join(
+                F.transform(
+                    p["own"],
+                    lambda s: F.concat(
+                        F.substr(p["piece"], (s["reach"] - p["base"] + 1).cast("int"), (s["begin"] - s["reach"]).cast("int")),
+                        F.lit(mark),
+                    ),
+                ),
+                "",
+            ),
+        )
 
-    def piece(run: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(runs, i - 1)["end"], F.lit(0).cast("long"))
-        kept = F.substr(text, (before + 1).cast("int"), (run["begin"] - before).cast("int"))
-        return F.concat(kept, F.lit(mark))
+    def whole(runs: Column) -> Column:
+        cuts = F.sequence(F.lit(0), F.floor((F.size(runs) - 1) / _FEW).cast("int"))
+        return F.array_join(F.transform(cuts, lambda k: part_text(runs, k)), "")
 
-    done = F.concat(F.array_join(F.transform(runs, piece), ""), F.substr(text, (last + 1).cast("int")))
+    done = F.concat(_bound(runs, whole), F.substr(text, (F.array_max(ends) + 1).cast("int")))
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
