@@ -48,7 +48,7 @@ BANDS, ROWS = 14, 4
 PLACES = 1 << 18
 COMMON = 0.1
 #: Bucket fellows that make a shingle part of the profile.
-CROWD = 64
+CROWD = 12
 #: Sizes are joined by bins of this ratio.
 BIN = 1.04
 #: Shingles whose samples are drawn in one go.
@@ -285,8 +285,10 @@ def _classes(docs: DataFrame, least: float) -> DataFrame:
     stars = members.where("lead != digest").select(F.col("lead").alias("a"), F.col("digest").alias("b")).distinct()
     stars = materialize(stars, "neardup-stars")
     wanted = stars.select(F.col("a").alias("digest")).unionByName(stars.select(F.col("b").alias("digest"))).distinct()
-    # A sort-merge join whatever the sizes, so that small runs show what large ones cost.
-    texts = keyed.join(wanted.hint("merge"), "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
+    # One row stands for all copies of a text, so the join deals copies by their ids.
+    chosen = nodes.join(wanted, "digest").select(F.col("digest").alias("of"), "rep")
+    met = (F.col("digest") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    texts = keyed.join(chosen, met, "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
     texts = materialize(texts, "neardup-texts")
     checked = materialize(_verified(stars, texts, idf, profile=True), "neardup-checked")
     links = checked.where(F.col("sim") >= least).select("a", "b")
