@@ -46,7 +46,7 @@ CLASSES: dict[str, Noise] = {
             ("", " &nbsp;"),
             ("Fish &amp; chips. ", ""),
             ("", " &#8212; end"),
-            ("if a < b then ", ""),
+            ("Keep x < 7 in mind: ", ""),
             ("", " &#x2014; end"),
         ),
     ),
