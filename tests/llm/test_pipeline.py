@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert QUERIES.keys() | {"pipeline"} <= contract.queries().keys()
     assert ORACLES.keys() <= contract.oracle_sql().keys()
 

@@ -112,3 +112,10 @@ def test_index_has_all_postings(spark):
     got = {tuple(r) for r in secrets.postings(docs).collect()}
     grams = {g for r in secrets.RULES for term in secrets.trigram_query(r.pattern) for g in term}
     assert got == {(g, i) for i, t in enumerate(CASES) for g in grams if t and g in t.replace("K", "k").lower()}
+
+
+def test_redaction_of_many_secrets_in_one_text(spark):
+    n = 3000
+    text = "é ".join(f"token={i:08d}abcdef" for i in range(n)) + " end"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert secrets.redacted_documents(docs).first().text == "é ".join(["[SECRET]"] * n) + " end"
