@@ -185,3 +185,15 @@ def run_documents(rows: DataFrame) -> DataFrame:
     )
     document = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',\n "history": ['), history, F.lit("]}\n"))
     return rows.select("run_id", document.alias("document"))
+
+
+def rule_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per document: its first two neighbouring words of enough ASCII letters, with
+    up to three other signs between them."""
+    rows = table(spark, sf_dir, "documents")
+    first, second = (F.regexp_extract("text", "([A-Za-z]{2,}) ([A-Za-z]{4,})", group) for group in (1, 2))
+    return rows.where(first != "").select(
+        F.col("doc_id").alias("place"),
+        F.concat(first, F.lit("[^a-z]{1,3}"), second).alias("pattern"),
+        F.coalesce("lang", F.lit("und")).alias("category"),
+    )

@@ -595,6 +595,13 @@ SELECT conv_id, turn, coalesce(ic, '') AS input_category, coalesce(oc, '') AS ou
     "n06_long_lines": noise_sql("long"),
     "n07_boilerplate": noise_sql("boilerplate"),
     "n08_noisy_corpus": f"SELECT *, sha256('42:' || doc_id) AS order_key FROM ({NOISY})",
+    "u02_rule_book": f"""WITH {EXCHANGES}, parts AS (
+  SELECT doc_id, coalesce(lang, 'und') AS category, regexp_extract(text, '([A-Za-z]{{2,}}) ([A-Za-z]{{4,}})', 1) AS a,
+    regexp_extract(text, '([A-Za-z]{{2,}}) ([A-Za-z]{{4,}})', 2) AS b FROM documents),
+book AS (SELECT doc_id, category, '(?i)' || a || '[^a-z]{{1,3}}' || b AS pattern FROM parts WHERE a <> ''),
+hits AS (SELECT conv_id, turn, doc_id, category FROM exchanges, book WHERE regexp_matches(prompt, pattern))
+SELECT conv_id, turn, count(doc_id) AS n_rules, coalesce(min(doc_id), -1) AS rule, coalesce(min_by(category, doc_id), '') AS category
+FROM exchanges LEFT JOIN hits USING (conv_id, turn) GROUP BY conv_id, turn""",
     "u02_rule_hits": f"WITH {NORMED} "
     + " UNION ALL ".join(f"SELECT {q(n)} AS rule, count(*) FILTER ({hit}) AS n_rows FROM normed" for n, hit in _RULE_HITS.items()),
 }

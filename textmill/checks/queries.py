@@ -11,7 +11,7 @@ from textmill import rules
 from textmill.checks import inputs
 from textmill.functions import guards, quality, text, tokens
 from textmill.functions.porter import stem_tokens
-from textmill.operators import cleaning, dedup, fingerprint, hashtree, limiter, ngram, noise, overlap, requests, runlog, split
+from textmill.operators import cleaning, dedup, fingerprint, hashtree, limiter, ngram, noise, overlap, requests, rulebook, runlog, split
 from textmill.plans.cleaning import clean_corpus
 from textmill.plans.evaluation import evaluate
 from textmill.session import materialize, scratch_path
@@ -656,5 +656,20 @@ def u02_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+@query
+def u02_rule_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts against a table of rules, one made of each document."""
+    prompts = inputs.guarded_exchanges(spark, sf_dir).select("conv_id", "turn", "prompt")
+    found = rulebook.match_rules(prompts, "prompt", inputs.rule_book(spark, sf_dir))
+    first = F.get("hits", F.lit(0))
+    return found.select(
+        "conv_id",
+        "turn",
+        F.size("hits").cast("bigint").alias("n_rules"),
+        F.coalesce(first["place"], F.lit(-1)).alias("rule"),
+        F.coalesce(first["category"], F.lit("")).alias("category"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return dict(sorted(QUERIES.items()))

@@ -53,10 +53,14 @@ def _input_struct(category: Column, prompt: Column) -> Column:
 
 
 def check_input(
-    prompt: Column, safe_mode: Column | None = None, guards: tuple[tuple[str, str], ...] = rules.GUARD_PATTERNS
+    prompt: Column,
+    safe_mode: Column | None = None,
+    guards: tuple[tuple[str, str], ...] = rules.GUARD_PATTERNS,
+    matched: Column | None = None,
 ) -> Column:
-    """Too short, too long, guard patterns (in safe mode only), else allowed."""
-    patterns = matched_category(prompt, guards)
+    """Too short, too long, guard patterns (in safe mode only), else allowed. ``matched``
+    is the category of the guard pattern found, if that is known already."""
+    patterns = matched_category(prompt, guards) if matched is None else matched
     if safe_mode is not None:
         patterns = F.when(safe_mode, patterns)
     category = (

@@ -13,6 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from textmill.functions.porter import stem
 from textmill.functions.quality import eval_eligible
+from textmill.functions.subsequence import lcs
 from textmill.functions.text import continuation_part, once, prompt_part
 
 
@@ -53,21 +54,6 @@ def mean_token_f1(scores: DataFrame) -> DataFrame:
     return scores.agg(F.coalesce(F.round(F.avg("token_f1"), 4), F.lit(0.0)).alias("token_f1"))
 
 
-def lcs(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, by a bit-parallel row update
-    (Crochemore et al., 2001): one big integer is a whole row of the table, so a pair
-    costs len(a) integer operations."""
-    places: dict[str, int] = {}
-    for j, token in enumerate(b):
-        places[token] = places.get(token, 0) | (1 << j)
-    full = (1 << len(b)) - 1
-    row = full
-    for token in a:
-        hit = row & places.get(token, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(b) - row.bit_count()
-
-
 _ASCII_WORD = re.compile("[a-z0-9]+")
 
 
