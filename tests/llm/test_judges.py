@@ -158,3 +158,49 @@ def test_most_weights_are_zero():
     weights = model.weights(slice(None))
     assert (weights[:, 2000:-1] == 0).all() and weights[0, 0] > 0 > weights[1, 0]
     assert langid.temperature(np.array([[9.0, 0], [0, 9.0], [9.0, 0]]), np.array([0, 1, 1])) > 1
+
+
+def test_rare_language_is_learned(spark):
+    rng = random.Random(9)
+    word = lambda signs: "".join(rng.choices(signs, k=rng.randint(2, 7)))
+    text = lambda signs: " ".join(word(signs) for _ in range(15))
+    rows = [(i, text("etaoinshr"), "en") for i in range(6000)]
+    rows += [(10_000 + i, text("абвгдежзик"), "ru") for i in range(12)] + [(7, text("etaoinshr"), "en")] * 3000
+    rows += [(20_000, text("абвгдежзик"), None), (None, text("абвгдежзик"), "ru")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    sample = langid.sampled(docs.where("lang is not null")).toPandas()
+    assert sample.doc_id.is_unique and (sample.lang == "ru").sum() == 12
+    assert langid.FIT_ROWS <= len(sample) <= langid.FIT_ROWS + 2 * langid.LANG_ROWS
+    named = {(r.doc_id, r.lang_pred) for r in langid.identify(docs).collect() if r.doc_id is None or r.doc_id >= 10_000}
+    assert {lang for _, lang in named} == {"ru"} and len(named) == 14
+
+
+def test_proximal_update_equals_a_plain_one():
+    rng = random.Random(4)
+    model = langid.FollowTheLeader(3)
+    z, n = ([{} for _ in range(3)] for _ in range(2))
+
+    def weight(c, i):
+        value = z[c].get(i, 0.0)
+        if abs(value) <= langid.L1:
+            return 0.0
+        rate = (langid.BETA + n[c].get(i, 0.0) ** 0.5) / langid.ALPHA + langid.L2
+        return -(value - langid.L1 * (1 if value > 0 else -1)) / rate
+
+    for _ in range(200):
+        at = sorted(rng.sample(range(40), 6))
+        values, label = [rng.random() for _ in at], rng.randrange(3)
+        model.learn(np.array(at), np.array(values), label)
+        row = [*zip(at, values, strict=True), (langid.FEATURES, 1.0)]
+        logits = [sum(weight(c, i) * v for i, v in row) for c in range(3)]
+        total = sum(np.exp(x) for x in logits)
+        for c in range(3):
+            error = np.exp(logits[c]) / total - (c == label)
+            for i, v in row:
+                slope, before = error * v, n[c].get(i, 0.0)
+                change = ((before + slope**2) ** 0.5 - before**0.5) / langid.ALPHA
+                z[c][i] = z[c].get(i, 0.0) + slope - change * weight(c, i)
+                n[c][i] = before + slope**2
+    for c in range(3):
+        want = [weight(c, i) for i in [*range(40), langid.FEATURES]]
+        assert np.allclose(model.weights([*range(40), langid.FEATURES])[c], want, atol=1e-9)

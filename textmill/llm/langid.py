@@ -5,16 +5,19 @@ made one sign) are hashed to ``FEATURES`` places. Features are log counts times
 document frequency, scaled to length one. Document frequencies are counted over all
 learning documents: each task adds up one vector, and vectors are summed by place. The
 model is fitted with the follow-the-regularised-leader rule (per-coordinate rates, L1 and
-L2 penalties, so most weights are exactly zero) on at most ``FIT_ROWS`` learning
-documents, the first by a hash of the id, which the driver holds as sparse vectors of
-bounded length. A part of them is kept out of the fit, and on it one temperature is chosen
-by which the scores are divided, so that they are probabilities.
+L2 penalties, so most weights are exactly zero) on a sample that the driver holds as sparse
+vectors of bounded length: of each language the first ``LANG_ROWS`` learning documents by a
+hash of the id, and the first ``FIT_ROWS`` of all, so every language of the learning rows is
+learned, however rare. An id counts once. A part of each language that has enough of them is
+kept out of the fit, and on it one temperature is chosen by which the scores are divided, so
+that they are probabilities.
 
 Prediction is row-local over whole texts; the model (``FEATURES`` weights a language) is
 sent to the workers.
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0; if nothing
-can be learned from, all are; repeated rows give equal rows; ties go to the first language
+can be learned from, all are; rows without an id are not learned from; of rows with one id
+the least text is; repeated rows give equal rows; ties go to the first language
 by name; columns other than those named are ignored; an empty table gives an empty result.
 """
 
@@ -25,16 +28,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.common import fold_remainder, text_rows
+from textmill.session import materialize
 
 FOLDS, HELD_OUT = 4, 2
 FEATURES = 1 << 15
 FIT_ROWS = 3072
-#: One row in so many of the sample is kept for the temperature.
+#: Rows of each language that are in the sample, if there are as many.
+LANG_ROWS = 256
+#: One row in so many of a language's sample is kept for the temperature.
 CALIBRATION = 5
+#: Hashes are compared in so many steps; rows are thinned out to this multiple of the bound
+#: before they are ranked.
+_STEPS, _MARGIN = 1 << 31, 4
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 
@@ -118,16 +127,36 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return np.array([found.get(i, 0) for i in range(FEATURES)]), found.get(FEATURES, 0)
 
 
+def sampled(learning: DataFrame) -> DataFrame:
+    """``(text, lang, mark, doc_id)``: the rows to fit on, one per id. Rows are thinned out
+    by their hashes first, so what is ranked is bounded. What is broadcast has a row per
+    language, or per row of the sample; the model has far more numbers for each."""
+    mark = F.xxhash64("doc_id", F.lit("lang"))
+    marked = learning.where("doc_id is not null").select("doc_id", "lang", mark.alias("mark"))
+    ids = marked.groupBy("lang").agg(F.greatest(F.approx_count_distinct("doc_id"), F.lit(1)).alias("ids"))
+    all_ids = F.sum("ids").over(Window.partitionBy(F.lit(0)))
+    kept = F.greatest(F.lit(float(LANG_ROWS)) / F.col("ids"), F.lit(float(FIT_ROWS)) / all_ids)
+    shares = ids.select("lang", F.least(F.lit(1.0), kept * _MARGIN).alias("share"))
+    step = F.pmod(F.shiftright("mark", 8), F.lit(_STEPS))
+    low = step < F.col("share") * _STEPS
+    thin = materialize(marked.join(F.broadcast(shares), "lang").where(low).dropDuplicates(["doc_id"]).drop("share"), "langid-thin")
+    order = [step, F.col("mark"), F.col("doc_id")]
+    of_lang = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    of_all = F.row_number().over(Window.orderBy(*order))
+    chosen = thin.select("doc_id", "mark", of_lang.alias("of_lang"), of_all.alias("of_all"))
+    chosen = chosen.where((F.col("of_lang") <= LANG_ROWS) | (F.col("of_all") <= FIT_ROWS)).select("doc_id", "mark")
+    rows = learning.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "mark").agg(F.min(F.struct("text", "lang")).alias("one"))
+    return one.select("one.text", "one.lang", "mark", "doc_id")
+
+
 def fit(learning: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float] | None:
     """Languages, idf, weights and temperature from ``(doc_id, text, lang)``."""
     df, n = document_frequencies(learning)
     if not n:
         return None
     idf = np.log((1 + n) / (1 + df)) + 1
-    mark = F.xxhash64("doc_id", F.lit("lang"))
-    order = [F.col("mark"), F.col("doc_id"), F.col("lang")]
-    chosen = learning.select("doc_id", "lang", mark.alias("mark")).orderBy(*order).limit(FIT_ROWS)
-    sample = learning.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "lang", "mark", "doc_id")
+    sample = sampled(learning)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,13 +174,17 @@ def fit(learning: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float]
     rows = sample.mapInArrow(
         vectors, f"places array<smallint>, vals array<float>, lang string, mark bigint, doc_id {kind}"
     ).toPandas()
-    rows = rows.sort_values(["mark", "doc_id", "lang"], kind="stable").head(FIT_ROWS)
+    if rows.empty:
+        return None
+    rows = rows.sort_values(["mark", "doc_id"], kind="stable")
     langs = sorted(set(rows["lang"]))
     label = rows["lang"].map({name: i for i, name in enumerate(langs)}).to_numpy()
     data = [(np.asarray(p, np.int64), np.asarray(v, float)) for p, v in zip(rows["places"], rows["vals"], strict=True)]
     model = FollowTheLeader(len(langs))
-    fitted = [i for i in range(len(data)) if i % CALIBRATION or len(data) < 2 * CALIBRATION]
-    kept_out = sorted(set(range(len(data))) - set(fitted))
+    nth = rows.groupby("lang").cumcount().to_numpy()
+    sizes = np.bincount(label)[label]
+    out = (nth % CALIBRATION == 0) & (sizes >= 2 * CALIBRATION)
+    fitted, kept_out = np.flatnonzero(~out), np.flatnonzero(out)
     for _ in range(EPOCHS):
         for i in fitted:
             model.learn(*data[i], label[i])
