@@ -94,6 +94,13 @@ def test_grammar():
         "I will not hurt you. They hurt.": {},
         "You left. The lout stayed.": {"plain": 0.5},
         "unlouted clouts": {},
+        "C'est l'lout, d'louts": {"plain": 1.0},
+        "You’re a lout’s friend": {"aimed": 0.5},
+        "I will not\nhurt you.": {},
+        "I will not\n\nhurt you.": {"menace": 1.0},
+        "You left\nThe lout stayed": {"plain": 0.5},
+        "You are one,\r\n lout": {"aimed": 0.5},
+        "He isn’t a lout": {"negated": 0.5},
         "": {},
     }
     for text, want in cases.items():

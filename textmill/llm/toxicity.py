@@ -12,8 +12,9 @@ Learned from labelled rows (never from held-out ones): the insult stems, which a
 shortest word beginnings found almost only in toxic texts, with their log odds as
 weights, and the weight of each kind of clause, by logistic regression that starts from
 ``PRIOR``. The fit uses at most ``FIT_ROWS`` labelled rows of either class, the first by
-a hash of the id; at most ``STEMS`` stems are kept, the most frequent ones. Both bound
-what the driver holds. Scoring reads each whole text once, row-locally. Texts in which an
+a hash of the id, which bounds what the driver holds: a stem is in a share of the toxic ones.
+Scoring reads each whole text once, row-locally. Elided words count by their parts
+("l'imbécile"); a line break inside a sentence, before a small letter, ends no clause. Texts in which an
 automaton of all stems finds none are not walked; of those without quotation signs, where
 nothing passes from clause to clause, only the clauses with a stem are.
 
@@ -33,6 +34,7 @@ from itertools import product
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,6 @@ from textmill.session import materialize
 
 FOLDS = 5
 FIT_ROWS = 4096
-STEMS = 512
 #: Lengths of word beginnings that can be stems.
 SHORTEST, LONGEST = 3, 12
 #: Of the texts with a stem, at least this share is toxic; and it is in at least so many
@@ -79,6 +80,8 @@ PRIOR = (-3.0, 5.0, 6.0, 1.0, 1.0, 5.0)
 NEGATION_REACH, BEFORE, AFTER = 3, 4, 3
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[\"“”«»„]|[.!?;\n]+")
+#: A line break inside a sentence.
+_WRAPPED = regex.compile(r"(?<=[\p{L}\p{N},])[ \t]*\r?\n[ \t]*(?=\p{Ll})")
 _ENDS = ".!?;\n"
 _QUOTES = "\"“”«»„"
 
@@ -187,8 +190,20 @@ class Scorer:
             weight = self.stems.get(word[:n])
             if weight is not None and len(word) >= n:
                 return INSULT, weight
+        if "'" in word or "’" in word:
+            parts = word.replace("’", "'").split("'")
+            joined = "'".join(parts)
+            known = self.symbol(joined) if joined != word else (OTHER, 0.0)
+            return known if known[0] != OTHER else self._elided(parts)
         return OTHER, 0.0
 
+    def _elided(self, parts: list[str]) -> tuple[int, float]:
+        """The symbol of an elided word: of its insult or threat, else of the first part
+        that has one."""
+        read = [self.symbol(part) for part in parts]
+        strong = [r for r in read if r[0] in (INSULT, THREAT)]
+        return next(iter(strong or [r for r in read if r[0] != OTHER]), (OTHER, 0.0))
+
     def _walk(self, low: str, start: int, stop: int, sums: list[float], closing: int = -1) -> None:
         """Adds the clauses between two places; ``closing`` is the place of the last
         quotation sign, behind which no state passes on."""
@@ -204,7 +219,7 @@ class Scorer:
 
     def evidence(self, text: str) -> list[float]:
         """Summed weights of the matched clauses, by kind."""
-        low = text.lower()
+        low = (_WRAPPED.sub(" ", text) if "\n" in text else text).lower()
         sums, done = [0.0] * len(KINDS), -1
         closing = max(low.rfind(c) for c in _QUOTES)
         for last, n in self.finder.iter(low):
@@ -252,8 +267,6 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
         .where(F.col("toxic") >= max(SUPPORT, SUPPORT_SHARE * n_toxic))
         # Shares, so that the sample's balance does not matter.
         .where(F.col("toxic") / n_toxic >= PRECISION * (F.col("toxic") / n_toxic + F.col("clean") / n_clean))
-        .orderBy(F.desc("toxic"), F.length("stem"), "stem")
-        .limit(STEMS * LONGEST)
         .collect()
     )
     kept: dict[str, float] = {}
@@ -262,8 +275,7 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
             continue
         odds = np.log((row.toxic + 0.5) / (n_toxic + 1)) - np.log((row.clean + 0.5) / (n_clean + 1))
         kept[row.stem] = float(min(odds, FULL_WEIGHT) / FULL_WEIGHT)
-    support = {r.stem: r.toxic for r in found}
-    return dict(sorted(kept.items(), key=lambda x: (-support[x[0]], x[0]))[:STEMS])
+    return kept
 
 
 def fit_weights(features: np.ndarray, toxic: np.ndarray, share: float, prior: Sequence[float] = PRIOR) -> np.ndarray:
