@@ -5,6 +5,8 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from textmill.llm import winnow
 
 
@@ -62,6 +64,7 @@ def test_report(spark):
         row = got[doc_id]
         assert (row.n_chars, row.edited_sha256) == (len(text), hashlib.sha256(new.encode()).hexdigest())
         assert row.fingerprint == winnow.written(winnow.winnow(text)[0])
+        assert row.positions_sha256 == winnow.places_digest(winnow.winnow(text)[1])
         assert row.edited_fingerprint == winnow.written(winnow.winnow(new)[0])
         sets = [set(winnow.winnow(t)[0].tolist()) for t in (text, new, following)]
         for value, other in ((row.near_edited, sets[1]), (row.near_next, sets[2])):
@@ -69,13 +72,40 @@ def test_report(spark):
             assert abs(value - (len(sets[0] & other) / len(both) if both else 1.0)) < 1e-12
 
 
+def _mark(spark, text):
+    return spark.range(1).select(F.shiftrightunsigned(F.xxhash64(F.lit(text)), 33)).first()[0], text
+
+
+def test_hot_ids_are_dealt_into_ranges(spark, request):
+    """A third of all rows without an id, a third with one: several ranges, one chain."""
+    rows = [(None, f"null {i % 150}") for i in range(300)] + [(7, f"seven {i}") for i in range(300)]
+    rows += [(i, f"own {i}") for i in range(-100, 200) if i != 7]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.shuffle.partitions", before))
+    sizes = winnow.followed(docs).where("not last").groupBy("part", "doc_id").count().collect()
+    assert len([r for r in sizes if r.doc_id == 7]) > 1 and max(r["count"] for r in sizes) < 200
+    marks = {r.text: r.m for r in docs.select("text", F.shiftrightunsigned(F.xxhash64("text"), 33).alias("m")).collect()}
+    order = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, marks[r[1]], r[1]))]
+    want = sorted(hashlib.sha256(winnow.edited(a, b).encode()).hexdigest() for a, b in zip(order, order[1:] + order[:1]))
+    assert sorted(r.edited_sha256 for r in winnow.fingerprint_report(docs).collect()) == want
+
+
+def test_written_is_the_whole_hash():
+    hashes = winnow.winnow("some text that is long enough to have a few hashes " * 9)[0]
+    assert winnow.written(hashes) == "".join(f"{h:011x}" for h in hashes.tolist())
+    assert winnow.written(hashes[:0]) == ""
+
+
 def test_one_row_and_repeated_and_null_ids(spark):
     shape = "doc_id bigint, text string"
     one = winnow.fingerprint_report(spark.createDataFrame([(5, "abcd")], shape)).collect()
     assert [(r.doc_id, r.edited_sha256) for r in one] == [(5, hashlib.sha256(b"abab").hexdigest())]
     rows = [(None, "first"), (3, "bbbb"), (3, "aaaa"), (4, "dddd"), (4, "dddd")]
     got = winnow.fingerprint_report(spark.createDataFrame(rows, shape)).collect()
-    texts = ["first", "aaaa", "bbbb", "dddd", "dddd"]
+    order = sorted(["aaaa", "bbbb"], key=lambda t: _mark(spark, t))
+    texts = ["first", *order, "dddd", "dddd"]
     want = sorted(hashlib.sha256(winnow.edited(a, b).encode()).hexdigest() for a, b in zip(texts, texts[1:] + texts[:1]))
     assert sorted(r.edited_sha256 for r in got) == want
     assert winnow.fingerprint_report(spark.createDataFrame([], shape)).count() == 0

@@ -7,12 +7,14 @@ their positions are the fingerprint. Two texts that share ``w + k - 1`` code poi
 row share a chosen hash there, at the matching place; matches under ``k`` are not seen.
 
 Documents follow each other by id. Ids are dealt into ranges by quantiles (one id per
-range goes to the driver), texts are shuffled once, and every range gets a copy of the
-text that follows its last one, so neighbours meet in one pass over sorted rows.
+range goes to the driver), an id with many rows into several; texts are shuffled once, and
+every range gets a copy of the text that follows its last one, so neighbours meet in one
+pass over sorted rows.
 
 Defined cases: a null text is empty; a text of fewer than ``k`` code points is hashed as
 a whole, an empty one has no hash; two empty fingerprints are alike (1), an empty and
-another are not (0); rows of equal id follow each other by text, null ids come first;
+another are not (0); rows of equal id follow each other by a hash of the text, then by text;
+null ids come first; ids are whole numbers;
 a table of one row is its own next; columns other than ``doc_id`` and ``text`` are
 ignored; an empty table gives an empty result.
 """
@@ -20,7 +22,9 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -89,8 +93,14 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def written(hashes: np.ndarray) -> str:
-    """Chosen hashes in order, eight hexadecimal digits each."""
-    return (hashes >> np.uint64(12)).astype(">u4").tobytes().hex()
+    """Chosen hashes in order, eleven hexadecimal digits (all 44 bits) each."""
+    digits = np.frombuffer((hashes << np.uint64(20)).astype(">u8").tobytes().hex().encode(), "S1").reshape(-1, 16)
+    return digits[:, :11].tobytes().decode()
+
+
+def places_digest(at: np.ndarray) -> str:
+    """SHA-256 of the positions as little-endian unsigned 64-bit integers."""
+    return hashlib.sha256(at.astype("<u8").tobytes()).hexdigest()
 
 
 def fingerprints(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
@@ -109,44 +119,60 @@ def fingerprints(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
 
 
 def followed(docs: DataFrame) -> DataFrame:
-    """``(part, last, doc_id, text)``: each range of ids sorted by ``last``, id and text,
-    closed by one row with ``last`` true, the text after the range's own."""
+    """``(part, last, doc_id, text)``: each range sorted by ``last``, id, hash of the text and
+    text, closed by one row with ``last`` true, the text after the range's own. An id that
+    holds more rows than a range is dealt into ranges of text hashes."""
     rows = text_rows(docs)
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = [i / parts for i in range(1, parts)]
-    bounds = rows.select(F.percentile_approx("doc_id", cuts, 100 * parts).alias("b")).first().b if cuts else None
-    bounds = sorted(set(bounds or []))
-    # How many bounds are not above the id: its range.
-    part = F.lit(0)
-    if bounds:
-        # The first larger bound is found by halving, as a tree of conditions.
-        def tree(low: int, high: int):
-            if low == high:
-                return F.lit(low)
-            mid = (low + high) // 2
-            return F.when(F.col("doc_id") <= bounds[mid], tree(low, mid)).otherwise(tree(mid + 1, high))
-
-        part = F.coalesce(F.when(F.col("doc_id").isNull(), 0).otherwise(tree(0, len(bounds))), F.lit(0))
-    rows = rows.select(part.alias("part"), F.lit(False).alias("last"), "doc_id", "text")
-    # Of each range the first id, and from these ids the first text; then each range gets
-    # the first row of the next range that has rows, the last one that of the first.
-    firsts = rows.groupBy("part").agg(F.min_by("doc_id", F.coalesce("doc_id", F.lit(-(2**63)))).alias("first_id"))
+    id_type = rows.schema["doc_id"].dataType
+    # Null ids come first; the place before all others is theirs.
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    keyed = rows.select(key.alias("key"), F.shiftrightunsigned(F.xxhash64("text"), 33).alias("mark"), "doc_id", "text")
+    found = keyed.select(F.percentile_approx("key", cuts, 100 * parts).alias("b")).first().b if cuts else None
+    # A bound met several times is an id of about so many ranges.
+    bounds = sorted(Counter(found or []).items())
+    first_part = list(accumulate([n for _, n in bounds], initial=0))
+
+    def tree(low: int, high: int):
+        """Part of a row, its first bound that is not below the id found by halving."""
+        if low == high:
+            if low == len(bounds):
+                return F.lit(first_part[low])
+            bound, n = bounds[low]
+            if n == 1:
+                return F.lit(first_part[low])
+            own = first_part[low] + F.floor(F.col("mark") * n / F.lit(1 << 31))
+            return F.when(F.col("key") == bound, own).otherwise(F.lit(first_part[low]))
+        mid = (low + high) // 2
+        return F.when(F.col("key") <= bounds[mid][0], tree(low, mid)).otherwise(tree(mid + 1, high))
+
+    rows = keyed.select(tree(0, len(bounds)).cast("int").alias("part"), F.lit(False).alias("last"), "key", "mark", "doc_id", "text")
+    # Of each range the first id and hash, and the least text that has them; then each range
+    # gets the first row of the next range that has rows, the last one that of the first.
+    firsts = rows.groupBy("part").agg(F.min(F.struct("key", "mark")).alias("least"))
     order = Window.orderBy("part")
     follows = firsts.select(
-        F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy(F.lit(0)))).alias("part"), "first_id"
+        F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy(F.lit(0)))).alias("part"),
+        F.col("least.key").alias("key"),
+        F.col("least.mark").alias("mark"),
     )
     closing = (
         rows.drop("part")
-        .join(F.broadcast(follows), F.col("doc_id").eqNullSafe(F.col("first_id")))
+        .join(F.broadcast(follows), ["key", "mark"])
         .groupBy("part")
         .agg(F.min("text").alias("text"))
-        .select("part", F.lit(True).alias("last"), F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id"), "text")
-    )
+        .select(
+            "part", F.lit(True).alias("last"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("mark"),
+            F.lit(None).cast(id_type).alias("doc_id"), "text",
+        )
+    )
     return (
         rows.unionByName(closing)
-        .repartitionById(len(bounds) + 1, F.col("part"))
-        .sortWithinPartitions("part", "last", F.col("doc_id").asc_nulls_first(), "text")
+        .repartitionById(first_part[-1] + 1, F.col("part"))
+        .sortWithinPartitions("part", "last", "key", "mark", "text")
+        .select("part", "last", "doc_id", "text")
     )
 
 
@@ -158,19 +184,20 @@ def edited(text: str, following: str) -> str:
 
 def fingerprint_report(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
     """One row per document: fingerprints of the text and of its edited text, and how
-    alike the text's is to that and to the next document's."""
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    alike the text's is to that and to the next document's. Positions are kept as a digest;
+    ``fingerprints`` has them."""
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "positions_sha256", "edited_fingerprint", "near_edited", "near_next"]
+    kinds = [pa.int64(), *[pa.string()] * 4, pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the row that waits for its next text: id, text, hashes, sorted hashes
+        held = None  # the row that waits for its next text: id, text, hashes, places, sorted hashes
         for batch in batches:
             ids, out = [], []
             for last, doc_id, text in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
-                hashes = winnow(text, k, w)[0]
+                hashes, at = winnow(text, k, w)
                 distinct = np.unique(hashes)
                 if held:
-                    own_id, own, own_hashes, own_distinct = held
+                    own_id, own, own_hashes, own_at, own_distinct = held
                     new = edited(own, text)
                     new_hashes = winnow(new, k, w)[0]
                     ids.append(own_id)
@@ -179,12 +206,13 @@ def fingerprint_report(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataF
                             len(own),
                             hashlib.sha256(new.encode()).hexdigest(),
                             written(own_hashes),
+                            places_digest(own_at),
                             written(new_hashes),
                             likeness(own_distinct, np.unique(new_hashes)),
                             likeness(own_distinct, distinct),
                         )
                     )
-                held = None if last else (doc_id, text, hashes, distinct)
+                held = None if last else (doc_id, text, hashes, at, distinct)
             columns = list(zip(*out, strict=True)) if out else [[] for _ in kinds]
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(2).type), *arrays], names)
@@ -193,6 +221,6 @@ def fingerprint_report(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataF
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run,
-        f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, positions_sha256 string, edited_fingerprint string, "
         "near_edited double, near_next double",
     )
