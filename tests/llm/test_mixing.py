@@ -117,3 +117,20 @@ def test_nothing_to_mix(spark, rows):
 def test_no_python_in_the_plan(spark):
     plan = mixing.mix_report(_docs(spark, _rows(4, 20)).withColumn("text", F.col("text")))
     assert "Python" not in plan._jdf.queryExecution().toString().replace("PythonRDD", "")
+
+
+def test_bisection_meets_the_targets_too(spark, monkeypatch):
+    rows = _rows(seed=8)
+    want = {r.source: r.lam for r in _multipliers(spark, rows)}
+    monkeypatch.setattr(mixing, "NEWTON_ROUNDS", 2)
+    for row in _multipliers(spark, rows):
+        assert row.off <= mixing.TOLERANCE
+        assert math.isclose(row.lam, want[row.source], rel_tol=1e-3, abs_tol=1e-4)
+
+
+def _multipliers(spark, rows):
+    cells = mixing.document_sizes(_docs(spark, rows)).groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    sources = mixing.source_targets(cells)
+    place = sources.select(F.col("source").alias("of"), "place")
+    cells = cells.join(place, F.col("source").eqNullSafe(F.col("of"))).select("place", "size", "n").cache()
+    return mixing.multipliers(cells, sources).collect()

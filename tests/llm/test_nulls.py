@@ -62,6 +62,17 @@ def test_other_columns_may_have_any_names(docs, labels):
     assert all(r.n_chars == len(r.text or "") and TOKEN not in (r.text or "") for r in rows)
 
 
+def test_stages_that_join_take_any_names(docs):
+    names = ["__id", "__key", "__n", "__m", "__of", "__with", "__copies", "__copy", "__digest", "digest", "of", "id", "key", "n", "copies", "copy", "c0", "c1", "a.b"]
+    wide = docs.select("kind", *[F.lit(i).alias(n) for i, n in enumerate(names)], "text", "source", "doc_id")
+    for result in (neardup.deduplicated(wide), mixing.mixed_documents(wide)):
+        rows = result.collect()
+        assert result.columns == wide.columns and rows
+        assert all(list(r)[1 : 1 + len(names)] == list(range(len(names))) for r in rows)
+    for result in (neardup.deduplicated, mixing.mixed_documents):
+        assert result(wide.limit(0)).count() == 0
+
+
 def test_rows_without_ids_are_treated_alike(docs):
     spans = {r.spans for r in secrets.secret_report(docs).where("doc_id is null").collect()}
     assert spans == {"", "assign:29:47"}

@@ -7,9 +7,11 @@ weight. That division has a closed form over the sources sorted by cap per weigh
 Rates: of all document rates between 0 and ``cap`` that meet the targets, those closest
 to 1 in relative entropy are exponentially tilted: ``min(cap, exp(lambda * size / mean))``
 with one ``lambda`` per source. Newton's method solves the convex dual for all sources at
-once. Each round is one aggregation with map-side combine over a table of (source, size,
-documents), which is stored once; the multipliers are stored after each round, so a lost
-executor repeats one round at most.
+once; a step that leaves the bracket, and every step after ``NEWTON_ROUNDS``, halves it, so
+rounds end when the target is met or no multiplier lies inside the bracket. Each round is one
+aggregation with map-side combine over a table of (source, size, documents), which is stored
+once; the multipliers are stored after each round, so a lost executor repeats one round at
+most.
 
 Copies: rates are rounded over each source's sizes from large to small by cumulative
 sums, which leaves less than half the largest size; that rest is taken from, or given to,
@@ -27,6 +29,7 @@ of sources.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +41,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 #: Newton rounds end when every source is this close to its target, relatively.
 TOLERANCE = 1e-6
-MOST_ROUNDS = 60
+#: After these rounds brackets are halved.
+NEWTON_ROUNDS = 60
 #: Hashed parts in which documents of one source and size are ranked.
 PARTS = 256
 
@@ -104,7 +108,7 @@ def multipliers(cells: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFra
     )
     state = materialize(state, "mixing-state")
     columns = state.columns
-    for _ in range(MOST_ROUNDS):
+    for number in count():
         rate, words = _rate(cap), F.col("size") * F.col("n")
         slope = F.when(rate < cap * (1 - 1e-15), words * rate * F.col("size") / F.col("mean")).otherwise(0.0)
         sums = (
@@ -119,9 +123,11 @@ def multipliers(cells: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFra
         far = 2 * (1 + F.abs("lam"))
         step = F.when(F.col("slope") > 0, -over / F.col("slope")).otherwise(F.when(over > 0, -far).otherwise(far))
         aim = F.col("lam") + F.greatest(F.least(step, far), -far)
-        aim = F.when((aim > low) & (aim < high), aim).otherwise((low + high) / 2)
+        middle = (low + high) / 2
+        aim = F.when((aim > low) & (aim < high) & F.lit(number < NEWTON_ROUNDS), aim).otherwise(middle)
         off = F.abs(over) / F.greatest("target", F.lit(1e-9))
-        done = F.col("full") | (off <= TOLERANCE)
+        # Nothing lies between two neighbouring numbers.
+        done = F.col("full") | (off <= TOLERANCE) | (middle <= low) | (middle >= high)
         moved = state.join(sums, "place", "left").select(
             *[c for c in columns if c not in ("lam", "low", "high", "off")],
             F.when(done, F.col("lam")).otherwise(aim).alias("lam"),
@@ -203,17 +209,17 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = C
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mix itself: every row as often as it is taken, rows of size 0 once. Equal rows
     are numbered so that each meets its own share."""
-    key = F.xxhash64("doc_id", "source", "text")
-    numbered = Window.partitionBy("__id", "__key").orderBy(F.lit(0))
-    shares = mix(docs, weights, cap).select(
-        F.col("doc_id").alias("__id"),
-        F.col("key").alias("__key"),
-        F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int").alias("__copies"),
+    moved = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # by place, so columns may have any names
+    doc_id, source, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "source", "text"))
+    shares = mix(docs.select("doc_id", "source", "text"), weights, cap).select(
+        F.col("doc_id").alias("of"),
+        F.col("key").alias("of_key"),
+        F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int").alias("copies"),
     )
-    shares = shares.withColumn("__n", F.row_number().over(numbered))
-    rows = docs.withColumns({"__id": F.col("doc_id"), "__key": key})
-    rows = rows.withColumn("__n", F.row_number().over(numbered))
-    shares = shares.withColumnsRenamed({"__id": "__of", "__key": "__with", "__n": "__m"})
-    met = (F.col("__id").eqNullSafe(F.col("__of"))) & (F.col("__key") == F.col("__with")) & (F.col("__n") == F.col("__m"))
-    taken = rows.join(shares, met).where("__copies > 0")
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).drop("__copy")
+    shares = shares.withColumn("of_n", F.row_number().over(Window.partitionBy("of", "of_key").orderBy("copies")))
+    rows = moved.withColumns({"id": doc_id, "key": F.xxhash64(doc_id, source, text)})
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(0))))
+    met = F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")) & (F.col("n") == F.col("of_n"))
+    taken = rows.join(shares, met).where("copies > 0")
+    every = taken.select(*moved.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    return every.drop("copy").toDF(*docs.columns)

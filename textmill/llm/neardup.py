@@ -320,9 +320,12 @@ def deduplicated(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     stay = (
         _classes(docs, least)
         .where((F.col("digest") == F.col("class_digest")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
-        .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"))
+        .select(F.col("doc_id").alias("id"), F.col("digest").alias("of"))
         .distinct()
     )
-    rows = docs.withColumn("__digest", _digest(F.coalesce("text", F.lit(""))))
-    met = (F.col("__digest") == F.col("__of")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return rows.join(stay, met, "left_semi").dropDuplicates(["doc_id", "__digest"]).select(*docs.columns)
+    moved = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # by place, so columns may have any names
+    doc_id, text = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    rows = moved.withColumn("digest", _digest(F.coalesce(text, F.lit(""))))
+    met = (F.col("digest") == F.col("of")) & F.col(doc_id).eqNullSafe(F.col("id"))
+    kept = rows.join(stay, met, "left_semi").dropDuplicates([doc_id, "digest"])
+    return kept.select(*moved.columns).toDF(*docs.columns)
