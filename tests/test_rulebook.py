@@ -58,6 +58,44 @@ def test_book_equals_case(spark, texts):
     assert _hits(rulebook.match_rules(df, "text", rows.repartition(3))) == _plain(df, book)
 
 
+def test_spread_book_equals_case(spark, texts, monkeypatch):
+    monkeypatch.setattr(rulebook, "MOST_RULES", 3)  # nothing of the book is collected
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcdeksi\u00df", k=draw.randint(1, 6))) for _ in range(50)]
+    shapes = [
+        "{}[^a-z]{{1,3}}{}", "{} {}", "{}|{}", "{}.?{}", "({}|zz) {}", r"\b{}\b.*{}", "{}?{}", "(?:{})+ {}", r"{}\d*{}",
+        r"{}\.{}", "{}[]x-z ]{}", r"{}[ -]{{2}}?{}", r"{}\\{}", "{}{{0,2}}{}", r"{}\s{{1,}}{}", "^{}.{}$", "{}a{{2}}{}",
+    ]
+    # Every third pattern comes twice, under other places.
+    book = [(i, shapes[i % len(shapes)].format(*draw.choices(words, k=2)), f"c{i % 7}") for i in range(240)]
+    book += [(1000 + i, p, None) for i, p, _ in book[::3]]
+    gaps = [" ", "  ", ".", " - ", "", "aa", "1", "\\", "\U0001f600", "\u017f", "\u0131"]
+    said = ["".join(draw.choice(words) + draw.choice(gaps) for _ in range(draw.randint(0, 14))) for _ in range(150)]
+    said += [t.upper() for t in said[:30]] + [t.replace("s", "\u017f").replace("k", "\u212a").replace("i", "\u0130") for t in said[:30]]
+    said += [None, "", "ab " * 3000, said[0] * 40]
+    df = texts(said).withColumn("row", F.lit(1))
+    rows = spark.createDataFrame([*book, (500, None, "none")], "place bigint, pattern string, category string")
+    found = rulebook.match_rules(df, "text", rows.repartition(3), spread=True)
+    assert found.columns == ["doc_id", "text", "row", "hits"]
+    by_place = {place: (p, c) for place, p, c in book}
+    for number, hits in _plain(df, [(i, p, c or "") for i, p, c in book]).items():
+        want = {}
+        for place, _ in hits:
+            pattern, category = by_place[place]
+            want.setdefault(pattern, [place, category, 0])[2] += 1
+        said[number] = sorted(map(tuple, want.values()))
+    assert any(said) and _hits(found) == dict(enumerate(said))
+
+
+def test_keys_of_two_literals():
+    assert rulebook._pair("Secret[^a-z]{1,3}words") == ("ecret", "words", True, 1, 3)
+    assert rulebook._pair(r"ab\b.?\.\dcde") is None  # a single sign between
+    assert rulebook._pair(r"abc\s*def") is None
+    assert rulebook._pair("abc.{9}def") is None
+    assert rulebook._pair("abc?def") == ("ab", "def", False, 0, 1)
+    assert rulebook._pair("(abc) def") is None
+
+
 def test_thousand_rules(spark, texts):
     book = [(i, f"forbidden{i} (thing|matter) no", f"c{i % 3}") for i in range(1000)]
     rows = spark.createDataFrame(book, "place bigint, pattern string, category string")

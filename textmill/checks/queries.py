@@ -660,12 +660,12 @@ def u02_rule_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def u02_rule_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts against a table of rules, one made of each document."""
     prompts = inputs.guarded_exchanges(spark, sf_dir).select("conv_id", "turn", "prompt")
-    found = rulebook.match_rules(prompts, "prompt", inputs.rule_book(spark, sf_dir))
+    found = rulebook.match_rules(prompts, "prompt", inputs.rule_book(spark, sf_dir), spread=True)
     first = F.get("hits", F.lit(0))
     return found.select(
         "conv_id",
         "turn",
-        F.size("hits").cast("bigint").alias("n_rules"),
+        F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, hit: n + hit["n_rules"]).alias("n_rules"),
         F.coalesce(first["place"], F.lit(-1)).alias("rule"),
         F.coalesce(first["category"], F.lit("")).alias("category"),
     )
