@@ -106,6 +106,19 @@ def test_losses_equal_plain_counting(texts, order):
         assert (r.loss is None) if loss is None else abs(r.loss - loss) < 1e-9
 
 
+def test_tasks_hand_on_counts_they_cannot_hold(texts, monkeypatch):
+    monkeypatch.setattr(ngram, "MOST_HELD", 3)
+    train = ["a b a c a b", "", None, "B b\u2003c", "c a", "a b a c a b"]
+    by_text = ngram._tally(texts(train), 3, None, "doc_id").collect()
+    assert sum(r.times for r in by_text) == 17
+    assert [tuple(r[1:]) for r in by_text if r.doc_id == 3 and r.h1] == [("b", "b", "", 1), ("c", "b", "b b", 1)]
+    parts = ngram._tally(texts(train, 1), 2, None, None).collect()
+    counts = {}
+    for r in parts:
+        counts[r.h1, r.word] = counts.get((r.h1, r.word), 0) + r.times
+    assert counts["a", "b"] == 4 and counts["", "a"] == 2 and len(parts) > len(counts)
+
+
 def test_probabilities_add_up_to_one(spark, texts):
     train = texts(["a b a c a b", "b b c", "c a"])
     vocabulary = ["a", "b", "c", "unseen"]

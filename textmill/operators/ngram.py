@@ -16,44 +16,88 @@ looks its probability up once, and comes back to its places by one join on the w
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from textmill.functions.tokens import words
 from textmill.session import materialize
 
 ORDER = 2
 DISCOUNT = 0.75
-
-
-def _places(texts: DataFrame, order: int, max_length: int | None) -> DataFrame:
-    """One row per token: ``doc_id``, ``at``, ``word`` and ``h1`` .. the words before it, 1
-    to ``order - 1`` of them; empty where the text has not as many."""
-    tokens = words(F.coalesce("text", F.lit("")))
-    if max_length is not None:
-        tokens = F.slice(tokens, 1, max_length)
-    listed = texts.select("doc_id", tokens.alias("tokens")).select("doc_id", "tokens", F.posexplode("tokens").alias("at", "word"))
-
-    def before(k: int) -> Column:
-        said = F.array_join(F.slice("tokens", F.greatest(F.col("at") - k + 1, F.lit(1)), F.lit(k)), " ")
-        return F.when(F.col("at") >= k, said).otherwise("").alias(f"h{k}")
-
-    return listed.select("doc_id", "at", "word", *[before(k) for k in range(1, order)])
-
-
-def _counted(places: DataFrame, order: int) -> dict[int, DataFrame]:
+#: N-grams a task holds before it hands them on.
+MOST_HELD = 200_000
+
+
+def _tally(texts: DataFrame, order: int, max_length: int | None, key: str | None) -> DataFrame:
+    """``(word, h1 .., times)`` of the places of tokens: ``h1`` .. are the words before it, 1
+    to ``order - 1`` of them; empty where the text has not as many. With a ``key``, one row per
+    text and n-gram, next to the key; without, partial counts over many texts, each counted
+    once. A text is split once and its n-grams are counted where it is read."""
+    names = ["word", *[f"h{k}" for k in range(1, order)]]
+
+    def count(tokens: list[str], into: Counter) -> None:
+        before = [
+            chain([""] * min(k, len(tokens)), map(" ".join, zip(*[tokens[j:] for j in range(k)])))
+            for k in range(1, order)
+        ]
+        into.update(zip(tokens, *before))
+
+    def batch(keys: list, counted: list[Counter]) -> pa.RecordBatch:
+        grams = list(chain.from_iterable(counted))
+        columns = [pa.array(c, pa.string()) for c in (zip(*grams) if grams else [[] for _ in names])]
+        columns.append(pa.array(list(chain.from_iterable(c.values() for c in counted)), pa.int64()))
+        if key:
+            rows = np.repeat(np.arange(len(counted)), [len(c) for c in counted])
+            columns.insert(0, pa.array(keys, kind).take(pa.array(rows)))
+        return pa.RecordBatch.from_arrays(columns, [key] * bool(key) + [*names, "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counted, size = [], [Counter()] * (not key), 0
+        for part in batches:
+            for at in range(part.num_rows):
+                tokens = part.column(1)[at].as_py().split()[:max_length]
+                if key:
+                    keys.append(part.column(0)[at].as_py())
+                    counted.append(Counter())
+                count(tokens, counted[-1])
+                size = size + len(counted[-1]) if key else len(counted[0])
+                if size >= MOST_HELD:
+                    yield batch(keys, counted)
+                    keys, counted, size = [], [Counter()] * (not key), 0
+        yield batch(keys, counted)
+
+    # Python splits at the 29 code points of ``words``; lower case is Spark's.
+    rows = texts.select(key or F.lit(0).alias("none"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+    kind = to_arrow_type(rows.schema[0].dataType)
+    shape = StructType([*rows.schema.fields[: bool(key)], *[StructField(n, StringType()) for n in names], StructField("times", LongType())])
+    return rows.mapInArrow(run, shape)
+
+
+def _counted(train: DataFrame, order: int) -> dict[int, DataFrame]:
     """Per order, ``(h, word, n)`` of the n-grams, without ``h`` for single words."""
-    counts = {1: materialize(places.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "ngrams-1")}
+    contexts = [f"h{k}" for k in range(1, order)]
+    whole = _tally(train, order, None, None).groupBy("word", *contexts).agg(F.sum("times").alias("n"))
+    whole = materialize(whole, "ngrams")
+    counts = {1: materialize(whole.groupBy("word").agg(F.sum("n").alias("n")), "ngrams-1")}
     for k in range(1, order):
-        grams = places.where(F.col(f"h{k}") != "").groupBy(F.col(f"h{k}").alias("h"), "word")
-        counts[k + 1] = materialize(grams.agg(F.count(F.lit(1)).alias("n")), f"ngrams-{k + 1}")
+        grams = whole.where(F.col(f"h{k}") != "").select(F.col(f"h{k}").alias("h"), "word", "n")
+        # The longest n-grams are told apart already.
+        counts[k + 1] = grams if k == order - 1 else materialize(grams.groupBy("h", "word").agg(F.sum("n").alias("n")), f"ngrams-{k + 1}")
     return counts
 
 
 def probabilities(grams: DataFrame, train: DataFrame, order: int = ORDER) -> DataFrame:
     """``grams`` (``word``, ``h1`` ..) with ``p``, under the model of ``(doc_id, text)``
     rows. A training table without a word gives every word probability 1."""
-    counts = _counted(_places(train, order, None), order)
+    counts = _counted(train, order)
     size = counts[1].agg((F.coalesce(F.sum("n"), F.lit(0)) + F.count(F.lit(1)) + 1).alias("size")).scalar()
     told = grams.join(counts[1], "word", "left")
     told = told.withColumn("p", (F.coalesce("n", F.lit(0)) + 1) / size).drop("n")
@@ -73,11 +117,16 @@ def token_losses(texts: DataFrame, train: DataFrame, order: int = ORDER, max_len
     tokens from the second on, given those before; null for fewer than two tokens. Texts are
     cut to ``max_length`` tokens, if given. ``doc_id`` is not repeated."""
     gram = ["word", *[f"h{k}" for k in range(1, order)]]
-    places = _places(texts, order, max_length)
-    judged = places.where("at > 0").groupBy("doc_id", *gram).agg(F.count(F.lit(1)).alias("times"))
+    judged = _tally(texts, max(order, 2), max_length, "doc_id").where("h1 != ''")
+    if order == 1:
+        judged = judged.groupBy("doc_id", "word").agg(F.sum("times").alias("times"))
     judged = materialize(judged, "ngram-places")
     known = materialize(probabilities(judged.select(*gram).distinct(), train, order), "ngram-probabilities")
-    lost = judged.join(known, gram).groupBy("doc_id").agg((F.sum(-F.log("p") * F.col("times")) / F.sum("times")).alias("loss"))
+    lost = judged.join(known, gram).groupBy("doc_id").agg(
+        (F.sum(-F.log("p") * F.col("times")) / F.sum("times")).alias("loss"), (F.sum("times") + 1).cast("int").alias("n_judged")
+    )
     tokens = F.size(words(F.coalesce("text", F.lit(""))))
     n = tokens if max_length is None else F.least(tokens, F.lit(max_length))
-    return texts.select("doc_id", n.alias("n_tokens")).join(lost, "doc_id", "left").select("doc_id", "loss", "n_tokens")
+    # A text without a judged token has one token or none.
+    joined = texts.select("doc_id", "text").join(lost, "doc_id", "left")
+    return joined.select("doc_id", "loss", F.coalesce("n_judged", n).alias("n_tokens"))
