@@ -1,8 +1,10 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.checks import queries
 from textmill.operators import cleaning, noise, runlog
 from textmill.session import scratch_folder
 from textmill.sources import runlogs
@@ -82,3 +84,11 @@ def test_run_logs_from_strings(spark):
 def test_scratch_folder_follows_the_session(spark):
     folder = scratch_folder(spark)
     assert folder == (spark.conf.get("spark.checkpoint.dir", None) or folder).rstrip("/")
+
+
+def test_runs_lie_in_one_folder(spark, out, monkeypatch):
+    """A folder for each run has to be listed, and made by the driver, one by one."""
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{out}/{name}")
+    read = queries.s07_run_log_scan(spark, "/root/testdata/sf0.001").count()
+    files = [f for f in os.listdir(f"{out}/runs") if f.startswith("part-")]
+    assert len(files) == read > 0 and all(os.path.isfile(f"{out}/runs/{f}") for f in files)
