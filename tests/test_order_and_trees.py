@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.checks import queries
 from textmill.operators import hashtree, ngram, overlap, split
 from textmill.sources import corpus, ordered
 
@@ -132,3 +133,12 @@ def test_empty_training_table_and_cut_texts(texts):
     assert (row.loss, row.n_tokens) == (0.0, 3)
     (row,) = ngram.token_losses(texts(["x y z"]), texts(["x y"]), max_length=2).collect()
     assert row.n_tokens == 2 and row.loss > 0
+
+
+def test_pairs_are_dealt_into_more_files_the_more_there_are(spark, out, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{out}/{name}")
+    wanted = queries.e02_pairs(spark, "/root/testdata/sf0.001").count()
+    monkeypatch.setattr(queries, "FILE_BYTES", 50_000)
+    assert queries.e02_positional_pairs(spark, "/root/testdata/sf0.001").count() == wanted > 0
+    for name in ("reference", "prediction"):
+        assert len(list(Path(f"{out}/{name}").glob("part-*"))) > 5

@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LIMIT, DAY = 3, 24 * 3600  # a limit the events table runs into
+FILE_BYTES = 64 << 20  # of pairs, dealt into files
 
 
 def query(fn: Query) -> Query:
@@ -344,9 +345,11 @@ def e02_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def e02_positional_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions and references in files without ids, dealt differently."""
     rows, sides = materialize(inputs.pairs(spark, sf_dir), "pairs"), {}
-    for name, files_of in (("reference", 3), ("prediction", 5)):
+    # Also how many files there are grows with the texts, so no task writes more than a file.
+    n_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("reference") + F.octet_length("prediction")), F.lit(0))).first()[0]
+    for name, least in (("reference", 3), ("prediction", 5)):
         path = scratch_path(spark, name)
-        dealt = rows.repartitionByRange(files_of, "doc_id").sortWithinPartitions("doc_id")
+        dealt = rows.repartitionByRange(least + n_bytes // FILE_BYTES, "doc_id").sortWithinPartitions("doc_id")
         files.write_jsonl(dealt.select(F.col(name).alias("text")), path)
         sides[name] = ordered.read_ordered(spark, path)
     return overlap.pair_by_position(sides["reference"], sides["prediction"])
