@@ -1,16 +1,20 @@
 import datetime as dt
 import json
 import random
+import re
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from textmill import rules
+from textmill.checks import inputs
 from textmill.functions import guards
 from textmill.operators import limiter, requests
 from textmill.sources import decisions
 from textmill.streaming.guard import log_decisions, screen_requests
-from textmill.streaming.limiter import DECISIONS, rate_limit_stream
+from textmill.streaming.exchange import response_stream
+from textmill.streaming.limiter import DECISIONS, PACKED, ClientLog, rate_limit_stream
 
 NOON = dt.datetime(2024, 3, 31, 12, 0, 0)
 REQUESTS = "request_id bigint, client string, ts timestamp"
@@ -274,6 +278,56 @@ def test_limiter_stream_writes_the_logs_of_its_own_clients_only(spark, out):
     assert state["numRowsUpdated"] <= 4 and state["numRowsTotal"] >= 500
 
 
+def test_a_client_costs_the_limiter_stream_one_read_and_one_write():
+    """Decisions leave in few rows, however many requests there are; a log that stays is not written."""
+    calls, held = [], []
+
+    class Log:
+        def get(self):
+            calls.append("get")
+            return held[-1] if held else None
+
+        def update(self, value):
+            calls.append("update")
+            held.append(value)
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Log()
+
+    processor = ClientLog(3, 60_000_000, False)
+    processor.init(Handle())
+    row = Row("client", "request_id", "ts_us")
+    rows = [(i, "c", NOON + dt.timedelta(milliseconds=10 * (i // 2))) for i in range(2 * PACKED + 5)]
+    micros = {r[0]: int(r[2].replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000) for r in rows}
+    sent = list(processor.handleInputRows(("c",), (row("c", i, micros[i]) for i in reversed(micros)), None))
+    assert calls == ["get", "update"] and len(sent) == 3 and max(len(r.request_id) for r in sent) == PACKED
+    got = {int(i): bool(ok) for r in sent for i, ok in zip(r.request_id, r.accepted)}
+    assert got == _plain_limit(rows, 3, 60)
+    last = max(micros.values())
+    (sent,) = processor.handleInputRows(("c",), iter([row("c", 10**6, last)]), None)
+    assert calls == ["get", "update", "get"] and not sent.accepted.any()
+
+
+def test_a_body_is_parsed_once_and_its_fields_looked_up_once(spark):
+    asked = spark.createDataFrame([(1, "c", NOON, "{}", True)], "request_id bigint, client string, ts timestamp, value string, model_loaded boolean")
+    judged = spark.createDataFrame([("c", 1, NOON, True)], DECISIONS)
+    answers = spark.createDataFrame([(1, NOON, "x")], "request_id bigint, done timestamp, generated string")
+    known = spark.createDataFrame([("abc",)], "dataset_hash string")
+    made = response_stream(asked, judged, answers, known, "v")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parse_?json\(", plan.lower())) == 1
+    assert len(re.findall(r"variant_?get\(", plan.lower())) <= 9
+
+
+def test_requests_of_one_file_part_are_dealt_to_all_cores(spark, out):
+    rows = [(i, NOON, i % 5, "view", 1.0) for i in range(200)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double").coalesce(1).write.parquet(f"{out}/events.parquet")
+    spread = inputs.served(spark, out, spread=True)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(spread.collect()) == sorted(inputs.served(spark, out).collect())
+
+
 def test_status_precedence_and_quota(spark):
     ok, bad = '{"prompt": "hello"}', '{"prompt": ""}'
     rows = [

@@ -135,16 +135,20 @@ FROM (SELECT *, CASE event_id % 8
       FROM events) AS e
 """
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread``: dealt to all cores before the bodies are made, however few parts the file has."""
+    events = table(spark, sf_dir, "events")
+    if spread:
+        events = events.repartition(spark.sparkContext.defaultParallelism)
     # Braces stand for themselves, but for the one that names the table.
     text = REQUESTS_SQL.replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}")
-    return spark.sql(text, events=table(spark, sf_dir, "events"))
+    return spark.sql(text, events=events)
 
 
-def served(spark: SparkSession, sf_dir: str) -> DataFrame:
+def served(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Requests with what a stand-in for a model generated, and when it was done."""
     n = F.col("request_id")
-    rows = requests(spark, sf_dir)
+    rows = requests(spark, sf_dir, spread)
     said = (
         F.when(n % 7 == 0, "")
         .when(n % 7 == 1, "Her card is 4111 1111 1111 1111")

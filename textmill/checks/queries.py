@@ -559,7 +559,7 @@ def _exchange_streams(spark: SparkSession, sf_dir: str, logged: bool) -> str:
     """Requests and answers arrive in two halves of the time span; the limiter and then the
     responses, or the log lines, run after each. Returns the folder of what they wrote."""
     root = scratch_path(spark, "exchange")
-    rows = materialize(inputs.served(spark, sf_dir), "served")
+    rows = materialize(inputs.served(spark, sf_dir, spread=True), "served")
     middle = rows.agg(F.expr("timestamp_micros((min(unix_micros(ts)) + max(unix_micros(ts))) div 2)")).scalar()
     files.write_row(cleaning.manifest(inputs.documents(spark, sf_dir), "documents"), f"{root}/manifest")
     known = files.read_manifest(spark, f"{root}/manifest")

@@ -23,29 +23,46 @@ def parse_request(body: Column) -> Column:
     """A JSON body as a struct of request fields with defaults, plus ``errors``:
     the names of the fields that are missing, of the wrong type or out of bounds.
     Such a field is null, but for a text of a wrong length."""
-    return F.element_at(F.transform(F.array(F.try_parse_json(body)), _request_struct), 1)
+    # Each step reads the one before as a variable: what a body holds is looked up once.
+    parsed = F.transform(F.array(F.try_parse_json(body)), _fields)
+    return F.element_at(F.transform(F.transform(parsed, _tested), _request_struct), 1)
 
 
-def _request_struct(v: Column) -> Column:
-    def raw(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "variant")
+def _fields(v: Column) -> Column:
+    """What is given in a body, each value once."""
+
+    def got(name: str, kind: str) -> Column:
+        return F.try_variant_get(v, f"$.{name}", kind)
+
+    return F.struct(
+        (F.schema_of_variant(got("prompt", "variant")) == "STRING").alias("is_text"),
+        got("prompt", "string").alias("prompt"),
+        *[got(name, "variant").isNotNull().alias(f"{name}_given") for name in ("max_tokens", "temperature", "safe_mode")],
+        *[got(name, "double").alias(name) for name in ("max_tokens", "temperature")],
+        F.lower(got("safe_mode", "string")).alias("flag"),
+    )
 
-    def number(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "double")
 
+def _tested(v: Column) -> Column:
+    """The same with the verdict on each value; null where there is none."""
+    tokens, flag = v["max_tokens"], v["flag"]
+    return F.struct(
+        *[v[name].alias(name) for name in ("is_text", "prompt", "max_tokens_given", "temperature_given", "safe_mode_given")],
+        *[v[name].alias(name) for name in ("max_tokens", "temperature")],
+        (v["is_text"] & F.length(v["prompt"]).between(1, rules.MAX_PROMPT_CHARS)).alias("prompt_ok"),
+        ((tokens == F.floor(tokens)) & tokens.between(1, rules.MAX_NEW_TOKENS)).alias("tokens_ok"),
+        v["temperature"].between(0.0, rules.MAX_TEMPERATURE).alias("temperature_ok"),
+        F.when(flag.isin(*_TRUE), True).when(flag.isin(*_FALSE), False).alias("safe"),
+    )
+
+
+def _request_struct(v: Column) -> Column:
     def given(name: str) -> Column:
-        return raw(name).isNotNull()
-
-    prompt = F.try_variant_get(v, "$.prompt", "string")
-    is_text = F.schema_of_variant(raw("prompt")) == "STRING"
-    prompt_ok = F.coalesce(is_text & F.length(prompt).between(1, rules.MAX_PROMPT_CHARS), F.lit(False))
-
-    tokens = number("max_tokens")
-    tokens_ok = (tokens == F.floor(tokens)) & tokens.between(1, rules.MAX_NEW_TOKENS)
-    temperature = number("temperature")
-    temperature_ok = temperature.between(0.0, rules.MAX_TEMPERATURE)
-    flag = F.lower(F.try_variant_get(v, "$.safe_mode", "string"))
-    safe = F.when(flag.isin(*_TRUE), True).when(flag.isin(*_FALSE), False)
+        return v[f"{name}_given"]
+
+    prompt, is_text, prompt_ok = v["prompt"], v["is_text"], F.coalesce(v["prompt_ok"], F.lit(False))
+    tokens, tokens_ok, temperature, temperature_ok = (v[n] for n in ("max_tokens", "tokens_ok", "temperature", "temperature_ok"))
+    safe = v["safe"]
 
     def ok(name: str, check: Column) -> Column:
         return ~given(name) | F.coalesce(check, F.lit(False))

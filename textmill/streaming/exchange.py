@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from textmill.functions.text import once
 from textmill.operators.requests import is_valid, log_events, parse_request, response_rows
 from textmill.sources.decisions import decision_rows
 
@@ -38,8 +39,8 @@ def response_stream(
     ts, value, model_loaded)``, ``decisions`` the limiter's ``(request_id, ts, accepted)``,
     ``answers`` ``(request_id, done, generated)``; ``request_id`` is unique in each."""
     late = f"{lateness_seconds} seconds"
-    asked = requests.where("model_loaded").withColumn("request", parse_request(F.col("value")))
-    asked = asked.where(is_valid(F.col("request"))).select("request_id", "client", "ts", "request").withWatermark("ts", late)
+    asked = requests.where("model_loaded").select("request_id", "client", "ts", once(parse_request(F.col("value"))).alias("request"))
+    asked = asked.where(is_valid(F.col("request"))).withWatermark("ts", late)
     admitted = decisions.where("accepted").select(F.col("request_id").alias("admitted_id"), F.col("ts").alias("admitted_at"))
     said = answers.select(F.col("request_id").alias("answered_id"), "done", "generated").withWatermark("done", late)
     met = asked.join(
