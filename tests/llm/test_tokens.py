@@ -68,6 +68,51 @@ def test_a_full_cache_changes_nothing(ranks, public, monkeypatch):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == public.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("few", [0, 12, 10**9])
+def test_texts_encoded_together_equal_the_public_library(ranks, public, monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
+    monkeypatch.setattr(bpe, "GROUP", 4000)
+    monkeypatch.setattr(vocabulary, "LONG", 5500)
+    own = bpe.Encoder(ranks)
+    texts = [*CASES, *_random_texts(300), "ab aaaa" * 1000, "a" * 64 + " " + "a" * 65]
+    got = list(own.encode_all(texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [public.encode_ordinary(t) for t in texts]
+    assert own.queue.top == 0 and not own.queue.buckets and not any(own.queue.low) and not any(own.queue.mid)
+
+
+def test_a_lower_rank_that_comes_up_in_a_piece_goes_first():
+    # Merging "ab" makes "abc", of a lower rank, which must come before the second "ab".
+    small = {bytes([b]): b for b in range(256)} | {b"abca": 300, b"abc": 301, b"ab": 302, b"cab": 303}
+    own, texts = bpe.Encoder(small), ["abcab", "abcabcab", "xabab"]
+    want = [own.merge(t.encode()) for t in texts]
+    for few in (0, 12):
+        bpe.FEW, before = few, bpe.FEW
+        try:
+            got = own.merge_all([t.encode() for t in texts * 20])
+        finally:
+            bpe.FEW = before
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want * 20
+
+
+def test_new_pieces_of_texts_are_merged_once_a_group_however_full_the_cache(ranks, public, monkeypatch):
+    asked = []
+    monkeypatch.setattr(bpe, "CACHE", 2)
+    monkeypatch.setattr(bpe.Encoder, "merge", lambda self, piece: asked.append(piece))
+    merge_all = bpe.Encoder.merge_all
+    monkeypatch.setattr(bpe.Encoder, "merge_all", lambda self, pieces: asked.extend(pieces) or merge_all(self, pieces))
+    texts = ["Reiereau etlequetreaux osracija aninthwh"] * 50
+    got = list(bpe.Encoder(ranks).encode_all(texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [public.encode_ordinary(t) for t in texts]
+    assert len(asked) == len(set(asked)) == 4
+
+
+def test_a_vocabulary_that_lacks_a_byte_still_says_so():
+    own = bpe.Encoder({b"a": 0, b"b": 1, b"ab": 2})
+    assert list(own.encode_all(["abab"])) == [np.array([2, 2], "<u4").tobytes()]
+    with pytest.raises(KeyError):
+        list(own.encode_all(["abz"]))
+
+
 def _frame(spark, texts):
     rows = [(i, t, "x", "y") for i, t in enumerate(texts)] + [(0, texts[0], "x", "y")]
     return spark.createDataFrame(rows, "doc_id bigint, text string, ids string, n_tokens string").repartition(3)
