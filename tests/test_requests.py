@@ -8,10 +8,11 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from textmill import rules
-from textmill.checks import inputs
+from textmill.checks import inputs, queries
 from textmill.functions import guards
 from textmill.operators import limiter, requests
 from textmill.sources import decisions
+from textmill.streaming import exchange
 from textmill.streaming.guard import log_decisions, screen_requests
 from textmill.streaming.exchange import response_stream
 from textmill.streaming.limiter import DECISIONS, PACKED, ClientLog, rate_limit_stream
@@ -397,3 +398,22 @@ def test_screened_stream_equals_batch(spark, out):
     decisions.append_decisions(screen_requests(table), f"{out}/batch")
     decisions.append_decisions(screen_requests(table), f"{out}/batch")
     assert decisions.read_decisions(spark, f"{out}/batch").count() == 10
+
+
+def test_the_joins_of_the_responses_hold_a_part_of_the_requests_at_once(spark, monkeypatch):
+    """Whatever the number of parts, the rows are the same; state follows a part, not the table."""
+    runs = []
+
+    def append_events(*args):
+        runs.append(exchange.append_events(*args))
+        return runs[-1]
+
+    monkeypatch.setattr(queries, "append_events", append_events)
+    folder = "/root/testdata/sf0.001"
+    whole = sorted(queries.w03_served_log_stream(spark, folder).collect())
+    held = max(s["numRowsTotal"] for q in runs for p in q.recentProgress for s in p["stateOperators"])
+    runs.clear()
+    monkeypatch.setattr(queries, "PART_ROWS", 170)
+    assert sorted(queries.w03_served_log_stream(spark, folder).collect()) == whole
+    few = max(s["numRowsTotal"] for q in runs for p in q.recentProgress for s in p["stateOperators"])
+    assert len(runs) > 5 and few < held / 2

@@ -136,10 +136,10 @@ FROM (SELECT *, CASE event_id % 8
 """
 
 def requests(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """``spread``: dealt to all cores before the bodies are made, however few parts the file has."""
+    """``spread``: dealt to all cores by time before the bodies are made, however few parts the file has."""
     events = table(spark, sf_dir, "events")
     if spread:
-        events = events.repartition(spark.sparkContext.defaultParallelism)
+        events = events.repartitionByRange(spark.sparkContext.defaultParallelism, "ts", "event_id")
     # Braces stand for themselves, but for the one that names the table.
     text = REQUESTS_SQL.replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}")
     return spark.sql(text, events=events)

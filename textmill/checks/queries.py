@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 LIMIT, DAY = 3, 24 * 3600  # a limit the events table runs into
 FILE_BYTES = 64 << 20  # of pairs, dealt into files
+PART_ROWS = 4_000_000  # requests, about, that the joins of the responses hold in state at once
 
 
 def query(fn: Query) -> Query:
@@ -555,35 +556,66 @@ _ASKED = "request_id bigint, client string, ts timestamp, value string, model_lo
 _ANSWERED = "request_id bigint, done timestamp, generated string"
 
 
+def _arrivals(rows: DataFrame) -> list[list[int | None]]:
+    """The ends, in microseconds, of the parts in which requests arrive: two halves of the time
+    span, each cut by time into parts of about ``PART_ROWS`` requests. The last end is open."""
+    at = F.col("at")
+    middle = rows.agg(F.expr("(min(at) + max(at)) div 2")).first()[0]
+    halves = []
+    for lo, hi in ((None, middle), (middle, None)):
+        half = _arriving(rows, "at", lo, hi)
+        n_parts = -(-half.count() // PART_ROWS)
+        shares = [k / n_parts for k in range(1, n_parts)]
+        cuts = half.agg(F.percentile_approx(at, shares)).first()[0] if shares else []
+        halves.append([lo, *sorted({c for c in cuts if c != lo}), hi])
+    return halves
+
+
+def _arriving(rows: DataFrame, at: str, lo: int | None, hi: int | None) -> DataFrame:
+    """Rows from ``lo`` on and before ``hi``; an end that is None is open."""
+    rows = rows.where(F.col(at).isNotNull())
+    rows = rows if lo is None else rows.where(F.col(at) >= lo)
+    return rows if hi is None else rows.where(F.col(at) < hi)
+
+
 def _exchange_streams(spark: SparkSession, sf_dir: str, logged: bool) -> str:
-    """Requests and answers arrive in two halves of the time span; the limiter and then the
-    responses, or the log lines, run after each. Returns the folder of what they wrote."""
+    """Requests arrive in two halves of the time span, and the limiter runs after each. Requests,
+    decisions and answers of a half then arrive in parts of bounded size, in order of time, and
+    the responses, or the log lines, run after each. Returns the folder of what they wrote."""
     root = scratch_path(spark, "exchange")
-    rows = materialize(inputs.served(spark, sf_dir, spread=True), "served")
-    middle = rows.agg(F.expr("timestamp_micros((min(unix_micros(ts)) + max(unix_micros(ts))) div 2)")).scalar()
+    # Times are kept as numbers too: files have statistics of those, so a part reads its own files.
+    served = inputs.served(spark, sf_dir, spread=True)
+    rows = materialize(served.withColumns({"at": F.unix_micros("ts"), "done_at": F.unix_micros("done")}), "served")
     files.write_row(cleaning.manifest(inputs.documents(spark, sf_dir), "documents"), f"{root}/manifest")
     known = files.read_manifest(spark, f"{root}/manifest")
-    streams = {"asked": ("ts", _ASKED), "answered": ("done", _ANSWERED)}
+    now = {"availableNow": True}
+
+    def names(schema: str) -> list[str]:
+        return [c.split(" ")[0] for c in schema.split(", ")]
 
-    def arriving(name: str, schema: str) -> DataFrame:
+    def arrive(name: str, part: DataFrame, schema: str) -> DataFrame:
+        part.select(*names(schema)).write.mode("append").parquet(f"{root}/{name}")
         return spark.readStream.schema(schema).parquet(f"{root}/{name}")
 
-    for half in (F.lit(True), F.lit(False)):
-        for name, (at, schema) in streams.items():
-            part = rows.where((F.col(at) < middle) == half)
-            part.select(*[c.split(" ")[0] for c in schema.split(", ")]).write.mode("append").parquet(f"{root}/{name}")
-        asked, answered = (arriving(name, schema) for name, (_, schema) in streams.items())
-        now = {"availableNow": True}
+    for ends in _arrivals(rows):
+        received = arrive("received", _arriving(rows, "at", ends[0], ends[-1]), _ASKED)
         rate_limit_stream(
-            valid_requests(asked), f"{root}/judged", f"{root}/limiter", now, limit=LIMIT, window_seconds=DAY
+            valid_requests(received), f"{root}/limited", f"{root}/limiter", now, limit=LIMIT, window_seconds=DAY
         ).awaitTermination()
-        judged = arriving("judged", DECISIONS)
-        responses = response_stream(asked, judged, answered, known, "stand-in")
-        if logged:
-            append_events(event_stream(responses, judged), f"{root}/log", f"{root}/logging").awaitTermination()
-            continue
-        writer = responses.writeStream.format("parquet").option("checkpointLocation", f"{root}/progress")
-        writer.option("path", f"{root}/responses").trigger(**now).start().awaitTermination()
+        limited = spark.read.schema(DECISIONS).parquet(f"{root}/limited").withColumn("at", F.unix_micros("ts"))
+        if len(ends) > 2:  # else the one part reads all of them anyway
+            by_time = limited.repartitionByRange(spark.sparkContext.defaultParallelism, "at", "request_id")
+            limited = materialize(_arriving(by_time, "at", ends[0], ends[-1]), "limited")
+        for lo, hi in zip(ends, ends[1:]):
+            asked = arrive("asked", _arriving(rows, "at", lo, hi), _ASKED)
+            judged = arrive("judged", _arriving(limited, "at", lo, hi), DECISIONS)
+            answered = arrive("answered", _arriving(rows, "done_at", lo, hi), _ANSWERED)
+            responses = response_stream(asked, judged, answered, known, "stand-in")
+            if logged:
+                append_events(event_stream(responses, judged), f"{root}/log", f"{root}/logging").awaitTermination()
+                continue
+            writer = responses.writeStream.format("parquet").option("checkpointLocation", f"{root}/progress")
+            writer.option("path", f"{root}/responses").trigger(**now).start().awaitTermination()
     return root
 
 
