@@ -1,7 +1,10 @@
 """Collocations against counting every phrase, and the sort against plain counting."""
 
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -72,3 +75,42 @@ def test_three_way_parts(weighted):
             for i, n in zip(found, sizes, strict=True):
                 got[int(keys[0][i]), int(keys[1][i])] += int(n)
     assert got == plain
+
+
+_WORKER = """
+import re
+import numpy as np
+import pyarrow as pa
+from textmill.llm import phrases
+
+def used():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+
+class Bits:
+    value = np.full(phrases.FILTER_BITS // 8, 255, np.uint8)
+
+rng = np.random.default_rng(1)
+words = np.array([f"word{i:x}" for i in range(60_000)])
+
+def task():
+    for _ in range(3):
+        texts = [" ".join(words[np.minimum(rng.zipf(1.2, 300), 60_000) - 1]) for _ in range(2_000)]
+        yield pa.record_batch([pa.array(texts), pa.array(["en"] * len(texts))], names=["text", "lang"])
+
+most = 0
+for step in (phrases._pair_counts, phrases._suffixes(Bits), phrases._suffixes(Bits)):
+    for rows in step(task()):
+        most = max(most, used())
+    rows = None
+print(most, used())
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/status"), reason="reads /proc")
+def test_a_worker_needs_and_keeps_little_memory():
+    """Two workers and the heap share an executor, and idle workers keep what they hold."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    said = subprocess.run([sys.executable, "-c", _WORKER], cwd=root, capture_output=True, text=True, check=True, timeout=300)
+    most, kept = map(int, said.stdout.split())
+    assert most < 215
+    assert kept < 180

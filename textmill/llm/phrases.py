@@ -49,7 +49,7 @@ LEAST = 10
 TOP = 2000
 #: A phrase is dropped for a longer one that has so many hundredths of its count.
 COVERED = 50
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 CHUNK_ROWS = 1 << 17
 #: A power of two, at least that of one bitmap row of Spark's (32,768 bits).
 FILTER_BITS = 1 << 27
@@ -170,6 +170,12 @@ def _batch(schema: str, *columns: pa.Array | np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
 
+def _give_back() -> None:
+    """Free memory that Arrow keeps goes back to the system: a worker lives on after its task,
+    beside those of the next stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def _gathered(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -195,15 +201,17 @@ class _Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
-    texts, langs = [], []
+    texts, langs, size = [], [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            some = batch.slice(at, 256)
-            texts += some.column(0).cast(pa.binary()).to_pylist()
+        for at in range(0, batch.num_rows, 64):
+            some = batch.slice(at, 64)
+            more = some.column(0).cast(pa.binary()).to_pylist()
+            texts += more
             langs += some.column(1).to_pylist()
-            if sum(map(len, texts)) >= BLOCK_BYTES:
+            size += sum(map(len, more)) + len(more)
+            if size >= BLOCK_BYTES:
                 yield _Block(texts, langs)
-                texts, langs = [], []
+                texts, langs, size = [], [], 0
     if texts:
         yield _Block(texts, langs)
 
@@ -212,6 +220,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in _blocks(batches):
         pairs, sizes = np.unique(block.pair[block.goes_on], return_counts=True)
         yield _batch("pair bigint, n bigint", pairs.view(np.int64), sizes)
+    _give_back()
 
 
 def _frequent_pairs(rows: DataFrame, least: int) -> Broadcast:
@@ -280,20 +289,23 @@ def _suffixes(frequent: Broadcast):
             held.append(found)
             size += found.num_rows
             if size > CHUNK_ROWS:  # blocks of one task have much in common
-                rows = _added_up(held)
-                if len(rows) > CHUNK_ROWS // 2:
-                    yield from rows.to_batches()
-                    rows = rows.slice(0, 0)
-                held, size = rows.to_batches(), len(rows)
+                held = _added_up(held).to_batches()
+                size = sum(rows.num_rows for rows in held)
+                if size > CHUNK_ROWS // 2:
+                    yield from held
+                    held, size = [], 0
+                    _give_back()
         if held:
             yield from _added_up(held).to_batches()
+        del held
+        _give_back()
 
     return run
 
 
 def _added_up(batches: list[pa.RecordBatch]) -> pa.Table:
     keys = ["lang", "w1", "w2", "w3"]
-    rows = pa.Table.from_batches(batches).group_by(keys).aggregate([("n", "sum")])
+    rows = pa.Table.from_batches(batches).group_by(keys, use_threads=False).aggregate([("n", "sum")])
     return rows.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).combine_chunks()
 
 
@@ -383,6 +395,8 @@ def _counts(least: int):
             bound = max(CHUNK_ROWS, 2 * size)
         if size:
             yield _Routed(pa.Table.from_batches(held)).counted(least)
+        del held
+        _give_back()
 
     return run
 
