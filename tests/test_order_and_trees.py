@@ -3,14 +3,18 @@
 import json
 import math
 import random
+import time
+import uuid
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textmill import session
 from textmill.checks import queries
-from textmill.operators import hashtree, ngram, overlap, split
+from textmill.operators import gramblocks, hashtree, ngram, overlap, split
 from textmill.sources import corpus, ordered
 
 
@@ -107,6 +111,58 @@ def test_losses_equal_plain_counting(texts, order):
         assert (r.loss is None) if loss is None else abs(r.loss - loss) < 1e-9
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_losses_from_small_blocks_and_shared_contexts(texts, monkeypatch, order):
+    for name, value in (("BLOCK", 40), ("BUCKET", 50), ("SPLIT", 3)):
+        monkeypatch.setattr(gramblocks, name, value)
+    rng = random.Random(order)
+    made = [" ".join(rng.choice(["a", "a", "B", "c\u2003d", "\u00e9", "f"]) for _ in range(rng.randrange(25))) for _ in range(60)]
+    table = texts([*made, None, "", "one"])
+    for test, train in ((table, table), (texts(made[:20]), texts(made[20:]))):
+        rows = ngram.token_losses(test, train, order).collect()
+        said, learned = ([r.text for r in t.sort("doc_id").collect()] for t in (test, train))
+        for r, (loss, n) in zip(sorted(rows), _plain_losses(learned, said, order), strict=True):
+            assert r.n_tokens == n and ((r.loss is None) if loss is None else abs(r.loss - loss) < 1e-9)
+
+
+def test_losses_agree_with_probabilities_of_ngrams(spark, texts):
+    train, words = texts(["a b a c a b", "b b c", "c a"]), "a c b b unseen a"
+    ((_, loss, n),) = ngram.token_losses(texts([words]), train).collect()
+    grams = spark.createDataFrame(list(zip(words.split()[1:], words.split())), "word string, h1 string")
+    told = [-math.log(r.p) for r in ngram.probabilities(grams, train).collect()]
+    assert n == 6 and abs(loss - sum(told) / 5) < 1e-12
+
+
+def test_losses_store_a_few_bytes_for_a_token(texts, out, monkeypatch):
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: f"{out}/{name}")
+    rng = random.Random(4)
+    table = texts([" ".join(f"word{rng.randrange(5000)}" for _ in range(1000)) for _ in range(200)])
+    assert ngram.token_losses(table, table).count() == 200
+    assert sum(p.stat().st_size for p in Path(out).rglob("*.parquet")) < 4 * 200_000
+
+
+def test_shuffle_files_go_with_the_write(spark, out, monkeypatch):
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: f"{out}/{uuid.uuid4().hex}")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left(release):
+        """Shuffle files of a write, after the time that background work may need to remove them."""
+        before, until = set(disk.getAllFiles().mkString(",").split(",")), time.time() + 10
+        session.materialize(spark.range(100).repartition(3, "id"), "rows", release=release)
+        while True:
+            new = {f for f in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in f} - before
+            if not new or not release or time.time() > until:
+                return new
+            time.sleep(0.1)
+
+    assert left(False) and not left(True) and left(False)
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 255, 256, 7], [1 << 40, 3], [(1 << 62) + 1]])
+def test_packed_numbers_come_back(values):
+    assert gramblocks.unpack(gramblocks.pack(np.array(values, dtype=np.int64))).tolist() == values
+
+
 def test_tasks_hand_on_counts_they_cannot_hold(texts, monkeypatch):
     monkeypatch.setattr(ngram, "MOST_HELD", 3)
     train = ["a b a c a b", "", None, "B b\u2003c", "c a", "a b a c a b"]

@@ -9,9 +9,9 @@ shorter one counts alone.
     P(w | h) = max(c(hw) - D, 0) / c(h) + D kinds(h) / c(h) P(w | shorter h)
     P(w)     = (c(w) + 1) / (N + V + 1)
 
-All of it is counts and equi-joins. Counts combine on the map side. Texts to be scored are
-reduced to their different n-grams before the model is joined to them, so a frequent n-gram
-looks its probability up once, and comes back to its places by one join on the whole n-gram.
+``probabilities`` is counts, combined on the map side, and equi-joins on a table of n-grams.
+``token_losses`` has the n-grams of texts counted and looked up packed, a block of texts at a
+time (``gramblocks``), as a row of words for every n-gram of every text fills the disks.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from textmill.functions.tokens import words
+from textmill.operators import gramblocks
 from textmill.session import materialize
 
 ORDER = 2
@@ -116,17 +116,4 @@ def token_losses(texts: DataFrame, train: DataFrame, order: int = ORDER, max_len
     """``(doc_id, loss, n_tokens)`` of every text: the mean negative log-probability of its
     tokens from the second on, given those before; null for fewer than two tokens. Texts are
     cut to ``max_length`` tokens, if given. ``doc_id`` is not repeated."""
-    gram = ["word", *[f"h{k}" for k in range(1, order)]]
-    judged = _tally(texts, max(order, 2), max_length, "doc_id").where("h1 != ''")
-    if order == 1:
-        judged = judged.groupBy("doc_id", "word").agg(F.sum("times").alias("times"))
-    judged = materialize(judged, "ngram-places")
-    known = materialize(probabilities(judged.select(*gram).distinct(), train, order), "ngram-probabilities")
-    lost = judged.join(known, gram).groupBy("doc_id").agg(
-        (F.sum(-F.log("p") * F.col("times")) / F.sum("times")).alias("loss"), (F.sum("times") + 1).cast("int").alias("n_judged")
-    )
-    tokens = F.size(words(F.coalesce("text", F.lit(""))))
-    n = tokens if max_length is None else F.least(tokens, F.lit(max_length))
-    # A text without a judged token has one token or none.
-    joined = texts.select("doc_id", "text").join(lost, "doc_id", "left")
-    return joined.select("doc_id", "loss", F.coalesce("n_judged", n).alias("n_tokens"))
+    return gramblocks.losses(texts, train, order, max_length, DISCOUNT)

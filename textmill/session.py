@@ -49,9 +49,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/textmill/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Whether Spark removes a query's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write a table once and read it back: cuts the lineage, outlives lost
-    executors, keeps column pruning, and gives the optimizer its true size."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    executors, keeps column pruning, and gives the optimizer its true size. With ``release``
+    the shuffle files of the write go when it ends, not when the driver collects its garbage."""
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    if release:
+        conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
