@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from textmill import rules
+from textmill.checks import inputs
 from textmill.functions import porter, tokens
 from textmill.operators import overlap
 from textmill.plans.evaluation import evaluate
@@ -98,6 +100,29 @@ def test_both_stemmers_agree(spark):
     assert [(r.w, porter.stem(r.w)) for r in column] == [(r.w, r.s) for r in column]
 
 
+def test_words_part_at_every_space(spark):
+    signs = [c for c in map(chr, range(1, 0x3100)) if not 0xD800 <= ord(c) < 0xE000]
+    table = spark.createDataFrame([(c, f"a{c}{c}b{c}") for c in signs], "c string, text string")
+    rows = table.select("c", tokens.words(F.col("text")).alias("w"), F.lower("text").alias("low")).collect()
+    assert all(r.w == r.low.split() for r in rows) and sum(len(r.w) == 2 for r in rows) == len(rules.SPACE_CHARS)
+
+
+def test_counts_of_numbered_pairs_equal_counters():
+    rng = random.Random(8)
+    for n in range(200):
+        a, b = (" ".join(rng.choices(["ab", "cats", "cat", "x-y", "\u00e9t", "the"], k=rng.randrange(n % 9 + 1))) for _ in range(2))
+        words = [[porter.stem(w) for w in _ascii_words(t)] for t in (a, b)]
+        want = [x for one, two in ((a.split(), b.split()), words, map(_grams, words)) for x in ((Counter(one) & Counter(two)).total(), len(one), len(two))]
+        assert overlap._pair_counts(a, b, ("f1", "rouge1", "rouge2", "rougeL"), True) == [*want, _lcs(*words), *map(len, words)]
+
+
+def test_predictions_make_the_tokens_once(spark):
+    table = spark.createDataFrame([(1, "A b c d e f"), (7, "a b"), (8, "")], "doc_id bigint, reference string")
+    made = inputs.predictions(table)
+    assert [r.prediction for r in made.sort("doc_id").collect()] == ["a b c d f a b c", "", ""]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 def test_corpus_means(spark, pairs, items):
     scores = overlap.score_pairs(pairs)
     row = overlap.corpus_rouge(scores).first()

@@ -187,6 +187,8 @@ def _by_table(word: str, rules: tuple) -> str:
     return word
 
 
+#: What a token must end in for any step to change it.
+_ENDS = ("s", "ed", "ing", "y", "logi", "ion", "e", "ll", *(suffix for suffix, *_ in STEP_2 + STEP_3 + STEP_4))
 _DOUBLED = re.compile("(?:yY|([bcdfghjkmnpqrtvwx0-9])\\1)$")
 _SHORT = re.compile(f"(?=^{C}*{V}+[^aeiouy]+{V}*$){ENDS_CVC}")
 _LOGI = re.compile(f"(?={C}*{V}+{C}.*ogi$)(.*)logi")
@@ -221,7 +223,9 @@ def stem(token: str, min_chars: int = 4) -> str:
         return token
     if token in IRREGULAR:
         return IRREGULAR[token]
-    word = re.sub("yy", "yY", re.sub("(^|[aeiou])y", r"\1Y", token))
+    if not token.endswith(_ENDS):
+        return token.lower()
+    word = re.sub("yy", "yY", re.sub("(^|[aeiou])y", r"\1Y", token)) if "y" in token else token
     if word.endswith("s"):
         word = word[:-1] if word.endswith("ies") and len(word) == 4 else _by_table(word, STEP_1A)
     word = _cut_ed_ing(word)

@@ -82,13 +82,13 @@ def unpack(data: bytes) -> np.ndarray:
     return values.reshape(-1).view("<i8")
 
 
-def _pack_words(words: list[str]) -> bytes:
-    data = " ".join(words).encode()
+def _pack_words(words: list[bytes]) -> bytes:
+    data = b" ".join(words)
     return struct.pack("<Q", len(data)) + pa.compress(data, "zstd", asbytes=True)
 
 
-def _unpack_words(data: bytes) -> list[str]:
-    return pa.decompress(data[8:], *struct.unpack_from("<Q", data), "zstd", asbytes=True).decode().split(" ")
+def _unpack_words(data: bytes) -> list[bytes]:
+    return pa.decompress(data[8:], *struct.unpack_from("<Q", data), "zstd", asbytes=True).split(b" ")
 
 
 def _joined(arrays: list[np.ndarray]) -> np.ndarray:
@@ -109,6 +109,19 @@ def _back(order: np.ndarray, values: np.ndarray) -> np.ndarray:
     return found
 
 
+def _keyed(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, int]:
+    """One number for each pair of numbers, in the order of the pairs, and the bits of the second."""
+    bits = int(second.max(initial=0)).bit_length()
+    if bits + int(first.max(initial=0)).bit_length() > 63:
+        raise OverflowError(f"pairs of numbers up to {first.max()} and {second.max()}")
+    return (first << bits) | second, bits
+
+
+def _order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The places of different pairs of numbers in the order of the pairs."""
+    return np.argsort(_keyed(first, second)[0])
+
+
 def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(sizes) - sizes
 
@@ -130,7 +143,7 @@ def _encoded(texts: DataFrame, role: int, max_length: int | None) -> DataFrame:
         ids, lengths, places, words, size = [], [], [], defaultdict(), 0
 
         def block() -> pa.RecordBatch:
-            body = [pack(np.array(lengths)), pack(_joined(places)), _pack_words(list(words))]
+            body = [pack(np.array(lengths)), pack(_joined(places)), _pack_words([w.encode() for w in words])]
             # Blocks of both roles are told apart by the last bits.
             return _batch([(number * 4 + role, 0, role, ids, int(sum(lengths)), body)], shape)
 
@@ -194,7 +207,7 @@ class _Block:
         self.p[self.at] = np.where(seen, own[self.here] + shared[self.here] * shorter, shorter)
 
     def _by_word(self) -> tuple[np.ndarray, np.ndarray]:
-        buckets = np.fromiter((crc32(w.encode()) for w in self.words), np.int64, len(self.words)) % self.job.buckets
+        buckets = np.fromiter(map(crc32, self.words), np.int64, len(self.words)) % self.job.buckets
         order = np.argsort(buckets, kind="stable")
         return order, buckets[order]
 
@@ -220,11 +233,11 @@ class _Block:
         share = np.arange(len(self.group_context)) - first[self.group_context]
         keys = self.numbers[self.contexts][self.group_context] * self.job.most + share
         buckets = _mixed(keys) % self.job.buckets
-        self.group_order = np.lexsort((keys, buckets))
+        self.group_order = _order(buckets, keys)
         self.group_keys, self.group_buckets = keys[self.group_order], buckets[self.group_order]
         rank = _back(self.group_order, np.arange(len(keys)))
         group = rank[first[self.context_of] + _mixed(words) % shares[self.context_of]]
-        self.order = np.lexsort((words, group))
+        self.order = _order(group, words)
         self.sizes = np.bincount(group, minlength=len(keys))
         self.asked = words[self.order]
 
@@ -249,21 +262,20 @@ class _Block:
 
 
 # --- Buckets --------------------------------------------------------------------
-def _ranked(n_all: np.ndarray, order: np.ndarray, part: int, buckets: int) -> np.ndarray:
+def _ranked(n_all: np.ndarray, part: int, buckets: int) -> np.ndarray:
     """Numbers that no other bucket gives, small ones to what is frequent."""
-    return _back(order, np.arange(len(n_all))) * buckets + part
+    return _back(np.argsort(-n_all, kind="stable"), np.arange(len(n_all))) * buckets + part
 
 
 def _told_words(part: int, rows: list[dict], buckets: int) -> list[tuple]:
-    places: dict[str, int] = defaultdict()
+    places: dict[bytes, int] = defaultdict()
     places.default_factory = places.__len__
     asked = [np.fromiter(map(places.__getitem__, _unpack_words(r["body"][0])), np.int64) for r in rows]
     times = [unpack(r["body"][1]) for r in rows]
     at = _joined(asked)
     n_all = _sums(at, _joined(times), len(places))
     n = _sums(at, _joined([t * (r["role"] & TRAIN) for t, r in zip(times, rows)]), len(places))
-    by_word = _back(np.array(sorted(range(len(places)), key=list(places).__getitem__)), np.arange(len(places)))
-    numbers = _ranked(n_all, np.lexsort((by_word, -n_all)), part, buckets)
+    numbers = _ranked(n_all, part, buckets)
     # Words and different words of the training texts are told once.
     sizes = [int(n.sum() + np.count_nonzero(n)), *[0] * len(rows)]
     return [
@@ -283,17 +295,14 @@ def _told_pairs(part: int, rows: list[dict], buckets: int, step: int, last: bool
         words.append(upto - np.repeat(before, size))
         times.append(n)
     contexts, context = np.unique(_joined(keys), return_inverse=True)
-    word = _joined(words)
-    bits = int(word.max(initial=0)).bit_length()
-    if bits + len(contexts).bit_length() > 62:
-        raise OverflowError(f"{len(contexts)} contexts and words of {bits} bits in a bucket")
-    pairs, at = np.unique((np.repeat(context, _joined(sizes)) << bits) | word, return_inverse=True)
+    keyed, bits = _keyed(np.repeat(context, _joined(sizes)), _joined(words))
+    pairs, at = np.unique(keyed, return_inverse=True)
     of = pairs >> bits
     n = _sums(at, _joined([t * (r["role"] & TRAIN) for t, r in zip(times, rows)]), len(pairs))
     total, kinds = _sums(of, n, len(contexts)), _sums(of, n > 0, len(contexts))
     if not last:
         n_all = _sums(at, _joined(times), len(pairs))
-        numbers = _ranked(n_all, np.argsort(-n_all, kind="stable"), part, buckets)
+        numbers = _ranked(n_all, part, buckets)
     told, group, pair = [], 0, 0
     for r, k, w in zip(rows, keys, words):
         groups, own = context[group : group + len(k)], at[pair : pair + len(w)]
@@ -358,7 +367,8 @@ def _asking_pairs(job: Job, step: int) -> Callable:
 
 def _telling(buckets: int, step: int, last: bool, shape: StructType) -> Callable:
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        part, rows = key[0].as_py(), table.to_pylist()
+        # In one order, whatever order they came in.
+        part, rows = key[0].as_py(), sorted(table.to_pylist(), key=lambda r: r["block"])
         told = _told_words(part, rows, buckets) if step == 1 else _told_pairs(part, rows, buckets, step, last)
         return pa.Table.from_batches([_batch(told, shape)])
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from itertools import pairwise
+from string import ascii_lowercase, digits
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from textmill.functions.porter import stem
 from textmill.functions.quality import eval_eligible
-from textmill.functions.subsequence import lcs
+from textmill.functions.subsequence import lcs, lcs_of_numbers, numbered  # noqa: F401
 from textmill.functions.text import continuation_part, once, prompt_part
 
 
@@ -54,27 +53,39 @@ def mean_token_f1(scores: DataFrame) -> DataFrame:
     return scores.agg(F.coalesce(F.round(F.avg("token_f1"), 4), F.lit(0.0)).alias("token_f1"))
 
 
-_ASCII_WORD = re.compile("[a-z0-9]+")
+#: Bytes of runs of ASCII letters and digits; all others part them.
+_ASCII_WORD = bytes(c if chr(c) in ascii_lowercase + digits else ord(" ") for c in range(256))
 
 
-def _counted(a: list, b: list) -> tuple[int, int, int]:
-    return (Counter(a) & Counter(b)).total(), len(a), len(b)
+def _common(a: np.ndarray, b: np.ndarray, size: int) -> tuple[int, int, int]:
+    in_both = np.minimum(np.bincount(a, minlength=size), np.bincount(b, minlength=size))
+    return int(in_both.sum()), len(a), len(b)
+
+
+def _common_pairs(a: np.ndarray, b: np.ndarray, size: int) -> tuple[int, int, int]:
+    """As ``_common``, of neighbours: the n-th of equal pairs of ``a`` counts if ``b`` has as many."""
+    a, b = (np.sort(t[:-1] * size + t[1:]) for t in (a, b))
+    before = np.arange(len(a)) - np.searchsorted(a, a)
+    held = np.searchsorted(b, a, side="right") - np.searchsorted(b, a)
+    return int(np.count_nonzero(before < held)), len(a), len(b)
 
 
 def _pair_counts(prediction: str, reference: str, parts: tuple[str, ...], stemmed: bool) -> list[int]:
     counts: list[int] = []
     if "f1" in parts:
-        counts += _counted(prediction.split(), reference.split())
+        a, b, different = numbered(prediction.split(), reference.split())
+        counts += _common(a, b, len(different))
     if parts != ("f1",):
-        a, b = (_ASCII_WORD.findall(t) for t in (prediction, reference))
+        a, b, different = numbered(*(t.encode().translate(_ASCII_WORD).split() for t in (prediction, reference)))
         if stemmed:
-            a, b = list(map(stem, a)), list(map(stem, b))
+            stems, _, different = numbered([stem(token.decode()) for token in different], [])
+            a, b = stems[a], stems[b]
         if "rouge1" in parts:
-            counts += _counted(a, b)
+            counts += _common(a, b, len(different))
         if "rouge2" in parts:
-            counts += _counted(list(pairwise(a)), list(pairwise(b)))
+            counts += _common_pairs(a, b, len(different))
         if "rougeL" in parts:
-            counts += (lcs(a, b), len(a), len(b))
+            counts += (lcs_of_numbers(a, b, len(different)), len(a), len(b))
     return counts
 
 
