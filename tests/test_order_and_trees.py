@@ -125,6 +125,16 @@ def test_losses_from_small_blocks_and_shared_contexts(texts, monkeypatch, order)
             assert r.n_tokens == n and ((r.loss is None) if loss is None else abs(r.loss - loss) < 1e-9)
 
 
+def test_losses_of_odd_tables(spark, texts):
+    none = texts([]).where("false")
+    assert ngram.token_losses(none, none).collect() == ngram.token_losses(none, texts(["a b"])).collect() == []
+    rows = spark.createDataFrame([("x", "a b"), (None, "a b c"), ("y", " \u2003"), ("z", None)], "doc_id string, text string")
+    told = {r.doc_id: (r.loss is None, r.n_tokens) for r in ngram.token_losses(rows, rows).collect()}
+    assert told == {"x": (False, 2), None: (True, 3), "y": (True, 0), "z": (True, 0)}
+    blank = rows.where("doc_id in ('y', 'z')")
+    assert [r.loss for r in ngram.token_losses(blank, blank, order=3).collect()] == [None, None]
+
+
 def test_losses_agree_with_probabilities_of_ngrams(spark, texts):
     train, words = texts(["a b a c a b", "b b c", "c a"]), "a c b b unseen a"
     ((_, loss, n),) = ngram.token_losses(texts([words]), train).collect()
